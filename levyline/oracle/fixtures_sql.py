@@ -1,0 +1,144 @@
+"""DuckDB versions of the fixture derivations (FIXTURES.md §2), as CTE bodies over the test-table views.
+
+Written independently of the Spark code from the same rules, so that the oracle checks the Spark
+derivation too. Columns not derived are typed NULLs (or the NOT NULL default).
+"""
+
+from __future__ import annotations
+
+from levyline import schemas
+from levyline.schemas import TableSpec
+
+_DUCK_TYPES = {"string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "int": "INTEGER", "bigint": "BIGINT"}
+
+
+def duck_type(spark_type: str) -> str:
+    return _DUCK_TYPES.get(spark_type, spark_type.upper())
+
+
+def _conform(spec: TableSpec, derived: dict[str, str], source: str) -> str:
+    cols = []
+    for name, typ in spec.columns:
+        if name in derived:
+            expr = derived[name]
+        elif name in spec.not_null:
+            expr = spec.not_null[name].replace("timestamp_ntz'", "TIMESTAMP '")
+        else:
+            expr = "NULL"
+        cols.append(f"CAST({expr} AS {duck_type(typ)}) AS {name}")
+    return f"SELECT {', '.join(cols)} FROM {source}"
+
+
+def _after(base: str, days: str, hours: str = "0") -> str:
+    return (
+        f"(TIMESTAMP '{base}' + CAST({days} AS INTEGER) * INTERVAL '1' DAY"
+        f" + CAST({hours} AS INTEGER) * INTERVAL '1' HOUR)"
+    )
+
+
+AGENT_TRANSACTIONS = _conform(
+    schemas.AGENT_TRANSACTIONS,
+    {
+        "idagent_transactions": "o_orderkey",
+        "agency": "'AGENCY-' || CAST(o_orderkey % 4 AS VARCHAR)",
+        "agent_user": "CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE 'agent' || CAST(o_orderkey % 40 AS VARCHAR) END",
+        "trans_date": f"CASE WHEN o_orderkey % 61 = 0 THEN NULL ELSE {_after('2024-01-25', 'o_orderkey % 7', 'o_orderkey % 24')} END",
+        "payment_date": "CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE "
+        f"{_after('2024-01-25', 'o_orderkey % 7 + o_orderkey % 3', 'o_orderkey % 24')} END",
+        "rev_code": "'Brand#' || CAST(o_custkey % 30 AS VARCHAR)",
+        "amount": "CASE WHEN o_orderkey % 53 = 0 THEN NULL WHEN o_orderkey % 41 = 0 THEN -o_totalprice ELSE o_totalprice END",
+        "payment_period": "CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN '2024' END",
+        "trans_channel": "CASE o_custkey % 4 WHEN 0 THEN 'POS' WHEN 1 THEN 'Web' WHEN 2 THEN 'Mobile' END",
+        "status": "CASE o_orderstatus WHEN 'F' THEN 'Completed'"
+        " WHEN 'P' THEN (CASE WHEN o_orderkey % 2 = 0 THEN 'Completed' ELSE 'Processing' END)"
+        " WHEN 'O' THEN (CASE o_orderkey % 3 WHEN 0 THEN 'Reversed' WHEN 1 THEN 'Failed' ELSE 'Cancelled' END) END",
+        "lga": "'LGA-' || CAST(o_custkey % 5 AS VARCHAR)",
+        "taxpayer_name": "'Customer-' || CAST(o_custkey AS VARCHAR)",
+        "revenue_item": "'P-' || CAST(o_custkey % 20 AS VARCHAR)",
+        "payment_method": "CASE o_orderpriority"
+        " WHEN '1-URGENT' THEN (CASE WHEN o_orderkey % 2 = 0 THEN 'card' ELSE 'Card' END)"
+        " WHEN '2-HIGH' THEN (CASE o_orderkey % 3 WHEN 0 THEN 'Bank' WHEN 1 THEN 'bank' ELSE 'Bank Transfer' END)"
+        " WHEN '3-MEDIUM' THEN (CASE WHEN o_orderkey % 2 = 0 THEN 'USSD' ELSE 'ussd' END)"
+        " WHEN '5-LOW' THEN (CASE o_orderkey % 3 WHEN 0 THEN 'Cash' WHEN 1 THEN 'cash' ELSE 'Wallet' END) END",
+    },
+    "orders",
+)
+
+REV_SUB_NEWCODE = _conform(
+    schemas.REV_SUB_NEWCODE,
+    {
+        "id": "n",
+        "mda": "'MDA-' || CAST(n % 5 AS VARCHAR)",
+        "rev_code": "p_brand",
+        "revenue_item": "CASE WHEN n % 6 = 0 THEN NULL ELSE 'Item for ' || p_brand END",
+    },
+    "(SELECT p_brand, CAST(split_part(p_brand, '#', 2) AS INTEGER) AS n FROM (SELECT DISTINCT p_brand FROM part))",
+)
+
+CONCESSION_PERMIT = _conform(
+    schemas.CONCESSION_PERMIT,
+    {
+        "id": "p_partkey",
+        "category": "p_type",
+        "product_code": "'P-' || CAST(CASE WHEN p_partkey BETWEEN 20 AND 23 THEN p_partkey - 20 ELSE p_partkey END AS VARCHAR)",
+        "product_name": "p_name",
+        "amount": "p_retailprice * 200",
+        "p_amount": "p_retailprice * 150",
+        "plan_code": "CASE p_partkey % 5 WHEN 0 THEN 'Vehicle' WHEN 1 THEN 'Trader' WHEN 2 THEN 'Vehicle'"
+        " WHEN 3 THEN 'Trader' ELSE 'Other' END",
+        "status": "CASE WHEN p_partkey % 7 = 6 THEN 'Inactive' ELSE 'Active' END",
+    },
+    "part",
+)
+
+BUS_TICKETING_TRANSACTION = _conform(
+    schemas.BUS_TICKETING_TRANSACTION,
+    {
+        "id": "event_id",
+        "event": "event_type",
+        "amount": "value",
+        "trans_date": "CASE WHEN event_id % 97 = 0 THEN NULL ELSE ts END",
+        "phone": "'080' || CAST(user_id AS VARCHAR)",
+        "bus_id": "'BUS-' || CAST(user_id % 20 AS VARCHAR)",
+        "issuer_id": "'ISS-' || CAST(event_id % 7 AS VARCHAR)",
+    },
+    "events",
+)
+
+ENUMERATION = _conform(
+    schemas.ENUMERATION,
+    {
+        "id": "event_id",
+        "create_time": "ts",
+        "created_by": "'user' || CAST(user_id AS VARCHAR) || '@example.org'",
+        "revenue_item": "CASE event_type WHEN 'signup' THEN 'MarketEnumeration'"
+        " WHEN 'click' THEN 'TransportEnumeration' WHEN 'error' THEN 'OtherEnumeration' END",
+        "category": "CASE WHEN event_id % 4 = 0 THEN 'Corporate' ELSE 'Individual' END",
+    },
+    "(SELECT * FROM events WHERE event_type IN ('signup', 'click', 'error'))",
+)
+
+MERCHANT_USER = _conform(
+    schemas.MERCHANT_USER,
+    {
+        "user_id": "c_custkey",
+        "first_name": "c_name",
+        "user_cat": "c_mktsegment",
+        "lga": "'LGA-' || CAST(c_custkey % 5 AS VARCHAR)",
+        "email": "CASE WHEN c_custkey % 50 = 49 THEN NULL ELSE 'user' || CAST(CASE WHEN c_custkey >= 100"
+        " THEN c_custkey - 100 ELSE c_custkey + 5 END AS VARCHAR) || '@example.org' END",
+        "status": "CASE WHEN c_acctbal > 0 THEN 'Verified' ELSE 'Pending' END",
+        "create_time": _after("2024-01-01", "c_custkey % 28"),
+        "update_time": f"CASE WHEN c_custkey % 3 = 0 THEN {_after('2024-01-15', 'c_custkey % 14')} END",
+    },
+    "(SELECT * FROM customer WHERE c_custkey < 110)",
+)
+
+RAW = {
+    "agent_transactions": AGENT_TRANSACTIONS,
+    "rev_sub_newcode": REV_SUB_NEWCODE,
+    "bus_ticketing_transaction": BUS_TICKETING_TRANSACTION,
+    "concession_permit": CONCESSION_PERMIT,
+    "enumeration": ENUMERATION,
+    "merchant_user": MERCHANT_USER,
+}

@@ -1,0 +1,167 @@
+"""DuckDB SQL for the staging views and marts, as named CTEs over the fixture CTEs.
+
+``with_models(sql)`` prefixes a query with every CTE; DuckDB inlines only those the query reaches.
+Decimal results are turned into DOUBLE by ``present``, the same presentation the Spark queries get.
+"""
+
+from __future__ import annotations
+
+from levyline.oracle.fixtures_sql import RAW
+from levyline import schemas
+from levyline.plans import marts, staging
+
+
+def _renamed(columns, renames) -> str:
+    return ", ".join(f"{c} AS {renames[c]}" if c in renames else c for c in columns)
+
+
+_AT_STAGING = _renamed(staging.AGENT_TRANSACTION_COLUMNS, staging.AGENT_TRANSACTION_RENAMES)
+_BUS_COLS = schemas.BUS_TICKETING_TRANSACTION.column_names
+_ENUM_COLS = schemas.ENUMERATION.column_names
+_MU_COLS = schemas.MERCHANT_USER.column_names
+_RSN_COLS = schemas.REV_SUB_NEWCODE.column_names
+_CP_COLS = schemas.CONCESSION_PERMIT.column_names
+
+
+def _cal(ts: str, prefix: str) -> str:
+    return (
+        f"CAST({ts} AS DATE) AS {prefix}_day, CAST(date_trunc('month', {ts}) AS TIMESTAMP) AS {prefix}_month,"
+        f" CAST(extract(year FROM {ts}) AS INTEGER) AS {prefix}_year"
+    )
+
+
+STAGING = {
+    "stg_agent_transactions": f"SELECT {_AT_STAGING}, {_cal('payment_date', 'payment')}"
+    " FROM agent_transactions_raw WHERE payment_date IS NOT NULL",
+    "stg_bus_ticketing_transaction": f"SELECT {_renamed(_BUS_COLS, staging.BUS_RENAMES)},"
+    f" {_cal('trans_date', 'transaction')} FROM bus_ticketing_transaction_raw WHERE trans_date IS NOT NULL",
+    "stg_concession_permit": f"SELECT {_renamed(_CP_COLS, staging.PERMIT_RENAMES)} FROM concession_permit_raw"
+    " WHERE status = 'Active' AND plan_code IN ('Vehicle', 'Trader')",
+    "stg_enumeration": f"SELECT {_renamed(_ENUM_COLS, staging.ENUMERATION_RENAMES)} FROM enumeration_raw",
+    "stg_merchant_user": f"SELECT {_renamed(_MU_COLS, staging.MERCHANT_RENAMES)} FROM merchant_user_raw",
+    "stg_rev_sub_newcode": f"SELECT {_renamed(_RSN_COLS, staging.REV_CODE_RENAMES)} FROM rev_sub_newcode_raw",
+}
+
+_FCT_COMPUTED = {
+    "mda": "coalesce(r.mda, 'Unknown')",
+    "revenue_item_name": "coalesce(r.revenue_item_full, t.revenue_item)",
+    "is_completed": "CASE WHEN t.status = 'Completed' THEN true ELSE false END",
+    "is_reversed": "CASE WHEN t.status = 'Reversed' THEN true ELSE false END",
+    "is_negative_amount": "CASE WHEN t.amount < 0 THEN true ELSE false END",
+    "payment_method_clean": "CASE WHEN t.payment_method IN ('Card', 'card') THEN 'Card'"
+    " WHEN t.payment_method IN ('Bank', 'bank', 'Bank Transfer') THEN 'Bank Transfer'"
+    " WHEN t.payment_method IN ('Cash', 'cash') THEN 'Cash'"
+    " WHEN t.payment_method IN ('USSD', 'ussd') THEN 'USSD'"
+    " ELSE coalesce(t.payment_method, 'Unknown') END",
+}
+_FCT_SELECT = ", ".join(
+    f"{_FCT_COMPUTED[c]} AS {c}" if c in _FCT_COMPUTED else f"t.{c}" for c in marts.FCT_TRANSACTION_COLUMNS
+)
+
+_PERMIT_COMPUTED = {
+    "paid_amount": "t.amount",
+    "variance_amount": "CAST(t.amount - p.expected_amount AS DECIMAL(20,2))",
+    "is_fully_paid": "CASE WHEN t.amount >= p.expected_amount THEN true ELSE false END",
+}
+_PERMIT_SELECT = ", ".join(
+    f"{_PERMIT_COMPUTED[c]} AS {c}"
+    if c in _PERMIT_COMPUTED
+    else (f"p.{c}" if c in marts.PERMIT_COLUMNS else f"t.{c}")
+    for c in marts.FCT_PERMIT_COLUMNS
+)
+
+_BUS_AGG = """
+SELECT 'Bus Ticket' AS revenue_source, transaction_day AS revenue_date, transaction_month AS revenue_month,
+       transaction_year AS revenue_year,
+       CAST(NULL AS VARCHAR) AS lga, CAST(NULL AS VARCHAR) AS transaction_channel,
+       CAST(NULL AS VARCHAR) AS payment_method_clean, CAST(NULL AS VARCHAR) AS category,
+       CAST(NULL AS VARCHAR) AS product_code, CAST(NULL AS VARCHAR) AS product_name,
+       count(DISTINCT ticket_id) AS transaction_count, count(DISTINCT phone) AS unique_payers,
+       count(DISTINCT issuer_id) AS unique_agents,
+       CAST(sum(amount) AS DECIMAL(29,2)) AS total_amount,
+       CAST(sum(amount) AS DOUBLE) / count(amount) AS avg_amount,
+       CAST(min(amount) AS DECIMAL(19,2)) AS min_amount, CAST(max(amount) AS DECIMAL(19,2)) AS max_amount,
+       CAST(NULL AS DECIMAL(10,2)) AS expected_amount, CAST(NULL AS DECIMAL(32,2)) AS total_shortfall,
+       CAST(NULL AS BIGINT) AS reversed_count, CAST(NULL AS BIGINT) AS fully_paid_count
+FROM stg_bus_ticketing_transaction
+GROUP BY transaction_day, transaction_month, transaction_year
+"""
+
+MARTS = {
+    "fct_transactions": f"SELECT {_FCT_SELECT} FROM stg_agent_transactions t"
+    " LEFT JOIN stg_rev_sub_newcode r ON t.revenue_code = r.rev_code WHERE t.amount IS NOT NULL",
+    "fct_concession_permits": f"SELECT {_PERMIT_SELECT} FROM"
+    " (SELECT s.transaction_id AS pt_id, c.* FROM stg_agent_transactions s"
+    "  JOIN stg_concession_permit c ON s.revenue_item = c.product_code) p"
+    " JOIN fct_transactions t ON p.pt_id = t.transaction_id",
+    "fct_agent_enumeration": """
+SELECT m.user_id, m.email AS agent_email, m.first_name, m.last_name, m.phone_no, m.lga, m.user_cat, m.bank,
+       m.bank_account, m.agent_status, m.agent_code, e.revenue_item,
+       CASE e.revenue_item WHEN 'MarketEnumeration' THEN 'Market' WHEN 'TransportEnumeration' THEN 'Transport' END
+           AS revenue_type,
+       e.category, CAST(e.create_time AS DATE) AS create_day, strftime(e.create_time, '%Y-%m') AS create_month,
+       CAST(extract(year FROM e.create_time) AS INTEGER) AS create_year,
+       count(e.enumeration_pk) AS enumeration_count
+FROM stg_enumeration e LEFT JOIN stg_merchant_user m ON e.created_by = m.email
+GROUP BY ALL
+""",
+    "agg_revenue_daily": """
+SELECT payment_day, payment_month, payment_year, lga, mda, revenue_item, transaction_channel, payment_method_clean,
+       count(*) AS transaction_count, count(DISTINCT agent_user) AS unique_agents,
+       count(DISTINCT taxpayer_name) AS unique_taxpayers, sum(amount) AS total_amount,
+       CAST(sum(amount) AS DOUBLE) / count(amount) AS avg_amount, min(amount) AS min_amount,
+       max(amount) AS max_amount, count(*) FILTER (WHERE is_reversed) AS reversed_count,
+       count(*) FILTER (WHERE is_negative_amount) AS negative_amount_count
+FROM fct_transactions WHERE is_completed
+GROUP BY payment_day, payment_month, payment_year, lga, mda, revenue_item, transaction_channel, payment_method_clean
+""",
+    "agg_concession_by_plancode": """
+SELECT payment_day, payment_month, payment_year, plan_code, category, product_code, product_name, lga,
+       transaction_channel, payment_method_clean,
+       count(DISTINCT transaction_id) AS transaction_count, count(DISTINCT taxpayer_name) AS unique_taxpayers,
+       count(DISTINCT agent_user) AS unique_agents, sum(paid_amount) AS total_paid_amount,
+       CAST(sum(paid_amount) AS DOUBLE) / count(paid_amount) AS avg_paid_amount,
+       min(paid_amount) AS min_paid_amount, max(paid_amount) AS max_paid_amount,
+       max(expected_amount) AS expected_amount, max(previous_expected_amount) AS previous_expected_amount,
+       max(expected_amount) * count(DISTINCT transaction_id) - sum(paid_amount) AS total_shortfall,
+       count(*) FILTER (WHERE is_reversed) AS reversed_count,
+       count(*) FILTER (WHERE is_fully_paid) AS fully_paid_count
+FROM fct_concession_permits WHERE is_completed
+GROUP BY payment_day, payment_month, payment_year, plan_code, category, product_code, product_name, lga,
+         transaction_channel, payment_method_clean
+""",
+    "agg_bus_daily": _BUS_AGG,
+    "agg_combined_revenue_daily": """
+SELECT * FROM agg_bus_daily
+UNION ALL
+SELECT CASE plan_code WHEN 'Trader' THEN 'Market Ticket' WHEN 'Vehicle' THEN 'Vehicle Ticket' END,
+       payment_day, payment_month, payment_year, lga, transaction_channel, payment_method_clean, category,
+       product_code, product_name, transaction_count, unique_taxpayers, unique_agents,
+       CAST(total_paid_amount AS DECIMAL(29,2)), avg_paid_amount, min_paid_amount, max_paid_amount,
+       expected_amount, CAST(total_shortfall AS DECIMAL(32,2)), reversed_count, fully_paid_count
+FROM agg_concession_by_plancode
+""",
+}
+
+
+def all_ctes() -> dict[str, str]:
+    ctes = {f"{name}_raw": body for name, body in RAW.items()}
+    ctes.update(STAGING)
+    ctes.update(MARTS)
+    return ctes
+
+
+def with_models(sql: str, extra: dict[str, str] | None = None) -> str:
+    ctes = all_ctes()
+    if extra:
+        ctes.update(extra)
+    body = ",\n".join(f"{name} AS ({text})" for name, text in ctes.items())
+    return f"WITH {body}\n{sql}"
+
+
+def present(sql: str, double_columns: tuple[str, ...] = ()) -> str:
+    """Wrap a query so that the named (decimal) columns come out as DOUBLE."""
+    if not double_columns:
+        return sql
+    repl = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in double_columns)
+    return f"SELECT * REPLACE ({repl}) FROM ({sql}) presented"
