@@ -53,3 +53,208 @@ for _name in RevenueModels.STAGING + (
     "agg_combined_revenue_daily",
 ):
     QUERIES[_name] = _model_query(_name)
+
+
+# ---------------------------------------------------------------------------------------------------------
+# Scenario parameters of the registered load and report queries (dates inside the test data's range).
+AS_OF = "2024-02-03"  # a Saturday: the report covers 2024-01-27 .. 2024-02-02
+RUN_START = "2024-02-03 06:00:00"
+STORED_MARKS = {  # control table before the run
+    "agent_transactions": "2024-01-30 00:00:00",
+    "bus_ticketing_transaction": "2024-01-30 00:00:00",
+    "enumeration": "2024-01-30 00:00:00",
+    "merchant_user": "2024-01-20 00:00:00",
+}
+FUTURE_MARK = "2024-03-01 00:00:00"  # a mark past all data: every incremental slice is empty
+BULK_FROM = "2024-01-28 00:00:00"
+
+
+def _reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from levyline.plans.reports import weekly_reports
+
+    return weekly_reports(models(spark, sf_dir), AS_OF)
+
+
+def report_mda(spark, sf_dir):
+    return present(_reports(spark, sf_dir)["mda"])
+
+
+def report_eticket(spark, sf_dir):
+    return present(_reports(spark, sf_dir)["eticket"])
+
+
+def report_bus(spark, sf_dir):
+    return present(_reports(spark, sf_dir)["bus"])
+
+
+def report_agent_enumeration(spark, sf_dir):
+    return present(_reports(spark, sf_dir)["agents"])
+
+
+def report_index(spark, sf_dir):
+    from levyline.plans.reports import report_index as index
+
+    return index(_reports(spark, sf_dir), AS_OF)
+
+
+def report_csv_roundtrip(spark, sf_dir):
+    """Write the four CSV files to the shared folder and read them back: header and row count per file."""
+    from levyline.plans.reports import REPORT_FILES, write_reports
+    from levyline.session import shared_dir
+
+    import uuid
+
+    out = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
+    paths = write_reports(_reports(spark, sf_dir), AS_OF, out)
+    schema = "report string, header string, lines bigint, data_rows bigint"
+    if not paths:
+        return spark.createDataFrame([], schema)
+    parts = []
+    for name, _stem in REPORT_FILES:
+        header = ",".join(spark.read.option("header", True).csv(paths[name]).columns)
+        lines = spark.read.text(paths[name])
+        parts.append(
+            lines.agg(
+                F.count(F.lit(1)).alias("lines"),
+                F.count_if(F.col("value") != F.lit(header)).alias("data_rows"),
+            ).select(F.lit(name).alias("report"), F.lit(header).alias("header"), "lines", "data_rows")
+        )
+    result = parts[0]
+    for p in parts[1:]:
+        result = result.unionByName(p)
+    return result
+
+
+# --- extract slices -----------------------------------------------------------------------------------
+def _raw(spark, sf_dir, name):
+    return fixtures.BUILDERS[name](spark, sf_dir)
+
+
+def extract_slice_transactions(spark, sf_dir):
+    from levyline.operators.watermark import extract_slice, lookback
+    from levyline.schemas import AGENT_TRANSACTIONS as S
+
+    return present(extract_slice(_raw(spark, sf_dir, S.name), S, lookback(STORED_MARKS[S.name])))
+
+
+def extract_slice_merchants(spark, sf_dir):
+    from levyline.operators.watermark import extract_slice, lookback
+    from levyline.schemas import MERCHANT_USER as S
+
+    return present(extract_slice(_raw(spark, sf_dir, S.name), S, lookback(STORED_MARKS[S.name])))
+
+
+def bulk_extract(spark, sf_dir):
+    """Back-fill: every transaction paid on or after the start, merged (upsert policy) into an empty table."""
+    from levyline.operators.merge import merge
+    from levyline.schemas import AGENT_TRANSACTIONS as S
+    from levyline.functions import ts_lit
+
+    src = _raw(spark, sf_dir, S.name)
+    slice_ = src.filter(F.col("payment_date") >= ts_lit(BULK_FROM))
+    empty = spark.createDataFrame([], S.schema)
+    return present(merge(empty, slice_, S))
+
+
+# --- merges ---------------------------------------------------------------------------------------------
+def prior_target(spark, sf_dir, name: str) -> DataFrame:
+    """The target as an earlier load left it: rows up to the stored mark, with stale values (FIXTURES.md §3)."""
+    from levyline.functions import ts_lit
+    from levyline.schemas import SPECS
+
+    spec = SPECS[name]
+    src = _raw(spark, sf_dir, name)
+    mark = ts_lit(STORED_MARKS[name])
+    stale = {
+        "agent_transactions": {"status": F.lit("Processing"), "amount": F.lit(0), "comment": F.lit("loaded earlier")},
+        "bus_ticketing_transaction": {"amount": F.lit(0), "route_name": F.lit("old route")},
+        "enumeration": {"category": F.lit("Changed")},
+        "merchant_user": {"status": F.lit("Old"), "bank": F.lit("Old Bank")},
+    }[name]
+    before = src.filter(F.col(spec.hwm[0]) <= mark)
+    return before.withColumns({c: v.cast(spec.type_of(c)) for c, v in stale.items()})
+
+
+def _merge_query(name: str):
+    def run(spark, sf_dir):
+        from levyline.operators.merge import merge
+        from levyline.operators.watermark import extract_slice, lookback
+        from levyline.schemas import SPECS
+
+        spec = SPECS[name]
+        slice_ = extract_slice(_raw(spark, sf_dir, name), spec, lookback(STORED_MARKS[name]))
+        return present(merge(prior_target(spark, sf_dir, name), slice_, spec))
+
+    return run
+
+
+def _full_refresh_query(name: str):
+    def run(spark, sf_dir):
+        from levyline.operators.merge import merge
+        from levyline.schemas import SPECS
+
+        spec = SPECS[name]
+        src = _raw(spark, sf_dir, name)
+        stale = src.filter(F.col(spec.key) % 2 == 0)  # an older copy: half the rows
+        return present(merge(stale, src, spec))
+
+    return run
+
+
+# --- watermarks -------------------------------------------------------------------------------------------
+def load_accounting(spark, sf_dir, marks: dict[str, str]) -> DataFrame:
+    """Control rows after one run of all six loaders, given the stored marks (others fall back)."""
+    from levyline.operators.watermark import (
+        after_full_refresh,
+        after_incremental,
+        control_rows,
+        extract_slice,
+        lookback,
+        read_watermark,
+    )
+    from levyline.schemas import LOAD_ORDER
+
+    control = control_rows(spark, {t: (m, RUN_START, 0) for t, m in marks.items()})
+    rows = []
+    for spec in LOAD_ORDER:
+        src = _raw(spark, sf_dir, spec.name)
+        if spec.refresh == "full":
+            rows.append(after_full_refresh(src, spec, RUN_START))
+        else:
+            w = read_watermark(control, spec.name)
+            rows.append(after_incremental(extract_slice(src, spec, lookback(w)), spec, w, RUN_START))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def watermark_after_load(spark, sf_dir):
+    return load_accounting(spark, sf_dir, STORED_MARKS)
+
+
+def watermark_after_empty_load(spark, sf_dir):
+    return load_accounting(spark, sf_dir, {t: FUTURE_MARK for t in STORED_MARKS})
+
+
+QUERIES.update(
+    {
+        "report_mda": report_mda,
+        "report_eticket": report_eticket,
+        "report_bus": report_bus,
+        "report_agent_enumeration": report_agent_enumeration,
+        "report_index": report_index,
+        "report_csv_roundtrip": report_csv_roundtrip,
+        "extract_slice_transactions": extract_slice_transactions,
+        "extract_slice_merchants": extract_slice_merchants,
+        "bulk_extract": bulk_extract,
+        "merge_agent_transactions": _merge_query("agent_transactions"),
+        "merge_bus_ticketing": _merge_query("bus_ticketing_transaction"),
+        "merge_enumeration_insert_only": _merge_query("enumeration"),
+        "merge_merchant_user_scd1": _merge_query("merchant_user"),
+        "full_refresh_rev_codes": _full_refresh_query("rev_sub_newcode"),
+        "full_refresh_permits": _full_refresh_query("concession_permit"),
+        "watermark_after_load": watermark_after_load,
+        "watermark_after_empty_load": watermark_after_empty_load,
+    }
+)

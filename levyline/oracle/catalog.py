@@ -28,3 +28,152 @@ ORACLE: dict[str, str] = {}
 
 for _name, _decimals in MODEL_DECIMALS.items():
     ORACLE[_name] = present(with_models(f"SELECT * FROM {_name}"), _decimals)
+
+
+# ---------------------------------------------------------------------------------------------------------
+from levyline import schemas as _schemas  # noqa: E402
+from levyline.catalog import AS_OF, BULK_FROM, FUTURE_MARK, RUN_START, STORED_MARKS  # noqa: E402
+from levyline.operators.watermark import lookback as _lookback  # noqa: E402
+from levyline.plans.reports import REPORT_FILES, report_window  # noqa: E402
+
+_START, _END = report_window(AS_OF)
+_WIN = f"BETWEEN DATE '{_START}' AND DATE '{_END}'"
+
+
+def _ts(text) -> str:
+    return f"TIMESTAMP '{text}'"
+
+
+_REPORTS = {
+    "mda": f"""SELECT mda, CAST(sum(transaction_count) AS BIGINT) AS transaction_count, sum(total_amount) AS total_amount
+FROM agg_revenue_daily WHERE payment_day {_WIN} AND payment_day IS NOT NULL GROUP BY mda""",
+    "eticket": f"""SELECT revenue_item AS "Ticket type", count(*) AS "Ticket sold", sum(amount) AS "Revenue"
+FROM fct_transactions WHERE payment_day {_WIN} AND is_completed AND payment_period IS NOT NULL
+AND payment_period <> '' GROUP BY revenue_item""",
+    "bus": f"""SELECT bus_id, count(ticket_id) AS trips, sum(amount) AS revenue
+FROM stg_bus_ticketing_transaction WHERE transaction_day {_WIN} GROUP BY bus_id""",
+    "agents": f"""SELECT agent_email, first_name, last_name, bank, bank_account,
+CAST(sum(enumeration_count) AS BIGINT) AS total_enumeration_count
+FROM fct_agent_enumeration WHERE agent_status = 'Verified' AND create_day {_WIN}
+GROUP BY agent_email, first_name, last_name, bank, bank_account""",
+}
+_REPORT_DECIMALS = {"mda": ("total_amount",), "eticket": ("Revenue",), "bus": ("revenue",), "agents": ()}
+_REPORT_QUERY = {"mda": "report_mda", "eticket": "report_eticket", "bus": "report_bus", "agents": "report_agent_enumeration"}
+for _r, _sql in _REPORTS.items():
+    ORACLE[_REPORT_QUERY[_r]] = present(with_models(_sql), _REPORT_DECIMALS[_r])
+
+_REPORT_CTES = {f"report_{r}": sql for r, sql in _REPORTS.items()}
+_index_parts = " UNION ALL ".join(
+    f"SELECT '{r}' AS report, '{stem}_{_START}_to_{_END}.csv' AS file_name, DATE '{_START}' AS period_start,"
+    f" DATE '{_END}' AS period_end, count(*) AS row_count FROM report_{r}"
+    for r, stem in REPORT_FILES
+)
+ORACLE["report_index"] = with_models(
+    "SELECT *, max(CASE WHEN report IN ('mda', 'eticket', 'bus') THEN row_count ELSE 0 END) OVER () > 0"
+    f" AS produced FROM ({_index_parts}) idx",
+    _REPORT_CTES,
+)
+
+# The CSV header line of each report.
+_HEADERS = {
+    "mda": "mda,transaction_count,total_amount",
+    "eticket": "Ticket type,Ticket sold,Revenue",
+    "bus": "bus_id,trips,revenue",
+    "agents": "agent_email,first_name,last_name,bank,bank_account,total_enumeration_count",
+}
+ORACLE["report_csv_roundtrip"] = with_models(
+    " UNION ALL ".join(
+        f"SELECT '{r}' AS report, '{_HEADERS[r]}' AS header, count(*) + 1 AS lines, count(*) AS data_rows"
+        f" FROM report_{r}"
+        for r, _ in REPORT_FILES
+    ),
+    _REPORT_CTES,
+)
+
+
+def _raw_decimals(spec) -> tuple[str, ...]:
+    return tuple(c for c, t in spec.columns if t.startswith("decimal"))
+
+
+def _slice_where(spec, since) -> str:
+    return " OR ".join(f"{c} > {_ts(since)}" for c in spec.hwm)
+
+
+for _q, _spec in (("extract_slice_transactions", _schemas.AGENT_TRANSACTIONS),
+                  ("extract_slice_merchants", _schemas.MERCHANT_USER)):
+    _since = _lookback(STORED_MARKS[_spec.name])
+    ORACLE[_q] = present(
+        with_models(f"SELECT * FROM {_spec.name}_raw WHERE {_slice_where(_spec, _since)}"), _raw_decimals(_spec)
+    )
+
+ORACLE["bulk_extract"] = present(
+    with_models(f"SELECT * FROM agent_transactions_raw WHERE payment_date >= {_ts(BULK_FROM)}"),
+    _raw_decimals(_schemas.AGENT_TRANSACTIONS),
+)
+
+# Stale values of the prior targets (same scenario as levyline.catalog.prior_target).
+_STALE = {
+    "agent_transactions": {"status": "'Processing'", "amount": "0", "comment": "'loaded earlier'"},
+    "bus_ticketing_transaction": {"amount": "0", "route_name": "'old route'"},
+    "enumeration": {"category": "'Changed'"},
+    "merchant_user": {"status": "'Old'", "bank": "'Old Bank'"},
+}
+
+
+def _merge_sql(spec) -> str:
+    from levyline.oracle.fixtures_sql import duck_type
+
+    stale = ", ".join(f"CAST({v} AS {duck_type(spec.type_of(c))}) AS {c}" for c, v in _STALE[spec.name].items())
+    mark = STORED_MARKS[spec.name]
+    tgt = f"SELECT * REPLACE ({stale}) FROM {spec.name}_raw WHERE {spec.hwm[0]} <= {_ts(mark)}"
+    src = f"SELECT * FROM {spec.name}_raw WHERE {_slice_where(spec, _lookback(mark))}"
+    k = spec.key
+    if spec.refresh == "insert_only":
+        body = f"SELECT * FROM tgt UNION ALL SELECT * FROM src WHERE {k} NOT IN (SELECT {k} FROM tgt)"
+    else:
+        cols = []
+        for c in spec.column_names:
+            if c == k:
+                cols.append(f"coalesce(s.{k}, t.{k}) AS {k}")
+            elif c in spec.update_columns:
+                cols.append(f"CASE WHEN s.{k} IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}")
+            else:
+                cols.append(f"CASE WHEN t.{k} IS NOT NULL THEN t.{c} ELSE s.{c} END AS {c}")
+        body = f"SELECT {', '.join(cols)} FROM tgt t FULL OUTER JOIN src s ON t.{k} = s.{k}"
+    return present(with_models(body, {"tgt": tgt, "src": src}), _raw_decimals(spec))
+
+
+for _q, _spec in (
+    ("merge_agent_transactions", _schemas.AGENT_TRANSACTIONS),
+    ("merge_bus_ticketing", _schemas.BUS_TICKETING_TRANSACTION),
+    ("merge_enumeration_insert_only", _schemas.ENUMERATION),
+    ("merge_merchant_user_scd1", _schemas.MERCHANT_USER),
+):
+    ORACLE[_q] = _merge_sql(_spec)
+
+for _q, _spec in (("full_refresh_rev_codes", _schemas.REV_SUB_NEWCODE), ("full_refresh_permits", _schemas.CONCESSION_PERMIT)):
+    ORACLE[_q] = present(with_models(f"SELECT * FROM {_spec.name}_raw"), _raw_decimals(_spec))
+
+
+def _accounting_sql(marks: dict[str, str]) -> str:
+    parts = []
+    for spec in _schemas.LOAD_ORDER:
+        if spec.refresh == "full":
+            parts.append(
+                f"SELECT '{spec.name}' AS table_name, {_ts(RUN_START)} AS last_loaded_at,"
+                f" {_ts(RUN_START)} AS last_run_at, count(*) AS rows_loaded FROM {spec.name}_raw"
+            )
+            continue
+        mark = marks.get(spec.name, _schemas.FALLBACK_START)
+        newest = spec.hwm[0] if len(spec.hwm) == 1 else f"greatest({', '.join(spec.hwm)})"
+        parts.append(
+            f"SELECT '{spec.name}' AS table_name,"
+            f" CASE WHEN count(*) > 0 THEN greatest({_ts(mark)}, max({newest})) ELSE {_ts(mark)} END AS last_loaded_at,"
+            f" {_ts(RUN_START)} AS last_run_at, count(*) AS rows_loaded"
+            f" FROM {spec.name}_raw WHERE {_slice_where(spec, _lookback(mark))}"
+        )
+    return with_models(" UNION ALL ".join(parts))
+
+
+ORACLE["watermark_after_load"] = _accounting_sql(STORED_MARKS)
+ORACLE["watermark_after_empty_load"] = _accounting_sql({t: FUTURE_MARK for t in STORED_MARKS})
