@@ -258,3 +258,101 @@ QUERIES.update(
         "watermark_after_empty_load": watermark_after_empty_load,
     }
 )
+
+
+# --- data tests and source profile ---------------------------------------------------------------------------
+# Columns whose duplicates fan out joins (not declared tests; reported with the declared unique tests).
+FAN_OUT_CHECKS = (("merchant_user", "email"), ("concession_permit", "product_code"))
+
+
+def dq_unique(spark, sf_dir):
+    from levyline.operators.quality import unique_report
+    from levyline.schemas import DATA_TESTS
+
+    checks = [(t, c) for t, c, k in DATA_TESTS if k == "unique"] + list(FAN_OUT_CHECKS)
+    return unique_report(fixtures.raw_tables(spark, sf_dir), checks)
+
+
+def dq_not_null(spark, sf_dir):
+    from levyline.operators.quality import not_null_report
+    from levyline.schemas import DATA_TESTS
+
+    return not_null_report(fixtures.raw_tables(spark, sf_dir), [(t, c) for t, c, k in DATA_TESTS if k == "not_null"])
+
+
+def dq_suite(spark, sf_dir):
+    from levyline.operators.quality import run_suite
+    from levyline.schemas import DATA_TESTS
+
+    return run_suite(fixtures.raw_tables(spark, sf_dir), DATA_TESTS)
+
+
+def _at(spark, sf_dir):
+    return _raw(spark, sf_dir, "agent_transactions")
+
+
+def profile_counts(spark, sf_dir):
+    df = _at(spark, sf_dir)
+    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("agent_transactions").alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count")
+    )
+
+
+def profile_date_range(spark, sf_dir):
+    from levyline.operators.profile import time_ranges
+
+    return time_ranges(_at(spark, sf_dir), ["trans_date", "payment_date"])
+
+
+def profile_status_top10(spark, sf_dir):
+    from levyline.operators.profile import top_values
+
+    return top_values(_at(spark, sf_dir), "status", 10)
+
+
+def profile_amounts(spark, sf_dir):
+    from levyline.operators.profile import amount_summary
+
+    return present(amount_summary(_at(spark, sf_dir), "amount"))
+
+
+def profile_latest5(spark, sf_dir):
+    from levyline.operators.profile import latest_rows
+    from levyline.schemas import PROFILE_SAMPLE_COLUMNS
+
+    return present(latest_rows(_at(spark, sf_dir), "trans_date", "idagent_transactions", PROFILE_SAMPLE_COLUMNS, 5))
+
+
+def schema_check(spark, sf_dir):
+    from levyline.operators.profile import path_exists, schema_check as check
+    from levyline.schemas import PROFILE_EXPECTED_COLUMNS
+
+    exists = path_exists(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    return check(_at(spark, sf_dir), "agent_transactions", PROFILE_EXPECTED_COLUMNS, exists)
+
+
+def old_rev_codes(spark, sf_dir) -> DataFrame:
+    """The revenue codes in the old layout, with rev_head still an integer (its value: the code number × 10)."""
+    return _raw(spark, sf_dir, "rev_sub_newcode").withColumn("rev_head", (F.col("id") * 10).cast("int"))
+
+
+def schema_migrate_rev_head(spark, sf_dir):
+    from levyline.operators.schema_ops import migrate_integral_to_string
+
+    return migrate_integral_to_string(old_rev_codes(spark, sf_dir), "rev_head")
+
+
+QUERIES.update(
+    {
+        "dq_unique": dq_unique,
+        "dq_not_null": dq_not_null,
+        "dq_suite": dq_suite,
+        "profile_counts": profile_counts,
+        "profile_date_range": profile_date_range,
+        "profile_status_top10": profile_status_top10,
+        "profile_amounts": profile_amounts,
+        "profile_latest5": profile_latest5,
+        "schema_check": schema_check,
+        "schema_migrate_rev_head": schema_migrate_rev_head,
+    }
+)

@@ -177,3 +177,81 @@ def _accounting_sql(marks: dict[str, str]) -> str:
 
 ORACLE["watermark_after_load"] = _accounting_sql(STORED_MARKS)
 ORACLE["watermark_after_empty_load"] = _accounting_sql({t: FUTURE_MARK for t in STORED_MARKS})
+
+
+# --- data tests and profile -----------------------------------------------------------------------------------
+from levyline.catalog import FAN_OUT_CHECKS  # noqa: E402
+
+_UNIQUE = [(t, c) for t, c, k in _schemas.DATA_TESTS if k == "unique"]
+_NOT_NULL = [(t, c) for t, c, k in _schemas.DATA_TESTS if k == "not_null"]
+
+
+def _unique_sql(t, c) -> str:
+    return (
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_records"
+        f" FROM {t}_raw WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
+    )
+
+
+ORACLE["dq_unique"] = with_models(" UNION ALL ".join(_unique_sql(t, c) for t, c in _UNIQUE + list(FAN_OUT_CHECKS)))
+ORACLE["dq_not_null"] = with_models(
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows"
+        f" FROM {t}_raw"
+        for t, c in _NOT_NULL
+    )
+)
+ORACLE["dq_suite"] = with_models(
+    "SELECT *, failures = 0 AS passed FROM ("
+    + " UNION ALL ".join(
+        [
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'unique' AS test_name, count(*) AS failures"
+            f" FROM (SELECT {c} FROM {t}_raw WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+            for t, c in _UNIQUE
+        ]
+        + [
+            f"SELECT '{t}', '{c}', 'not_null', count(*) FILTER (WHERE {c} IS NULL) FROM {t}_raw"
+            for t, c in _NOT_NULL
+        ]
+    )
+    + ") s"
+)
+
+ORACLE["profile_counts"] = with_models(
+    f"SELECT 'agent_transactions' AS table_name, count(*) AS row_count,"
+    f" {len(_schemas.AGENT_TRANSACTIONS.columns)} AS column_count FROM agent_transactions_raw"
+)
+ORACLE["profile_date_range"] = with_models(
+    "SELECT min(trans_date) AS trans_date_earliest, max(trans_date) AS trans_date_latest,"
+    " min(payment_date) AS payment_date_earliest, max(payment_date) AS payment_date_latest FROM agent_transactions_raw"
+)
+ORACLE["profile_status_top10"] = with_models(
+    "SELECT status, count(*) AS cnt FROM agent_transactions_raw GROUP BY status ORDER BY cnt DESC, status LIMIT 10"
+)
+# avg rounded as the source database does it: to 6 places, then to cents, half away from zero (integer cents).
+ORACLE["profile_amounts"] = with_models(
+    """SELECT CAST(min_a AS DOUBLE) AS min_amt, CAST(max_a AS DOUBLE) AS max_amt,
+       CAST(sign(m) * ((abs(m) + 5000) // 10000) AS DOUBLE) / 100.0 AS avg_amt,
+       CAST(s AS DOUBLE) / 100.0 AS total_amt
+FROM (SELECT *, sign(s) * ((abs(s) * 20000 // c + 1) // 2) AS m
+      FROM (SELECT CAST(sum(amount) * 100 AS HUGEINT) AS s, count(amount) AS c, min(amount) AS min_a,
+                   max(amount) AS max_a
+            FROM agent_transactions_raw WHERE amount IS NOT NULL) agg) x"""
+)
+_sample = ", ".join(_schemas.PROFILE_SAMPLE_COLUMNS)
+ORACLE["profile_latest5"] = present(
+    with_models(
+        f"SELECT {_sample} FROM agent_transactions_raw ORDER BY trans_date DESC NULLS LAST,"
+        " idagent_transactions DESC LIMIT 5"
+    ),
+    ("amount",),
+)
+_missing = [c for c in _schemas.PROFILE_EXPECTED_COLUMNS if c not in _schemas.AGENT_TRANSACTIONS.column_names]
+ORACLE["schema_check"] = with_models(
+    f"SELECT 'agent_transactions' AS table_name, true AS table_exists, count(*) AS row_count,"
+    f" {len(_schemas.AGENT_TRANSACTIONS.columns)} AS column_count, {len(_missing)} AS n_missing,"
+    f" '{'|'.join(_missing)}' AS missing_columns FROM agent_transactions_raw"
+)
+ORACLE["schema_migrate_rev_head"] = with_models(
+    "SELECT * REPLACE (CAST(CAST(id * 10 AS INTEGER) AS VARCHAR) AS rev_head) FROM rev_sub_newcode_raw"
+)
