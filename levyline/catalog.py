@@ -356,3 +356,101 @@ QUERIES.update(
         "schema_migrate_rev_head": schema_migrate_rev_head,
     }
 )
+
+
+# --- run logs ------------------------------------------------------------------------------------------------
+# Four runs in the shapes the parser must handle: all good; one table without new data; one failing model;
+# a failed load (model stage skipped). Their figures are the load accounting of the whole tables.
+LOG_PREFIX = "2024-02-03 06:00:01  INFO      "
+ERROR_PREFIX = "2024-02-03 06:00:02  ERROR     "
+
+
+def render_load_log(accounting: DataFrame, elapsed: str | None, errors: list[str]) -> DataFrame:
+    """Load-log lines (column ``value``), in load order, from a run's control rows."""
+    from levyline.schemas import LOAD_ORDER, SPECS
+
+    full = [s.name for s in LOAD_ORDER if s.refresh == "full"]
+    order = {s.name: i for i, s in enumerate(LOAD_ORDER)}
+    n = F.format_number(F.col("rows_loaded"), 0)
+    text = (
+        F.when(F.col("table_name").isin(*full), F.concat(F.col("table_name"), F.lit(": "), n, F.lit(" rows reloaded.")))
+        .when(F.col("rows_loaded") == 0, F.concat(F.lit("Table: "), F.col("table_name"), F.lit(" - Nothing to load.")))
+        .otherwise(
+            F.concat(F.col("table_name"), F.lit(": "), n, F.lit(" rows loaded. New watermark: "),
+                     F.col("last_loaded_at").cast("string"))
+        )
+    )
+    del SPECS, order
+    lines = accounting.select(F.concat(F.lit(LOG_PREFIX), text).alias("value"))
+    spark = accounting.sparkSession
+    tail = [ERROR_PREFIX + e for e in errors]
+    if elapsed is not None:
+        tail.append(f"{LOG_PREFIX}ETL completed in {elapsed}")
+    if tail:
+        lines = lines.unionByName(spark.createDataFrame([(t,) for t in tail], "value string").coalesce(1))
+    return lines
+
+
+def scenario_logs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Write the four runs' logs to the shared folder; returns (logs root, exit codes)."""
+    import uuid
+
+    from levyline.plans.pipeline import MART_ORDER, model_log_lines
+    from levyline.plans.staging import STAGING
+    from levyline.session import shared_dir
+
+    root = f"{shared_dir(spark)}/logs-{uuid.uuid4().hex}"
+    models = [f"stg_{n}" for n in STAGING] + list(MART_ORDER)
+    quiet_bus = dict(STORED_MARKS, bus_ticketing_transaction=FUTURE_MARK)
+    runs = {
+        "run1-all-good": (STORED_MARKS, "0:00:12.345678", [], model_log_lines(models, elapsed_s=3.21), 0, 0),
+        "run2-no-bus-data": (quiet_bus, "0:00:10.000001", [], model_log_lines(models, elapsed_s=2.5), 0, 0),
+        "run3-model-fails": (
+            STORED_MARKS, "0:00:12.5", [],
+            model_log_lines(models, {"agg_concession_by_plancode": "division by zero"}, elapsed_s=4.0), 0, 1,
+        ),
+        "run4-load-fails": (STORED_MARKS, None, ["ETL failed: connection to the source was reset"], None, 1, None),
+    }
+    exits = []
+    for run_id, (marks, elapsed, errors, model_lines, load_exit, models_exit) in runs.items():
+        render_load_log(load_accounting(spark, sf_dir, marks), elapsed, errors).coalesce(1).write.mode(
+            "overwrite"
+        ).text(f"{root}/{run_id}/load")
+        if model_lines is not None:
+            spark.createDataFrame([(ln,) for ln in model_lines], "value string").coalesce(1).write.mode(
+                "overwrite"
+            ).text(f"{root}/{run_id}/models")
+        exits.append((run_id, load_exit, models_exit))
+    return root, spark.createDataFrame(exits, "run_id string, load_exit int, models_exit int")
+
+
+def runlog_load_summary(spark, sf_dir):
+    from levyline.operators.runlog import parse_load_logs, read_logs
+
+    root, _ = scenario_logs(spark, sf_dir)
+    return parse_load_logs(read_logs(spark, f"{root}/*/load"))
+
+
+def runlog_model_summary(spark, sf_dir):
+    from levyline.operators.runlog import parse_model_logs, read_logs
+
+    root, _ = scenario_logs(spark, sf_dir)
+    return parse_model_logs(read_logs(spark, f"{root}/*/models"))
+
+
+def runlog_status(spark, sf_dir):
+    from levyline.operators.runlog import parse_load_logs, parse_model_logs, read_logs, run_status
+
+    root, exits = scenario_logs(spark, sf_dir)
+    load = parse_load_logs(read_logs(spark, f"{root}/*/load"))
+    models = parse_model_logs(read_logs(spark, f"{root}/*/models"))
+    return run_status(load, models, exits)
+
+
+QUERIES.update(
+    {
+        "runlog_load_summary": runlog_load_summary,
+        "runlog_model_summary": runlog_model_summary,
+        "runlog_status": runlog_status,
+    }
+)

@@ -1,0 +1,166 @@
+"""Run-log analytics: parse load and model logs into per-run statistics, then the stage gate and summary.
+
+Each log file is one run's stage log (a few dozen lines), read whole so that line order is kept; every rule
+is an array function over that file's lines, so runs parse in parallel, one row per file, with no shuffle
+until the final join of the two stages on the run id.
+
+Line rules (first matching rule per line, the last matching value wins, missing values are NULL):
+load log  '<table>: N rows loaded' for the four incremental tables, '<table>: N rows reloaded' for the two
+          reloaded ones, 'ETL completed in <elapsed>', otherwise any line containing 'ERROR' is an error.
+model log 'i of n OK … created … model <name>' passes, 'i of n ERROR … creating … model <name>' fails (and is
+          an error line); elapsed is the first '(12.34s)' ending a line, the summary the first
+          'PASS=… WARN=… ERROR=… SKIP=… TOTAL=…'; success needs 'Completed successfully' and no failed model.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# The load-log rules, in matching order: (stat, table prefix, phrase).
+LOAD_RULES = (
+    ("at_rows", "agent_transactions", "rows loaded"),
+    ("bt_rows", "bus_ticketing_transaction", "rows loaded"),
+    ("rsn_rows", "rev_sub_newcode", "rows reloaded"),
+    ("cp_rows", "concession_permit", "rows reloaded"),
+    ("enum_rows", "enumeration", "rows loaded"),
+    ("mu_rows", "merchant_user", "rows loaded"),
+)
+# Summary defaults for a missing figure.
+NO_NEW_DATA = "0 (no new data)"
+NOT_REPORTED = "—"
+MAX_ERRORS = 20
+
+_LINE_BREAK = r"\r\n|\n|\r"
+_STRIP = r"^\s+|\s+$"
+
+
+def read_logs(spark: SparkSession, pattern: str) -> DataFrame:
+    """One row per log file: (run_id, value) with the file's whole text; run_id is the run's folder name."""
+    df = spark.read.text(pattern, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
+    # .../logs/<run_id>/<stage>/part-….txt
+    return df.select(F.element_at(F.split("path", "/"), -3).alias("run_id"), "value")
+
+
+def _lines(text: Column) -> Column:
+    return F.split(text, _LINE_BREAK)
+
+
+def _last(arr: Column) -> Column:
+    return F.try_element_at(arr, F.lit(-1))
+
+
+def parse_load_logs(logs: DataFrame) -> DataFrame:
+    """run_id, the six row figures (text as logged), elapsed, errors (array, in order)."""
+    def classify(x: Column) -> Column:
+        expr = None
+        for stat, table, phrase in LOAD_RULES:
+            cond = x.contains(f"{table}:") & x.contains(phrase)
+            expr = F.when(cond, F.lit(stat)) if expr is None else expr.when(cond, F.lit(stat))
+        expr = expr.when(x.contains("ETL completed in"), F.lit("elapsed")).when(x.contains("ERROR"), F.lit("error"))
+        return expr
+
+    patterns = {stat: rf"{table}:\s+([\d,]+)\s+{phrase}" for stat, table, phrase in LOAD_RULES}
+
+    def extract(x: Column, k: Column) -> Column:
+        expr = None
+        for stat, pat in patterns.items():
+            expr = (F.when if expr is None else expr.when)(k == stat, F.regexp_extract(x, pat, 1))
+        return expr.when(k == "elapsed", F.regexp_replace(F.regexp_extract(x, r"ETL completed in (.+)", 1), _STRIP, ""))
+
+    parsed = logs.select(
+        "run_id",
+        F.transform(
+            _lines(F.col("value")),
+            lambda x: F.struct(x.alias("line"), classify(x).alias("kind")),
+        ).alias("l"),
+    ).select(
+        "run_id",
+        F.transform("l", lambda s: F.struct(s["line"].alias("line"), s["kind"].alias("kind"),
+                                            extract(s["line"], s["kind"]).alias("val"))).alias("l"),
+    )
+    def last_of(stat: str) -> Column:
+        return _last(F.filter("l", lambda s: (s["kind"] == F.lit(stat)) & (s["val"] != "")))["val"]
+
+    stats = {stat: last_of(stat) for stat in list(patterns) + ["elapsed"]}
+    errors = F.transform(F.filter("l", lambda s: s["kind"] == "error"), lambda s: F.regexp_replace(s["line"], _STRIP, ""))
+    return parsed.select("run_id", *[v.alias(k) for k, v in stats.items()], errors.alias("errors"))
+
+
+def parse_model_logs(logs: DataFrame) -> DataFrame:
+    """run_id, models_pass / models_fail (arrays, in order), errors, elapsed, summary, success."""
+    text = F.col("value")
+
+    def kind(x: Column) -> Column:
+        return F.when(x.rlike(r"\d+ of \d+ OK"), F.lit("ok")).when(x.rlike(r"\d+ of \d+ ERROR"), F.lit("error"))
+
+    lines = F.transform(_lines(text), lambda x: F.struct(x.alias("line"), kind(x).alias("kind")))
+    passed = F.transform(
+        F.filter(lines, lambda s: (s["kind"] == "ok") & s["line"].rlike(r"OK created .+?model (\S+)")),
+        lambda s: F.regexp_extract(s["line"], r"OK created .+?model (\S+)", 1),
+    )
+    failed = F.transform(
+        F.filter(lines, lambda s: (s["kind"] == "error") & s["line"].rlike(r"ERROR creating .+?model (\S+)")),
+        lambda s: F.regexp_extract(s["line"], r"ERROR creating .+?model (\S+)", 1),
+    )
+    errors = F.transform(F.filter(lines, lambda s: s["kind"] == "error"), lambda s: F.regexp_replace(s["line"], _STRIP, ""))
+    elapsed = F.nullif(F.regexp_extract(text, r"(?m)\((\d+\.\d+s)\)\s*$", 1), F.lit(""))
+    summary_re = r"PASS=(\d+) WARN=(\d+) ERROR=(\d+) SKIP=(\d+) TOTAL=(\d+)"
+    summary = F.when(
+        text.rlike(summary_re),
+        F.format_string(
+            "PASS=%s WARN=%s ERROR=%s SKIP=%s TOTAL=%s", *[F.regexp_extract(text, summary_re, i) for i in range(1, 6)]
+        ),
+    )
+    return logs.select(
+        "run_id",
+        passed.alias("models_pass"),
+        failed.alias("models_fail"),
+        errors.alias("errors"),
+        elapsed.alias("elapsed"),
+        summary.alias("summary"),
+        (text.contains("Completed successfully") & (F.size(failed) == 0)).alias("success"),
+    )
+
+
+def run_status(load: DataFrame, models: DataFrame, exits: DataFrame | None = None) -> DataFrame:
+    """Stage gate and run summary per run.
+
+    load ok = load exit 0 and no error line; the model stage counts only when the load was ok (otherwise it
+    was skipped); models ok = its parse says success and its exit is 0; overall = both. Missing row figures
+    show as '0 (no new data)' (incremental tables) or '—' (reloaded tables and elapsed); at most 20 errors.
+    ``exits``: run_id, load_exit, models_exit (missing runs count as exit 0).
+    """
+    m = models.select(
+        "run_id",
+        F.col("models_pass"), F.col("models_fail"), F.col("errors").alias("model_errors"),
+        F.col("elapsed").alias("model_elapsed"), "summary", "success",
+    )
+    df = load.join(m, "run_id", "left")
+    if exits is not None:
+        df = df.join(exits, "run_id", "left")
+    else:
+        df = df.withColumns({"load_exit": F.lit(None).cast("int"), "models_exit": F.lit(None).cast("int")})
+    load_ok = (F.coalesce(F.col("load_exit"), F.lit(0)) == 0) & (F.size("errors") == 0)
+    skipped = F.array(F.lit("dbt was skipped because the ETL step failed."))
+    models_ok = F.when(load_ok, F.coalesce(F.col("success"), F.lit(False)) & (F.coalesce(F.col("models_exit"), F.lit(0)) == 0)).otherwise(False)
+    incremental = {"at_rows", "bt_rows", "enum_rows", "mu_rows"}
+    shown = {
+        f"{stat}_shown": F.coalesce(F.col(stat), F.lit(NO_NEW_DATA if stat in incremental else NOT_REPORTED))
+        for stat, _, _ in LOAD_RULES
+    }
+    return df.select(
+        "run_id",
+        load_ok.alias("load_ok"),
+        load_ok.alias("models_ran"),
+        models_ok.alias("models_ok"),
+        F.when(load_ok & models_ok, F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("overall"),
+        *[v.alias(k) for k, v in shown.items()],
+        F.coalesce(F.col("elapsed"), F.lit(NOT_REPORTED)).alias("elapsed_shown"),
+        F.slice("errors", 1, MAX_ERRORS).alias("load_errors_shown"),
+        F.when(load_ok, F.slice(F.coalesce("model_errors", F.array().cast("array<string>")), 1, MAX_ERRORS))
+        .otherwise(skipped)
+        .alias("model_errors_shown"),
+        F.when(load_ok, F.size(F.coalesce("models_pass", F.array().cast("array<string>")))).otherwise(0).alias("models_passed"),
+        F.when(load_ok, F.size(F.coalesce("models_fail", F.array().cast("array<string>")))).otherwise(0).alias("models_failed"),
+    )
