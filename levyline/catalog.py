@@ -7,6 +7,7 @@ presentation the DuckDB oracle applies, so that clients that turn decimals into
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,16 @@ def present(df: DataFrame) -> DataFrame:
     )
 
 
+_PLANS: "weakref.WeakKeyDictionary[SparkSession, dict[str, RevenueModels]]" = weakref.WeakKeyDictionary()
+
+
 def models(spark: SparkSession, sf_dir: str) -> RevenueModels:
-    return RevenueModels(fixtures.raw_tables(spark, sf_dir))
+    """The model graph over one test folder, built once per session (plans only: every action re-reads
+    the files). Building a plan costs driver round-trips per expression; data work is unaffected."""
+    per_session = _PLANS.setdefault(spark, {})
+    if sf_dir not in per_session:
+        per_session[sf_dir] = RevenueModels(fixtures.raw_tables(spark, sf_dir))
+    return per_session[sf_dir]
 
 
 def _model_query(name: str) -> Query:
@@ -127,7 +136,7 @@ def report_csv_roundtrip(spark, sf_dir):
 
 # --- extract slices -----------------------------------------------------------------------------------
 def _raw(spark, sf_dir, name):
-    return fixtures.BUILDERS[name](spark, sf_dir)
+    return models(spark, sf_dir).raw[name]
 
 
 def extract_slice_transactions(spark, sf_dir):
@@ -270,21 +279,21 @@ def dq_unique(spark, sf_dir):
     from levyline.schemas import DATA_TESTS
 
     checks = [(t, c) for t, c, k in DATA_TESTS if k == "unique"] + list(FAN_OUT_CHECKS)
-    return unique_report(fixtures.raw_tables(spark, sf_dir), checks)
+    return unique_report(models(spark, sf_dir).raw, checks)
 
 
 def dq_not_null(spark, sf_dir):
     from levyline.operators.quality import not_null_report
     from levyline.schemas import DATA_TESTS
 
-    return not_null_report(fixtures.raw_tables(spark, sf_dir), [(t, c) for t, c, k in DATA_TESTS if k == "not_null"])
+    return not_null_report(models(spark, sf_dir).raw, [(t, c) for t, c, k in DATA_TESTS if k == "not_null"])
 
 
 def dq_suite(spark, sf_dir):
     from levyline.operators.quality import run_suite
     from levyline.schemas import DATA_TESTS
 
-    return run_suite(fixtures.raw_tables(spark, sf_dir), DATA_TESTS)
+    return run_suite(models(spark, sf_dir).raw, DATA_TESTS)
 
 
 def _at(spark, sf_dir):
@@ -366,11 +375,11 @@ ERROR_PREFIX = "2024-02-03 06:00:02  ERROR     "
 
 
 def render_load_log(accounting: DataFrame, elapsed: str | None, errors: list[str]) -> DataFrame:
-    """Load-log lines (column ``value``), in load order, from a run's control rows."""
-    from levyline.schemas import LOAD_ORDER, SPECS
+    """Load-log lines (line_no, value), in load order, from a run's control rows."""
+    from levyline.schemas import LOAD_ORDER
 
     full = [s.name for s in LOAD_ORDER if s.refresh == "full"]
-    order = {s.name: i for i, s in enumerate(LOAD_ORDER)}
+    order = F.array_position(F.array(*[F.lit(s.name) for s in LOAD_ORDER]), F.col("table_name"))
     n = F.format_number(F.col("rows_loaded"), 0)
     text = (
         F.when(F.col("table_name").isin(*full), F.concat(F.col("table_name"), F.lit(": "), n, F.lit(" rows reloaded.")))
@@ -380,19 +389,32 @@ def render_load_log(accounting: DataFrame, elapsed: str | None, errors: list[str
                      F.col("last_loaded_at").cast("string"))
         )
     )
-    del SPECS, order
-    lines = accounting.select(F.concat(F.lit(LOG_PREFIX), text).alias("value"))
-    spark = accounting.sparkSession
+    lines = accounting.select(order.alias("line_no"), F.concat(F.lit(LOG_PREFIX), text).alias("value"))
     tail = [ERROR_PREFIX + e for e in errors]
     if elapsed is not None:
         tail.append(f"{LOG_PREFIX}ETL completed in {elapsed}")
     if tail:
-        lines = lines.unionByName(spark.createDataFrame([(t,) for t in tail], "value string").coalesce(1))
+        base = len(LOAD_ORDER) + 1
+        lines = lines.unionByName(
+            accounting.sparkSession.createDataFrame([(base + i, t) for i, t in enumerate(tail)], "line_no long, value string")
+        )
     return lines
 
 
+def write_logs(lines: DataFrame, path: str) -> None:
+    """Write (run_id, line_no, value) as one text file per run under ``path``/run_id=<id>/, lines in order."""
+    (
+        lines.repartition("run_id")
+        .sortWithinPartitions("run_id", "line_no")
+        .select("run_id", "value")
+        .write.mode("overwrite")
+        .partitionBy("run_id")
+        .text(path)
+    )
+
+
 def scenario_logs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Write the four runs' logs to the shared folder; returns (logs root, exit codes)."""
+    """Write the four runs' load and model logs to the shared folder; returns (logs root, exit codes)."""
     import uuid
 
     from levyline.plans.pipeline import MART_ORDER, model_log_lines
@@ -400,27 +422,26 @@ def scenario_logs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     from levyline.session import shared_dir
 
     root = f"{shared_dir(spark)}/logs-{uuid.uuid4().hex}"
-    models = [f"stg_{n}" for n in STAGING] + list(MART_ORDER)
-    quiet_bus = dict(STORED_MARKS, bus_ticketing_transaction=FUTURE_MARK)
+    models_ = [f"stg_{n}" for n in STAGING] + list(MART_ORDER)
+    normal = load_accounting(spark, sf_dir, STORED_MARKS)
+    quiet_bus = load_accounting(spark, sf_dir, dict(STORED_MARKS, bus_ticketing_transaction=FUTURE_MARK))
     runs = {
-        "run1-all-good": (STORED_MARKS, "0:00:12.345678", [], model_log_lines(models, elapsed_s=3.21), 0, 0),
-        "run2-no-bus-data": (quiet_bus, "0:00:10.000001", [], model_log_lines(models, elapsed_s=2.5), 0, 0),
+        "run1-all-good": (normal, "0:00:12.345678", [], model_log_lines(models_, elapsed_s=3.21), 0, 0),
+        "run2-no-bus-data": (quiet_bus, "0:00:10.000001", [], model_log_lines(models_, elapsed_s=2.5), 0, 0),
         "run3-model-fails": (
-            STORED_MARKS, "0:00:12.5", [],
-            model_log_lines(models, {"agg_concession_by_plancode": "division by zero"}, elapsed_s=4.0), 0, 1,
+            normal, "0:00:12.5", [],
+            model_log_lines(models_, {"agg_concession_by_plancode": "division by zero"}, elapsed_s=4.0), 0, 1,
         ),
-        "run4-load-fails": (STORED_MARKS, None, ["ETL failed: connection to the source was reset"], None, 1, None),
+        "run4-load-fails": (normal, None, ["ETL failed: connection to the source was reset"], None, 1, None),
     }
-    exits = []
-    for run_id, (marks, elapsed, errors, model_lines, load_exit, models_exit) in runs.items():
-        render_load_log(load_accounting(spark, sf_dir, marks), elapsed, errors).coalesce(1).write.mode(
-            "overwrite"
-        ).text(f"{root}/{run_id}/load")
-        if model_lines is not None:
-            spark.createDataFrame([(ln,) for ln in model_lines], "value string").coalesce(1).write.mode(
-                "overwrite"
-            ).text(f"{root}/{run_id}/models")
+    load_lines, model_lines, exits = None, [], []
+    for run_id, (acct, elapsed, errors, mlines, load_exit, models_exit) in runs.items():
+        part = render_load_log(acct, elapsed, errors).withColumn("run_id", F.lit(run_id))
+        load_lines = part if load_lines is None else load_lines.unionByName(part)
+        model_lines += [(run_id, i, ln) for i, ln in enumerate(mlines or [])]
         exits.append((run_id, load_exit, models_exit))
+    write_logs(load_lines, f"{root}/load")
+    write_logs(spark.createDataFrame(model_lines, "run_id string, line_no long, value string"), f"{root}/models")
     return root, spark.createDataFrame(exits, "run_id string, load_exit int, models_exit int")
 
 
@@ -428,22 +449,22 @@ def runlog_load_summary(spark, sf_dir):
     from levyline.operators.runlog import parse_load_logs, read_logs
 
     root, _ = scenario_logs(spark, sf_dir)
-    return parse_load_logs(read_logs(spark, f"{root}/*/load"))
+    return parse_load_logs(read_logs(spark, f"{root}/load"))
 
 
 def runlog_model_summary(spark, sf_dir):
     from levyline.operators.runlog import parse_model_logs, read_logs
 
     root, _ = scenario_logs(spark, sf_dir)
-    return parse_model_logs(read_logs(spark, f"{root}/*/models"))
+    return parse_model_logs(read_logs(spark, f"{root}/models"))
 
 
 def runlog_status(spark, sf_dir):
     from levyline.operators.runlog import parse_load_logs, parse_model_logs, read_logs, run_status
 
     root, exits = scenario_logs(spark, sf_dir)
-    load = parse_load_logs(read_logs(spark, f"{root}/*/load"))
-    models = parse_model_logs(read_logs(spark, f"{root}/*/models"))
+    load = parse_load_logs(read_logs(spark, f"{root}/load"))
+    models = parse_model_logs(read_logs(spark, f"{root}/models"))
     return run_status(load, models, exits)
 
 

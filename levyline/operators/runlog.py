@@ -35,11 +35,9 @@ _LINE_BREAK = r"\r\n|\n|\r"
 _STRIP = r"^\s+|\s+$"
 
 
-def read_logs(spark: SparkSession, pattern: str) -> DataFrame:
-    """One row per log file: (run_id, value) with the file's whole text; run_id is the run's folder name."""
-    df = spark.read.text(pattern, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
-    # .../logs/<run_id>/<stage>/part-….txt
-    return df.select(F.element_at(F.split("path", "/"), -3).alias("run_id"), "value")
+def read_logs(spark: SparkSession, path: str) -> DataFrame:
+    """One row per log file: (run_id, value) with the file's whole text, from ``path``/run_id=<id>/…"""
+    return spark.read.text(path, wholetext=True).select(F.col("run_id").cast("string"), "value")
 
 
 def _lines(text: Column) -> Column:

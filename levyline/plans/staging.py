@@ -47,7 +47,7 @@ PERMIT_PLANS = ("Vehicle", "Trader")
 
 def _renamed(df: DataFrame, renames: dict[str, str], columns=None) -> DataFrame:
     cols = columns or df.columns
-    return df.select(*[F.col(c).alias(renames.get(c, c)) for c in cols])
+    return df.selectExpr(*[f"`{c}` AS `{renames.get(c, c)}`" for c in cols])
 
 
 def stg_agent_transactions(raw: DataFrame) -> DataFrame:

@@ -95,5 +95,7 @@ class Warehouse:
         writer.parquet(path)
         return path
 
-    def read_mart(self, model: str, version: str) -> DataFrame:
-        return self.spark.read.parquet(self.mart_path(model, version))
+    def read_mart(self, model: str, version: str, schema=None) -> DataFrame:
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        df = reader.parquet(self.mart_path(model, version))
+        return df if schema is None else df.select(*schema.fieldNames())
