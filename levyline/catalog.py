@@ -22,9 +22,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def present(df: DataFrame) -> DataFrame:
     """Decimal columns as double; everything else unchanged."""
-    return df.select(
+    if not any(isinstance(f.dataType, T.DecimalType) for f in df.schema.fields):
+        return df
+    return df.selectExpr(
         *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+            f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`" if isinstance(f.dataType, T.DecimalType) else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )

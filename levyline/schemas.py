@@ -36,6 +36,14 @@ class TableSpec:
     def type_of(self, column: str) -> str:
         return dict(self.columns)[column]
 
+    @property
+    def row_bytes(self) -> int:
+        """A generous per-row size in memory, from the declared types (strings at 64 bytes)."""
+        return sum(_TYPE_BYTES.get(t.split("(")[0], 64) for _, t in self.columns) + 8 * len(self.columns)
+
+
+_TYPE_BYTES = {"string": 64, "decimal": 16, "timestamp_ntz": 8, "int": 4, "bigint": 8, "date": 4}
+
 
 def _cols(spec: str) -> tuple[tuple[str, str], ...]:
     """'a bigint, b, c ts' -> (('a','bigint'), ('b','string'), ('c', TS)); untyped means string."""

@@ -8,13 +8,15 @@ Layout under one root (a shared folder the cluster sees):
     slices/<table>/v=<run_id>/      the extracted slice, written once so the source is read once
 
 A version directory is never overwritten while it can be read; a table's current version is the one named
-by its newest control row, so a run that dies between the data write and the control write leaves the old
+by its newest committed control row, so a run that dies between the data write and the control write leaves the old
 version current, and replaying the run is safe (the merge is idempotent). Old versions can be deleted once
 no control row names them.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,7 @@ from levyline.schemas import TableSpec
 
 CONTROL_SCHEMA = (
     "table_name string, last_loaded_at timestamp_ntz, last_run_at timestamp_ntz, rows_loaded bigint,"
-    " run_id string, version string"
+    " run_id string, version string, committed_at timestamp_ntz"
 )
 
 
@@ -55,7 +57,9 @@ class Warehouse:
     def control(self) -> DataFrame:
         """The newest control row per table (a handful of rows)."""
         hist = self.control_history()
-        newest = hist.groupBy("table_name").agg(F.max_by(F.struct(*hist.columns), F.col("run_id")).alias("r"))
+        newest = hist.groupBy("table_name").agg(
+            F.max_by(F.struct(*hist.columns), F.struct("committed_at", "run_id")).alias("r")
+        )
         return newest.select("r.*")
 
     def current_version(self, table: str) -> str | None:
@@ -63,6 +67,9 @@ class Warehouse:
         return row[0][0] if row else None
 
     def write_control(self, row: DataFrame, run_id: str, table: str) -> None:
+        """Commit a table's control row; the newest commit (wall clock) names the current version."""
+        committed = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S.%f")
+        row = row.withColumn("committed_at", F.lit(committed).cast("timestamp_ntz"))
         row.select(*[c.split()[0] for c in CONTROL_SCHEMA.split(",")]).coalesce(1).write.mode("overwrite").parquet(
             self.control_path(run_id, table)
         )
