@@ -30,6 +30,8 @@ LOAD_RULES = (
 NO_NEW_DATA = "0 (no new data)"
 NOT_REPORTED = "—"
 MAX_ERRORS = 20
+# The model-stage error shown when the load failed and the models were not run.
+MODELS_SKIPPED = "dbt was skipped because the ETL step failed."
 
 _LINE_BREAK = r"\r\n|\n|\r"
 _STRIP = r"^\s+|\s+$"
@@ -140,7 +142,7 @@ def run_status(load: DataFrame, models: DataFrame, exits: DataFrame | None = Non
     else:
         df = df.withColumns({"load_exit": F.lit(None).cast("int"), "models_exit": F.lit(None).cast("int")})
     load_ok = (F.coalesce(F.col("load_exit"), F.lit(0)) == 0) & (F.size("errors") == 0)
-    skipped = F.array(F.lit("dbt was skipped because the ETL step failed."))
+    skipped = F.array(F.lit(MODELS_SKIPPED))
     models_ok = F.when(load_ok, F.coalesce(F.col("success"), F.lit(False)) & (F.coalesce(F.col("models_exit"), F.lit(0)) == 0)).otherwise(False)
     incremental = {"at_rows", "bt_rows", "enum_rows", "mu_rows"}
     shown = {

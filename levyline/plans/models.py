@@ -92,3 +92,11 @@ class RevenueModels:
 
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+
+def register_views(spark, models: RevenueModels, names=None) -> list[str]:
+    """Expose models as temporary views (the staging layer as views), for SQL users."""
+    names = list(names or (RevenueModels.STAGING + RevenueModels.MARTS))
+    for n in names:
+        models.model(n).createOrReplaceTempView(n)
+    return names
