@@ -221,18 +221,19 @@ def load_accounting(spark, sf_dir, marks: dict[str, str]) -> DataFrame:
         control_rows,
         extract_slice,
         lookback,
-        read_watermark,
+        read_watermarks,
     )
     from levyline.schemas import LOAD_ORDER
 
     control = control_rows(spark, {t: (m, RUN_START, 0) for t, m in marks.items()})
+    stored = read_watermarks(control, [s.name for s in LOAD_ORDER if s.refresh != "full"])
     rows = []
     for spec in LOAD_ORDER:
         src = _raw(spark, sf_dir, spec.name)
         if spec.refresh == "full":
             rows.append(after_full_refresh(src, spec, RUN_START))
         else:
-            w = read_watermark(control, spec.name)
+            w = stored[spec.name]
             rows.append(after_incremental(extract_slice(src, spec, lookback(w)), spec, w, RUN_START))
     out = rows[0]
     for r in rows[1:]:
