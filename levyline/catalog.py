@@ -38,7 +38,10 @@ _PLANS: "weakref.WeakKeyDictionary[SparkSession, dict[str, RevenueModels]]" = we
 def models(spark: SparkSession, sf_dir: str) -> RevenueModels:
     """The model graph over one test folder, built once per session (plans only: every action re-reads
     the files). Building a plan costs driver round-trips per expression; data work is unaffected."""
-    per_session = _PLANS.setdefault(spark, {})
+    try:
+        per_session = _PLANS.setdefault(spark, {})
+    except TypeError:  # a session type that cannot be weakly referenced: build each time
+        per_session = {}
     if sf_dir not in per_session:
         per_session[sf_dir] = RevenueModels(fixtures.raw_tables(spark, sf_dir))
     return per_session[sf_dir]

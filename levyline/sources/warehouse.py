@@ -48,11 +48,24 @@ class Warehouse:
         return f"{self.root}/control/{run_id}.{table}"
 
     # control table
-    def control_history(self) -> DataFrame:
+    def exists(self, path: str) -> bool:
+        """Whether ``path`` exists on the cluster file system (the Hadoop FileSystem of the session)."""
         try:
-            return self.spark.read.schema(CONTROL_SCHEMA).parquet(f"{self.root}/control/*")
-        except AnalysisException:
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            return bool(p.getFileSystem(conf).exists(p))
+        except Exception:  # no JVM access (e.g. a remote session): try reading instead
+            try:
+                self.spark.read.format("binaryFile").load(path).limit(1).count()
+                return True
+            except AnalysisException:
+                return False
+
+    def control_history(self) -> DataFrame:
+        if not self.exists(f"{self.root}/control"):
             return self.spark.createDataFrame([], CONTROL_SCHEMA)
+        return self.spark.read.schema(CONTROL_SCHEMA).parquet(f"{self.root}/control/*")
 
     def control(self) -> DataFrame:
         """The newest control row per table (a handful of rows)."""
