@@ -126,12 +126,12 @@ MERCHANT_USER = _conform(
         "user_cat": "c_mktsegment",
         "lga": "'LGA-' || CAST(c_custkey % 5 AS VARCHAR)",
         "email": "CASE WHEN c_custkey % 50 = 49 THEN NULL ELSE 'user' || CAST(CASE WHEN c_custkey >= 100"
-        " THEN c_custkey - 100 ELSE c_custkey + 5 END AS VARCHAR) || '@example.org' END",
+        " AND c_custkey % 100 < 10 THEN c_custkey - 100 ELSE c_custkey + 5 END AS VARCHAR) || '@example.org' END",
         "status": "CASE WHEN c_acctbal > 0 THEN 'Verified' ELSE 'Pending' END",
         "create_time": _after("2024-01-01", "c_custkey % 28"),
         "update_time": f"CASE WHEN c_custkey % 3 = 0 THEN {_after('2024-01-15', 'c_custkey % 14')} END",
     },
-    "(SELECT * FROM customer WHERE c_custkey < 110)",
+    "customer",
 )
 
 RAW = {
