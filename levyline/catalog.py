@@ -7,6 +7,7 @@ presentation the DuckDB oracle applies, so that clients that turn decimals into
 
 from __future__ import annotations
 
+import uuid
 import weakref
 from collections.abc import Callable
 
@@ -14,7 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from levyline.functions import ts_lit
+from levyline.operators import profile, quality, runlog
+from levyline.operators import watermark as wm
+from levyline.operators.merge import merge
+from levyline.operators.schema_ops import migrate_integral_to_string
+from levyline.plans import reports
 from levyline.plans.models import RevenueModels
+from levyline.plans.pipeline import MART_ORDER, model_log_lines, render_load_log, write_logs
+from levyline.plans.staging import STAGING
+from levyline.schemas import (
+    AGENT_TRANSACTIONS,
+    DATA_TESTS,
+    LOAD_ORDER,
+    MERCHANT_USER,
+    PROFILE_EXPECTED_COLUMNS,
+    PROFILE_SAMPLE_COLUMNS,
+    SPECS,
+)
+from levyline.session import shared_dir
 from levyline.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +66,29 @@ def models(spark: SparkSession, sf_dir: str) -> RevenueModels:
     return per_session[sf_dir]
 
 
+def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return models(spark, sf_dir).raw[name]
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+QUERIES: dict[str, Query] = {}
+
+
+def _register(name: str):
+    def deco(fn):
+        QUERIES[name] = fn
+        return fn
+
+    return deco
+
+
+# --- staging views and marts --------------------------------------------------------------------------------
 def _model_query(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(models(spark, sf_dir).model(name))
@@ -55,8 +97,6 @@ def _model_query(name: str) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {}
-
 for _name in RevenueModels.STAGING + (
     "fct_transactions",
     "fct_concession_permits",
@@ -69,8 +109,7 @@ for _name in RevenueModels.STAGING + (
     QUERIES[_name] = _model_query(_name)
 
 
-# ---------------------------------------------------------------------------------------------------------
-# Scenario parameters of the registered load and report queries (dates inside the test data's range).
+# --- scenario parameters of the load and report queries (dates inside the test data's range) ----------------
 AS_OF = "2024-02-03"  # a Saturday: the report covers 2024-01-27 .. 2024-02-02
 RUN_START = "2024-02-03 06:00:00"
 STORED_MARKS = {  # control table before the run
@@ -83,232 +122,164 @@ FUTURE_MARK = "2024-03-01 00:00:00"  # a mark past all data: every incremental s
 BULK_FROM = "2024-01-28 00:00:00"
 
 
+# --- weekly reports ------------------------------------------------------------------------------------------
 def _reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    from levyline.plans.reports import weekly_reports
-
-    return weekly_reports(models(spark, sf_dir), AS_OF)
-
-
-def report_mda(spark, sf_dir):
-    return present(_reports(spark, sf_dir)["mda"])
-
+    return reports.weekly_reports(models(spark, sf_dir), AS_OF)
 
-def report_eticket(spark, sf_dir):
-    return present(_reports(spark, sf_dir)["eticket"])
 
+def _report_query(report: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return present(_reports(spark, sf_dir)[report])
 
-def report_bus(spark, sf_dir):
-    return present(_reports(spark, sf_dir)["bus"])
+    return run
 
 
-def report_agent_enumeration(spark, sf_dir):
-    return present(_reports(spark, sf_dir)["agents"])
+QUERIES["report_mda"] = _report_query("mda")
+QUERIES["report_eticket"] = _report_query("eticket")
+QUERIES["report_bus"] = _report_query("bus")
+QUERIES["report_agent_enumeration"] = _report_query("agents")
 
 
+@_register("report_index")
 def report_index(spark, sf_dir):
-    from levyline.plans.reports import report_index as index
-
-    return index(_reports(spark, sf_dir), AS_OF)
+    return reports.report_index(_reports(spark, sf_dir), AS_OF)
 
 
+@_register("report_csv_roundtrip")
 def report_csv_roundtrip(spark, sf_dir):
-    """Write the four CSV files to the shared folder and read them back: header and row count per file."""
-    from levyline.plans.reports import REPORT_FILES, write_reports
-    from levyline.session import shared_dir
-
-    import uuid
-
+    """Write the four CSV files to the shared folder and read them back: header and line counts per file."""
     out = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
-    paths = write_reports(_reports(spark, sf_dir), AS_OF, out)
-    schema = "report string, header string, lines bigint, data_rows bigint"
+    paths = reports.write_reports(_reports(spark, sf_dir), AS_OF, out)
     if not paths:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "report string, header string, lines bigint, data_rows bigint")
     parts = []
-    for name, _stem in REPORT_FILES:
+    for name, _stem in reports.REPORT_FILES:
         header = ",".join(spark.read.option("header", True).csv(paths[name]).columns)
-        lines = spark.read.text(paths[name])
         parts.append(
-            lines.agg(
-                F.count(F.lit(1)).alias("lines"),
-                F.count_if(F.col("value") != F.lit(header)).alias("data_rows"),
-            ).select(F.lit(name).alias("report"), F.lit(header).alias("header"), "lines", "data_rows")
+            spark.read.text(paths[name])
+            .agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("value") != F.lit(header)).alias("data_rows"))
+            .select(F.lit(name).alias("report"), F.lit(header).alias("header"), "lines", "data_rows")
         )
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
-
-
-# --- extract slices -----------------------------------------------------------------------------------
-def _raw(spark, sf_dir, name):
-    return models(spark, sf_dir).raw[name]
+    return _union(parts)
 
 
+# --- extract slices ------------------------------------------------------------------------------------------
+@_register("extract_slice_transactions")
 def extract_slice_transactions(spark, sf_dir):
-    from levyline.operators.watermark import extract_slice, lookback
-    from levyline.schemas import AGENT_TRANSACTIONS as S
-
-    return present(extract_slice(_raw(spark, sf_dir, S.name), S, lookback(STORED_MARKS[S.name])))
+    s = AGENT_TRANSACTIONS
+    return present(wm.extract_slice(_raw(spark, sf_dir, s.name), s, wm.lookback(STORED_MARKS[s.name])))
 
 
+@_register("extract_slice_merchants")
 def extract_slice_merchants(spark, sf_dir):
-    from levyline.operators.watermark import extract_slice, lookback
-    from levyline.schemas import MERCHANT_USER as S
-
-    return present(extract_slice(_raw(spark, sf_dir, S.name), S, lookback(STORED_MARKS[S.name])))
+    s = MERCHANT_USER
+    return present(wm.extract_slice(_raw(spark, sf_dir, s.name), s, wm.lookback(STORED_MARKS[s.name])))
 
 
+@_register("bulk_extract")
 def bulk_extract(spark, sf_dir):
     """Back-fill: every transaction paid on or after the start, merged (upsert policy) into an empty table."""
-    from levyline.operators.merge import merge
-    from levyline.schemas import AGENT_TRANSACTIONS as S
-    from levyline.functions import ts_lit
-
-    src = _raw(spark, sf_dir, S.name)
-    slice_ = src.filter(F.col("payment_date") >= ts_lit(BULK_FROM))
-    empty = spark.createDataFrame([], S.schema)
-    return present(merge(empty, slice_, S))
-
+    s = AGENT_TRANSACTIONS
+    slice_ = _raw(spark, sf_dir, s.name).filter(F.col("payment_date") >= ts_lit(BULK_FROM))
+    return present(merge(spark.createDataFrame([], s.schema), slice_, s))
+
+
+# --- merges --------------------------------------------------------------------------------------------------
+# Stale values an earlier load left in the target (FIXTURES.md §3); the oracle uses the same.
+STALE_VALUES = {
+    "agent_transactions": {"status": "Processing", "amount": 0, "comment": "loaded earlier"},
+    "bus_ticketing_transaction": {"amount": 0, "route_name": "old route"},
+    "enumeration": {"category": "Changed"},
+    "merchant_user": {"status": "Old", "bank": "Old Bank"},
+}
+STALE_COLUMN = {"rev_sub_newcode": "mda", "concession_permit": "category"}
 
-# --- merges ---------------------------------------------------------------------------------------------
-def prior_target(spark, sf_dir, name: str) -> DataFrame:
-    """The target as an earlier load left it: rows up to the stored mark, with stale values (FIXTURES.md §3)."""
-    from levyline.functions import ts_lit
-    from levyline.schemas import SPECS
 
+def prior_target(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The target as an earlier load left it: rows up to the stored mark, with stale values."""
     spec = SPECS[name]
-    src = _raw(spark, sf_dir, name)
-    mark = ts_lit(STORED_MARKS[name])
-    stale = {
-        "agent_transactions": {"status": F.lit("Processing"), "amount": F.lit(0), "comment": F.lit("loaded earlier")},
-        "bus_ticketing_transaction": {"amount": F.lit(0), "route_name": F.lit("old route")},
-        "enumeration": {"category": F.lit("Changed")},
-        "merchant_user": {"status": F.lit("Old"), "bank": F.lit("Old Bank")},
-    }[name]
-    before = src.filter(F.col(spec.hwm[0]) <= mark)
-    return before.withColumns({c: v.cast(spec.type_of(c)) for c, v in stale.items()})
-
-
-def _merge_query(name: str):
-    def run(spark, sf_dir):
-        from levyline.operators.merge import merge
-        from levyline.operators.watermark import extract_slice, lookback
-        from levyline.schemas import SPECS
+    before = _raw(spark, sf_dir, name).filter(F.col(spec.hwm[0]) <= ts_lit(STORED_MARKS[name]))
+    return before.withColumns({c: F.lit(v).cast(spec.type_of(c)) for c, v in STALE_VALUES[name].items()})
 
+
+def _merge_query(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = SPECS[name]
-        slice_ = extract_slice(_raw(spark, sf_dir, name), spec, lookback(STORED_MARKS[name]))
+        slice_ = wm.extract_slice(_raw(spark, sf_dir, name), spec, wm.lookback(STORED_MARKS[name]))
         return present(merge(prior_target(spark, sf_dir, name), slice_, spec))
 
     return run
 
 
-STALE_COLUMN = {"rev_sub_newcode": "mda", "concession_permit": "category"}
-
-
-def _full_refresh_query(name: str):
-    def run(spark, sf_dir):
-        from levyline.operators.merge import merge
-        from levyline.schemas import SPECS
-
-        spec = SPECS[name]
+def _full_refresh_query(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         src = _raw(spark, sf_dir, name)
         stale = src.withColumn(STALE_COLUMN[name], F.lit("stale"))  # the copy an earlier reload left
-        return present(merge(stale, src, spec))
+        return present(merge(stale, src, SPECS[name]))
 
     return run
 
 
-# --- watermarks -------------------------------------------------------------------------------------------
-def load_accounting(spark, sf_dir, marks: dict[str, str]) -> DataFrame:
-    """Control rows after one run of all six loaders, given the stored marks (others fall back)."""
-    from levyline.operators.watermark import (
-        after_full_refresh,
-        after_incremental,
-        control_rows,
-        extract_slice,
-        lookback,
-        read_watermarks,
-    )
-    from levyline.schemas import LOAD_ORDER
+QUERIES["merge_agent_transactions"] = _merge_query("agent_transactions")
+QUERIES["merge_bus_ticketing"] = _merge_query("bus_ticketing_transaction")
+QUERIES["merge_enumeration_insert_only"] = _merge_query("enumeration")
+QUERIES["merge_merchant_user_scd1"] = _merge_query("merchant_user")
+QUERIES["full_refresh_rev_codes"] = _full_refresh_query("rev_sub_newcode")
+QUERIES["full_refresh_permits"] = _full_refresh_query("concession_permit")
 
-    control = control_rows(spark, {t: (m, RUN_START, 0) for t, m in marks.items()})
-    stored = read_watermarks(control, [s.name for s in LOAD_ORDER if s.refresh != "full"])
+
+# --- watermarks ----------------------------------------------------------------------------------------------
+def load_accounting(spark: SparkSession, sf_dir: str, marks: dict[str, str]) -> DataFrame:
+    """Control rows after one run of all six loaders, given the stored marks (others fall back)."""
+    control = wm.control_rows(spark, {t: (m, RUN_START, 0) for t, m in marks.items()})
+    stored = wm.read_watermarks(control, [s.name for s in LOAD_ORDER if s.refresh != "full"])
     rows = []
     for spec in LOAD_ORDER:
         src = _raw(spark, sf_dir, spec.name)
         if spec.refresh == "full":
-            rows.append(after_full_refresh(src, spec, RUN_START))
+            rows.append(wm.after_full_refresh(src, spec, RUN_START))
         else:
             w = stored[spec.name]
-            rows.append(after_incremental(extract_slice(src, spec, lookback(w)), spec, w, RUN_START))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+            rows.append(wm.after_incremental(wm.extract_slice(src, spec, wm.lookback(w)), spec, w, RUN_START))
+    return _union(rows)
 
 
+@_register("watermark_after_load")
 def watermark_after_load(spark, sf_dir):
     return load_accounting(spark, sf_dir, STORED_MARKS)
 
 
+@_register("watermark_after_empty_load")
 def watermark_after_empty_load(spark, sf_dir):
     return load_accounting(spark, sf_dir, {t: FUTURE_MARK for t in STORED_MARKS})
 
 
-QUERIES.update(
-    {
-        "report_mda": report_mda,
-        "report_eticket": report_eticket,
-        "report_bus": report_bus,
-        "report_agent_enumeration": report_agent_enumeration,
-        "report_index": report_index,
-        "report_csv_roundtrip": report_csv_roundtrip,
-        "extract_slice_transactions": extract_slice_transactions,
-        "extract_slice_merchants": extract_slice_merchants,
-        "bulk_extract": bulk_extract,
-        "merge_agent_transactions": _merge_query("agent_transactions"),
-        "merge_bus_ticketing": _merge_query("bus_ticketing_transaction"),
-        "merge_enumeration_insert_only": _merge_query("enumeration"),
-        "merge_merchant_user_scd1": _merge_query("merchant_user"),
-        "full_refresh_rev_codes": _full_refresh_query("rev_sub_newcode"),
-        "full_refresh_permits": _full_refresh_query("concession_permit"),
-        "watermark_after_load": watermark_after_load,
-        "watermark_after_empty_load": watermark_after_empty_load,
-    }
-)
-
-
 # --- data tests and source profile ---------------------------------------------------------------------------
 # Columns whose duplicates fan out joins (not declared tests; reported with the declared unique tests).
 FAN_OUT_CHECKS = (("merchant_user", "email"), ("concession_permit", "product_code"))
 
 
+@_register("dq_unique")
 def dq_unique(spark, sf_dir):
-    from levyline.operators.quality import unique_report
-    from levyline.schemas import DATA_TESTS
-
     checks = [(t, c) for t, c, k in DATA_TESTS if k == "unique"] + list(FAN_OUT_CHECKS)
-    return unique_report(models(spark, sf_dir).raw, checks)
+    return quality.unique_report(models(spark, sf_dir).raw, checks)
 
 
+@_register("dq_not_null")
 def dq_not_null(spark, sf_dir):
-    from levyline.operators.quality import not_null_report
-    from levyline.schemas import DATA_TESTS
-
-    return not_null_report(models(spark, sf_dir).raw, [(t, c) for t, c, k in DATA_TESTS if k == "not_null"])
+    return quality.not_null_report(models(spark, sf_dir).raw, [(t, c) for t, c, k in DATA_TESTS if k == "not_null"])
 
 
+@_register("dq_suite")
 def dq_suite(spark, sf_dir):
-    from levyline.operators.quality import run_suite
-    from levyline.schemas import DATA_TESTS
-
-    return run_suite(models(spark, sf_dir).raw, DATA_TESTS)
+    return quality.run_suite(models(spark, sf_dir).raw, DATA_TESTS)
 
 
 def _at(spark, sf_dir):
     return _raw(spark, sf_dir, "agent_transactions")
 
 
+@_register("profile_counts")
 def profile_counts(spark, sf_dir):
     df = _at(spark, sf_dir)
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -316,171 +287,87 @@ def profile_counts(spark, sf_dir):
     )
 
 
+@_register("profile_date_range")
 def profile_date_range(spark, sf_dir):
-    from levyline.operators.profile import time_ranges
-
-    return time_ranges(_at(spark, sf_dir), ["trans_date", "payment_date"])
+    return profile.time_ranges(_at(spark, sf_dir), ["trans_date", "payment_date"])
 
 
+@_register("profile_status_top10")
 def profile_status_top10(spark, sf_dir):
-    from levyline.operators.profile import top_values
-
-    return top_values(_at(spark, sf_dir), "status", 10)
+    return profile.top_values(_at(spark, sf_dir), "status", 10)
 
 
+@_register("profile_amounts")
 def profile_amounts(spark, sf_dir):
-    from levyline.operators.profile import amount_summary
-
-    return present(amount_summary(_at(spark, sf_dir), "amount"))
+    return present(profile.amount_summary(_at(spark, sf_dir), "amount"))
 
 
+@_register("profile_latest5")
 def profile_latest5(spark, sf_dir):
-    from levyline.operators.profile import latest_rows
-    from levyline.schemas import PROFILE_SAMPLE_COLUMNS
-
-    return present(latest_rows(_at(spark, sf_dir), "trans_date", "idagent_transactions", PROFILE_SAMPLE_COLUMNS, 5))
+    return present(
+        profile.latest_rows(_at(spark, sf_dir), "trans_date", "idagent_transactions", PROFILE_SAMPLE_COLUMNS, 5)
+    )
 
 
+@_register("schema_check")
 def schema_check(spark, sf_dir):
-    from levyline.operators.profile import path_exists, schema_check as check
-    from levyline.schemas import PROFILE_EXPECTED_COLUMNS
+    exists = profile.path_exists(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    return profile.schema_check(_at(spark, sf_dir), "agent_transactions", PROFILE_EXPECTED_COLUMNS, exists)
 
-    exists = path_exists(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
-    return check(_at(spark, sf_dir), "agent_transactions", PROFILE_EXPECTED_COLUMNS, exists)
 
-
-def old_rev_codes(spark, sf_dir) -> DataFrame:
+def old_rev_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The revenue codes in the old layout, with rev_head still an integer (its value: the code number × 10)."""
     return _raw(spark, sf_dir, "rev_sub_newcode").withColumn("rev_head", (F.col("id") * 10).cast("int"))
 
 
+@_register("schema_migrate_rev_head")
 def schema_migrate_rev_head(spark, sf_dir):
-    from levyline.operators.schema_ops import migrate_integral_to_string
-
     return migrate_integral_to_string(old_rev_codes(spark, sf_dir), "rev_head")
 
 
-QUERIES.update(
-    {
-        "dq_unique": dq_unique,
-        "dq_not_null": dq_not_null,
-        "dq_suite": dq_suite,
-        "profile_counts": profile_counts,
-        "profile_date_range": profile_date_range,
-        "profile_status_top10": profile_status_top10,
-        "profile_amounts": profile_amounts,
-        "profile_latest5": profile_latest5,
-        "schema_check": schema_check,
-        "schema_migrate_rev_head": schema_migrate_rev_head,
-    }
-)
-
-
 # --- run logs ------------------------------------------------------------------------------------------------
-# Four runs in the shapes the parser must handle: all good; one table without new data; one failing model;
-# a failed load (model stage skipped). Their figures are the load accounting of the whole tables.
-LOG_PREFIX = "2024-02-03 06:00:01  INFO      "
-ERROR_PREFIX = "2024-02-03 06:00:02  ERROR     "
-
-
-def render_load_log(accounting: DataFrame, elapsed: str | None, errors: list[str]) -> DataFrame:
-    """Load-log lines (line_no, value), in load order, from a run's control rows."""
-    from levyline.schemas import LOAD_ORDER
-
-    full = [s.name for s in LOAD_ORDER if s.refresh == "full"]
-    order = F.array_position(F.array(*[F.lit(s.name) for s in LOAD_ORDER]), F.col("table_name"))
-    n = F.format_number(F.col("rows_loaded"), 0)
-    text = (
-        F.when(F.col("table_name").isin(*full), F.concat(F.col("table_name"), F.lit(": "), n, F.lit(" rows reloaded.")))
-        .when(F.col("rows_loaded") == 0, F.concat(F.lit("Table: "), F.col("table_name"), F.lit(" - Nothing to load.")))
-        .otherwise(
-            F.concat(F.col("table_name"), F.lit(": "), n, F.lit(" rows loaded. New watermark: "),
-                     F.col("last_loaded_at").cast("string"))
-        )
-    )
-    lines = accounting.select(order.alias("line_no"), F.concat(F.lit(LOG_PREFIX), text).alias("value"))
-    tail = [ERROR_PREFIX + e for e in errors]
-    if elapsed is not None:
-        tail.append(f"{LOG_PREFIX}ETL completed in {elapsed}")
-    if tail:
-        base = len(LOAD_ORDER) + 1
-        lines = lines.unionByName(
-            accounting.sparkSession.createDataFrame([(base + i, t) for i, t in enumerate(tail)], "line_no long, value string")
-        )
-    return lines
-
-
-def write_logs(lines: DataFrame, path: str) -> None:
-    """Write (run_id, line_no, value) as one text file per run under ``path``/run_id=<id>/, lines in order."""
-    (
-        lines.repartition("run_id")
-        .sortWithinPartitions("run_id", "line_no")
-        .select("run_id", "value")
-        .write.mode("overwrite")
-        .partitionBy("run_id")
-        .text(path)
-    )
-
-
 def scenario_logs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Write the four runs' load and model logs to the shared folder; returns (logs root, exit codes)."""
-    import uuid
-
-    from levyline.plans.pipeline import MART_ORDER, model_log_lines
-    from levyline.plans.staging import STAGING
-    from levyline.session import shared_dir
+    """Four runs' load and model logs, written to the shared folder; returns (logs root, exit codes).
 
+    The runs have the shapes the parser must handle: all good; one table without new data; one failing
+    model; a failed load (model stage skipped). Their figures are the load accounting of the whole tables.
+    """
     root = f"{shared_dir(spark)}/logs-{uuid.uuid4().hex}"
-    models_ = [f"stg_{n}" for n in STAGING] + list(MART_ORDER)
+    model_names = [f"stg_{n}" for n in STAGING] + list(MART_ORDER)
     normal = load_accounting(spark, sf_dir, STORED_MARKS)
     quiet_bus = load_accounting(spark, sf_dir, dict(STORED_MARKS, bus_ticketing_transaction=FUTURE_MARK))
-    runs = {
-        "run1-all-good": (normal, "0:00:12.345678", [], model_log_lines(models_, elapsed_s=3.21), 0, 0),
-        "run2-no-bus-data": (quiet_bus, "0:00:10.000001", [], model_log_lines(models_, elapsed_s=2.5), 0, 0),
-        "run3-model-fails": (
-            normal, "0:00:12.5", [],
-            model_log_lines(models_, {"agg_concession_by_plancode": "division by zero"}, elapsed_s=4.0), 0, 1,
-        ),
+    failing = {"agg_concession_by_plancode": "division by zero"}
+    runs = {  # run_id: (accounting, elapsed, error lines, model log, load exit, model exit)
+        "run1-all-good": (normal, "0:00:12.345678", [], model_log_lines(model_names, elapsed_s=3.21), 0, 0),
+        "run2-no-bus-data": (quiet_bus, "0:00:10.000001", [], model_log_lines(model_names, elapsed_s=2.5), 0, 0),
+        "run3-model-fails": (normal, "0:00:12.5", [], model_log_lines(model_names, failing, elapsed_s=4.0), 0, 1),
         "run4-load-fails": (normal, None, ["ETL failed: connection to the source was reset"], None, 1, None),
     }
-    load_lines, model_lines, exits = None, [], []
+    load_lines, model_lines, exits = [], [], []
     for run_id, (acct, elapsed, errors, mlines, load_exit, models_exit) in runs.items():
-        part = render_load_log(acct, elapsed, errors).withColumn("run_id", F.lit(run_id))
-        load_lines = part if load_lines is None else load_lines.unionByName(part)
+        load_lines.append(render_load_log(acct, elapsed, errors).withColumn("run_id", F.lit(run_id)))
         model_lines += [(run_id, i, ln) for i, ln in enumerate(mlines or [])]
         exits.append((run_id, load_exit, models_exit))
-    write_logs(load_lines, f"{root}/load")
+    write_logs(_union(load_lines), f"{root}/load")
     write_logs(spark.createDataFrame(model_lines, "run_id string, line_no long, value string"), f"{root}/models")
     return root, spark.createDataFrame(exits, "run_id string, load_exit int, models_exit int")
 
 
+@_register("runlog_load_summary")
 def runlog_load_summary(spark, sf_dir):
-    from levyline.operators.runlog import parse_load_logs, read_logs
-
     root, _ = scenario_logs(spark, sf_dir)
-    return parse_load_logs(read_logs(spark, f"{root}/load"))
+    return runlog.parse_load_logs(runlog.read_logs(spark, f"{root}/load"))
 
 
+@_register("runlog_model_summary")
 def runlog_model_summary(spark, sf_dir):
-    from levyline.operators.runlog import parse_model_logs, read_logs
-
     root, _ = scenario_logs(spark, sf_dir)
-    return parse_model_logs(read_logs(spark, f"{root}/models"))
+    return runlog.parse_model_logs(runlog.read_logs(spark, f"{root}/models"))
 
 
+@_register("runlog_status")
 def runlog_status(spark, sf_dir):
-    from levyline.operators.runlog import parse_load_logs, parse_model_logs, read_logs, run_status
-
     root, exits = scenario_logs(spark, sf_dir)
-    load = parse_load_logs(read_logs(spark, f"{root}/load"))
-    models = parse_model_logs(read_logs(spark, f"{root}/models"))
-    return run_status(load, models, exits)
-
-
-QUERIES.update(
-    {
-        "runlog_load_summary": runlog_load_summary,
-        "runlog_model_summary": runlog_model_summary,
-        "runlog_status": runlog_status,
-    }
-)
+    load = runlog.parse_load_logs(runlog.read_logs(spark, f"{root}/load"))
+    model = runlog.parse_model_logs(runlog.read_logs(spark, f"{root}/models"))
+    return runlog.run_status(load, model, exits)

@@ -32,7 +32,7 @@ for _name, _decimals in MODEL_DECIMALS.items():
 
 # ---------------------------------------------------------------------------------------------------------
 from levyline import schemas as _schemas  # noqa: E402
-from levyline.catalog import AS_OF, BULK_FROM, FUTURE_MARK, RUN_START, STORED_MARKS  # noqa: E402
+from levyline.catalog import AS_OF, BULK_FROM, FUTURE_MARK, RUN_START, STALE_VALUES, STORED_MARKS  # noqa: E402
 from levyline.operators.watermark import lookback as _lookback  # noqa: E402
 from levyline.plans.reports import REPORT_FILES, report_window  # noqa: E402
 
@@ -111,19 +111,16 @@ ORACLE["bulk_extract"] = present(
     _raw_decimals(_schemas.AGENT_TRANSACTIONS),
 )
 
-# Stale values of the prior targets (same scenario as levyline.catalog.prior_target).
-_STALE = {
-    "agent_transactions": {"status": "'Processing'", "amount": "0", "comment": "'loaded earlier'"},
-    "bus_ticketing_transaction": {"amount": "0", "route_name": "'old route'"},
-    "enumeration": {"category": "'Changed'"},
-    "merchant_user": {"status": "'Old'", "bank": "'Old Bank'"},
-}
+def _sql_literal(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
 
 
 def _merge_sql(spec) -> str:
     from levyline.oracle.fixtures_sql import duck_type
 
-    stale = ", ".join(f"CAST({v} AS {duck_type(spec.type_of(c))}) AS {c}" for c, v in _STALE[spec.name].items())
+    stale = ", ".join(
+        f"CAST({_sql_literal(v)} AS {duck_type(spec.type_of(c))}) AS {c}" for c, v in STALE_VALUES[spec.name].items()
+    )
     mark = STORED_MARKS[spec.name]
     tgt = f"SELECT * REPLACE ({stale}) FROM {spec.name}_raw WHERE {spec.hwm[0]} <= {_ts(mark)}"
     src = f"SELECT * FROM {spec.name}_raw WHERE {_slice_where(spec, _lookback(mark))}"
