@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from levyline.oracle.fixtures_sql import RAW
 from levyline import schemas
+from levyline.functions.flags import PAYMENT_METHOD_GROUPS
 from levyline.plans import marts, staging
 
 
@@ -48,12 +49,19 @@ _FCT_COMPUTED = {
     "is_completed": "CASE WHEN t.status = 'Completed' THEN true ELSE false END",
     "is_reversed": "CASE WHEN t.status = 'Reversed' THEN true ELSE false END",
     "is_negative_amount": "CASE WHEN t.amount < 0 THEN true ELSE false END",
-    "payment_method_clean": "CASE WHEN t.payment_method IN ('Card', 'card') THEN 'Card'"
-    " WHEN t.payment_method IN ('Bank', 'bank', 'Bank Transfer') THEN 'Bank Transfer'"
-    " WHEN t.payment_method IN ('Cash', 'cash') THEN 'Cash'"
-    " WHEN t.payment_method IN ('USSD', 'ussd') THEN 'USSD'"
-    " ELSE coalesce(t.payment_method, 'Unknown') END",
+    "payment_method_clean": "CASE "
+    + " ".join(
+        f"WHEN t.payment_method IN ({', '.join(repr(v) for v in spellings)}) THEN '{label}'"
+        for label, spellings in PAYMENT_METHOD_GROUPS
+    )
+    + " ELSE coalesce(t.payment_method, 'Unknown') END",
 }
+
+
+def _simple_case(expr: str, mapping: dict[str, str]) -> str:
+    return f"CASE {expr} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
 _FCT_SELECT = ", ".join(
     f"{_FCT_COMPUTED[c]} AS {c}" if c in _FCT_COMPUTED else f"t.{c}" for c in marts.FCT_TRANSACTION_COLUMNS
 )
@@ -94,11 +102,10 @@ MARTS = {
     " (SELECT s.transaction_id AS pt_id, c.* FROM stg_agent_transactions s"
     "  JOIN stg_concession_permit c ON s.revenue_item = c.product_code) p"
     " JOIN fct_transactions t ON p.pt_id = t.transaction_id",
-    "fct_agent_enumeration": """
+    "fct_agent_enumeration": f"""
 SELECT m.user_id, m.email AS agent_email, m.first_name, m.last_name, m.phone_no, m.lga, m.user_cat, m.bank,
        m.bank_account, m.agent_status, m.agent_code, e.revenue_item,
-       CASE e.revenue_item WHEN 'MarketEnumeration' THEN 'Market' WHEN 'TransportEnumeration' THEN 'Transport' END
-           AS revenue_type,
+       {_simple_case("e.revenue_item", marts.REVENUE_TYPES)} AS revenue_type,
        e.category, CAST(e.create_time AS DATE) AS create_day, strftime(e.create_time, '%Y-%m') AS create_month,
        CAST(extract(year FROM e.create_time) AS INTEGER) AS create_year,
        count(e.enumeration_pk) AS enumeration_count
@@ -131,10 +138,10 @@ GROUP BY payment_day, payment_month, payment_year, plan_code, category, product_
          transaction_channel, payment_method_clean
 """,
     "agg_bus_daily": _BUS_AGG,
-    "agg_combined_revenue_daily": """
+    "agg_combined_revenue_daily": f"""
 SELECT * FROM agg_bus_daily
 UNION ALL
-SELECT CASE plan_code WHEN 'Trader' THEN 'Market Ticket' WHEN 'Vehicle' THEN 'Vehicle Ticket' END,
+SELECT {_simple_case("plan_code", marts.REVENUE_SOURCES)},
        payment_day, payment_month, payment_year, lga, transaction_channel, payment_method_clean, category,
        product_code, product_name, transaction_count, unique_taxpayers, unique_agents,
        CAST(total_paid_amount AS DECIMAL(29,2)), avg_paid_amount, min_paid_amount, max_paid_amount,
