@@ -3,7 +3,8 @@
 Layout under one root (a shared folder the cluster sees):
 
     tables/<table>/v=<run_id>/      one full version of a loaded table per run that changed it
-    marts/<model>/v=<run_id>/       one full version of a mart per model run
+    marts/<model>/v=<run_id>/       a mart version; day-partitioned marts hold only the days that run wrote
+    marts/<model>/_manifest/<run>/  for day-partitioned marts: the version of each day that run wrote
     control/<run_id>.<table>/       the table's control row written by that run (written after its data)
     slices/<table>/v=<run_id>/      the extracted slice, written once so the source is read once
 
@@ -20,9 +21,12 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from levyline.schemas import TableSpec
 
+MANIFEST_SCHEMA = "day date, version string, run_id string, committed_at timestamp_ntz"
+
 CONTROL_SCHEMA = (
     "table_name string, last_loaded_at timestamp_ntz, last_run_at timestamp_ntz, rows_loaded bigint,"
     " run_id string, version string, committed_at timestamp_ntz"
@@ -115,6 +119,65 @@ class Warehouse:
         writer.parquet(path)
         return path
 
+    # day-partitioned marts: each run writes the days it recomputed; a manifest names each day's version
+    def manifest_path(self, model: str) -> str:
+        return f"{self.root}/marts/{model}/_manifest"
+
+    def mart_days(self, model: str) -> DataFrame:
+        """Current version of each day of a day-partitioned mart: (day, version); deleted days are absent."""
+        base = self.manifest_path(model)
+        if not self.exists(base):
+            return self.spark.createDataFrame([], "day date, version string")
+        hist = self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{base}/*")
+        newest = hist.groupBy("day").agg(F.max_by("version", F.struct("committed_at", "run_id")).alias("version"))
+        return newest.filter(F.col("version").isNotNull())
+
+    def _day_dirs(self, path: str, day_col: str) -> set:
+        """Day values present under a partitioned write (directory names ``day_col=<value>``)."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(conf)
+        if not fs.exists(root):
+            return set()
+        prefix = f"{day_col}="
+        return {
+            dt.date.fromisoformat(st.getPath().getName()[len(prefix):])
+            for st in fs.listStatus(root)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)
+        }
+
+    def write_days(self, df: DataFrame, model: str, day_col: str, key: str, run_id: str, days) -> None:
+        """Write ``df`` (rows of ``days`` only) as this run's version of those days, then commit the manifest:
+        each of ``days`` now points to this version, or is marked deleted when it has no rows any more.
+
+        The rows are range-partitioned on (day, key) first: a day holding a third of all rows is split over
+        many tasks, and each task writes few files."""
+        path = self.mart_path(model, run_id)
+        df.repartitionByRange(F.col(day_col), F.col(key)).write.mode("overwrite").partitionBy(day_col).parquet(path)
+        present = self._day_dirs(path, day_col)
+        committed = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S.%f")
+        rows = [(d, run_id if d in present else None, run_id) for d in sorted(set(days) | present)]
+        (
+            self.spark.createDataFrame(rows, "day date, version string, run_id string")
+            .withColumn("committed_at", F.lit(committed).cast("timestamp_ntz"))
+            .coalesce(1)
+            .write.mode("overwrite")
+            .parquet(f"{self.manifest_path(model)}/{run_id}")
+        )
+
+    def read_days(self, model: str, day_col: str, schema: T.StructType, days=None) -> DataFrame:
+        """The current rows of a day-partitioned mart (only ``days`` when given: the other days are not read)."""
+        current = self.mart_days(model)
+        if days is not None:
+            current = current.filter(F.col("day").isin(list(days)))
+        versions = current.collect()  # one row per day: bounded by the calendar, not by the data
+        if not versions:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.mart_path(model, r['version'])}/{day_col}={r['day'].isoformat()}" for r in versions]
+        df = self.spark.read.option("basePath", f"{self.root}/marts/{model}").parquet(*paths)
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
     def read_mart(self, model: str, version: str, schema=None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         df = reader.parquet(self.mart_path(model, version))
