@@ -25,22 +25,31 @@ def _in_window(col: str, start: str, end: str):
     return F.col(col).between(date_lit(start), date_lit(end))
 
 
-def report_mda(agg_revenue_daily: DataFrame, start: str, end: str) -> DataFrame:
+def _ordered(df: DataFrame, col: str) -> DataFrame:
+    """Largest first, NULL first (the source database's DESC)."""
+    return df.orderBy(F.col(col).desc_nulls_first())
+
+
+# The ordering column of each report.
+REPORT_ORDER = {"mda": "total_amount", "eticket": "Revenue", "bus": "revenue", "agents": "total_enumeration_count"}
+
+
+def report_mda(agg_revenue_daily: DataFrame, start: str, end: str, ordered: bool = True) -> DataFrame:
     """Collections per MDA: re-aggregation of the daily mart over the window."""
-    return (
+    out = (
         agg_revenue_daily.filter(_in_window("payment_day", start, end) & F.col("payment_day").isNotNull())
         .groupBy("mda")
         .agg(
             F.sum("transaction_count").cast("bigint").alias("transaction_count"),
             F.sum("total_amount").alias("total_amount"),
         )
-        .orderBy(F.col("total_amount").desc_nulls_first())
     )
+    return _ordered(out, "total_amount") if ordered else out
 
 
-def report_eticket(fct_transactions: DataFrame, start: str, end: str) -> DataFrame:
+def report_eticket(fct_transactions: DataFrame, start: str, end: str, ordered: bool = True) -> DataFrame:
     """Completed tickets with a payment period, per revenue item."""
-    return (
+    out = (
         fct_transactions.filter(
             _in_window("payment_day", start, end)
             & F.col("is_completed")
@@ -49,28 +58,28 @@ def report_eticket(fct_transactions: DataFrame, start: str, end: str) -> DataFra
         )
         .groupBy(F.col("revenue_item").alias("Ticket type"))
         .agg(F.count(F.lit(1)).alias("Ticket sold"), F.sum("amount").alias("Revenue"))
-        .orderBy(F.col("Revenue").desc_nulls_first())
     )
+    return _ordered(out, "Revenue") if ordered else out
 
 
-def report_bus(stg_bus: DataFrame, start: str, end: str) -> DataFrame:
+def report_bus(stg_bus: DataFrame, start: str, end: str, ordered: bool = True) -> DataFrame:
     """Trips and revenue per bus."""
-    return (
+    out = (
         stg_bus.filter(_in_window("transaction_day", start, end))
         .groupBy("bus_id")
         .agg(F.count("ticket_id").alias("trips"), F.sum("amount").alias("revenue"))
-        .orderBy(F.col("revenue").desc_nulls_first())
     )
+    return _ordered(out, "revenue") if ordered else out
 
 
-def report_agent_enumeration(fct_agent_enumeration: DataFrame, start: str, end: str) -> DataFrame:
+def report_agent_enumeration(fct_agent_enumeration: DataFrame, start: str, end: str, ordered: bool = True) -> DataFrame:
     """Enumerations per verified agent. The equality on the left-joined status drops enumerations without an agent."""
-    return (
+    out = (
         fct_agent_enumeration.filter((F.col("agent_status") == "Verified") & _in_window("create_day", start, end))
         .groupBy("agent_email", "first_name", "last_name", "bank", "bank_account")
         .agg(F.sum("enumeration_count").cast("bigint").alias("total_enumeration_count"))
-        .orderBy(F.col("total_enumeration_count").desc_nulls_first())
     )
+    return _ordered(out, "total_enumeration_count") if ordered else out
 
 
 # Report names and CSV file stems, in attachment order.
@@ -84,13 +93,13 @@ REPORT_FILES = (
 GATE_REPORTS = ("mda", "eticket", "bus")
 
 
-def weekly_reports(m: RevenueModels, as_of: str | dt.date) -> dict[str, DataFrame]:
+def weekly_reports(m: RevenueModels, as_of: str | dt.date, ordered: bool = True) -> dict[str, DataFrame]:
     start, end = report_window(as_of)
     return {
-        "mda": report_mda(m.agg_revenue_daily, start, end),
-        "eticket": report_eticket(m.fct_transactions, start, end),
-        "bus": report_bus(m.stg_bus_ticketing_transaction, start, end),
-        "agents": report_agent_enumeration(m.fct_agent_enumeration, start, end),
+        "mda": report_mda(m.agg_revenue_daily, start, end, ordered),
+        "eticket": report_eticket(m.fct_transactions, start, end, ordered),
+        "bus": report_bus(m.stg_bus_ticketing_transaction, start, end, ordered),
+        "agents": report_agent_enumeration(m.fct_agent_enumeration, start, end, ordered),
     }
 
 
@@ -131,10 +140,11 @@ def write_reports(reports: dict[str, DataFrame], as_of: str | dt.date, out_dir:
     paths = {}
     for name, stem in REPORT_FILES:
         path = f"{out_dir.rstrip('/')}/{file_name(stem, start, end)}"
+        df = reports[name].coalesce(1)  # a report is one row per dimension value: one file, sorted in one task
+        if REPORT_ORDER[name] in df.columns:
+            df = df.sortWithinPartitions(F.col(REPORT_ORDER[name]).desc_nulls_first())
         (
-            reports[name]
-            .coalesce(1)
-            .write.mode("overwrite")
+            df.write.mode("overwrite")
             .option("header", True)
             .option("escape", '"')
             .option("emptyValue", "")
