@@ -15,9 +15,9 @@ from levyline.functions import date_lit
 from levyline.plans.models import RevenueModels
 
 
-def report_window(as_of: str | dt.date) -> tuple[str, str]:
-    """The seven days before ``as_of``: as_of − 7 … as_of − 1, both inclusive."""
-    day = dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+def report_window(as_of: str | dt.date | None = None) -> tuple[str, str]:
+    """The seven days before ``as_of`` (default: today): as_of − 7 … as_of − 1, both inclusive."""
+    day = dt.date.today() if as_of is None else dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     return (day - dt.timedelta(days=7)).isoformat(), (day - dt.timedelta(days=1)).isoformat()
 
 

@@ -66,10 +66,14 @@ class Warehouse:
             except AnalysisException:
                 return False
 
+    def _read_entries(self, folder: str, schema: str) -> DataFrame:
+        """All entries (one sub-folder per commit) under a control or manifest folder."""
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
+
     def control_history(self) -> DataFrame:
         if not self.exists(f"{self.root}/control"):
             return self.spark.createDataFrame([], CONTROL_SCHEMA)
-        return self.spark.read.schema(CONTROL_SCHEMA).parquet(f"{self.root}/control/*")
+        return self._read_entries(f"{self.root}/control", CONTROL_SCHEMA)
 
     def control(self) -> DataFrame:
         """The newest control row per table (a handful of rows)."""
@@ -128,7 +132,7 @@ class Warehouse:
         base = self.manifest_path(model)
         if not self.exists(base):
             return self.spark.createDataFrame([], "day date, version string")
-        hist = self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{base}/*")
+        hist = self._read_entries(base, MANIFEST_SCHEMA)
         newest = hist.groupBy("day").agg(F.max_by("version", F.struct("committed_at", "run_id")).alias("version"))
         return newest.filter(F.col("version").isNotNull())
 

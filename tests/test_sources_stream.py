@@ -61,3 +61,17 @@ def test_streaming_merge_equals_batch_merges(spark, scratch):
     ctl = wh.control().filter("table_name = 'agent_transactions'").collect()[0]
     assert ctl["last_loaded_at"] == raw.agg(F.max("trans_date")).collect()[0][0]
     assert ctl["rows_loaded"] == second.count()
+
+
+def test_cli_daily_then_report(spark, scratch, capsys):
+    import json
+
+    from levyline.__main__ import main
+
+    main(["daily", "--warehouse", f"{scratch}/wh", "--fixtures", SF_SMALL, "--as-of", "2024-02-03",
+          "--fallback", "2024-01-01 00:00:00"])
+    daily = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert daily["loads"]["agent_transactions"]["rows"] > 0 and set(daily["reports"]) == {"mda", "eticket", "bus", "agents"}
+    main(["report", "--warehouse", f"{scratch}/wh", "--out", f"{scratch}/rep", "--as-of", "2024-02-03"])
+    rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rep["window"] == ["2024-01-27", "2024-02-02"] and rep["rows"]["mda"] > 0
