@@ -22,7 +22,7 @@ from levyline.operators.merge import merge
 from levyline.operators.schema_ops import migrate_integral_to_string
 from levyline.plans import reports
 from levyline.plans.models import RevenueModels
-from levyline.plans.pipeline import MART_ORDER, model_log_lines, render_load_log, write_logs
+from levyline.plans.pipeline import MART_ORDER, model_counts, render_load_log, render_model_log, write_logs
 from levyline.plans.staging import STAGING
 from levyline.schemas import (
     AGENT_TRANSACTIONS,
@@ -328,30 +328,38 @@ def schema_migrate_rev_head(spark, sf_dir):
 
 
 # --- run logs ------------------------------------------------------------------------------------------------
+# The four runs of the run-log scenario: (load marks, elapsed text, load error lines, model failures or None
+# when the model stage did not run, model elapsed seconds, load exit code, model exit code).
+LOG_RUNS = {
+    "run1-all-good": ("normal", "0:00:12.345678", [], {}, 3.21, 0, 0),
+    "run2-no-bus-data": ("quiet_bus", "0:00:10.000001", [], {}, 2.5, 0, 0),
+    "run3-model-fails": ("normal", "0:00:12.5", [], {"agg_concession_by_plancode": "division by zero"}, 4.0, 0, 1),
+    "run4-load-fails": ("normal", None, ["ETL failed: connection to the source was reset"], None, 0.0, 1, None),
+}
+
+
 def scenario_logs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """Four runs' load and model logs, written to the shared folder; returns (logs root, exit codes).
 
     The runs have the shapes the parser must handle: all good; one table without new data; one failing
-    model; a failed load (model stage skipped). Their figures are the load accounting of the whole tables.
+    model; a failed load (model stage skipped). Their figures come from the whole tables: the load accounting
+    of each run and the row count of every mart.
     """
     root = f"{shared_dir(spark)}/logs-{uuid.uuid4().hex}"
-    model_names = [f"stg_{n}" for n in STAGING] + list(MART_ORDER)
-    normal = load_accounting(spark, sf_dir, STORED_MARKS)
-    quiet_bus = load_accounting(spark, sf_dir, dict(STORED_MARKS, bus_ticketing_transaction=FUTURE_MARK))
-    failing = {"agg_concession_by_plancode": "division by zero"}
-    runs = {  # run_id: (accounting, elapsed, error lines, model log, load exit, model exit)
-        "run1-all-good": (normal, "0:00:12.345678", [], model_log_lines(model_names, elapsed_s=3.21), 0, 0),
-        "run2-no-bus-data": (quiet_bus, "0:00:10.000001", [], model_log_lines(model_names, elapsed_s=2.5), 0, 0),
-        "run3-model-fails": (normal, "0:00:12.5", [], model_log_lines(model_names, failing, elapsed_s=4.0), 0, 1),
-        "run4-load-fails": (normal, None, ["ETL failed: connection to the source was reset"], None, 1, None),
+    accounting = {
+        "normal": load_accounting(spark, sf_dir, STORED_MARKS),
+        "quiet_bus": load_accounting(spark, sf_dir, dict(STORED_MARKS, bus_ticketing_transaction=FUTURE_MARK)),
     }
+    m = models(spark, sf_dir)
+    counts = model_counts(spark, {name: m.model(name) for name in MART_ORDER})
     load_lines, model_lines, exits = [], [], []
-    for run_id, (acct, elapsed, errors, mlines, load_exit, models_exit) in runs.items():
-        load_lines.append(render_load_log(acct, elapsed, errors).withColumn("run_id", F.lit(run_id)))
-        model_lines += [(run_id, i, ln) for i, ln in enumerate(mlines or [])]
+    for run_id, (marks, elapsed, errors, failed, model_s, load_exit, models_exit) in LOG_RUNS.items():
+        load_lines.append(render_load_log(accounting[marks], elapsed, errors).withColumn("run_id", F.lit(run_id)))
+        if failed is not None:
+            model_lines.append(render_model_log(counts, failed, model_s).withColumn("run_id", F.lit(run_id)))
         exits.append((run_id, load_exit, models_exit))
     write_logs(_union(load_lines), f"{root}/load")
-    write_logs(spark.createDataFrame(model_lines, "run_id string, line_no long, value string"), f"{root}/models")
+    write_logs(_union(model_lines), f"{root}/models")
     return root, spark.createDataFrame(exits, "run_id string, load_exit int, models_exit int")
 
 

@@ -153,6 +153,10 @@ for _q, _spec in (("full_refresh_rev_codes", _schemas.REV_SUB_NEWCODE), ("full_r
 
 
 def _accounting_sql(marks: dict[str, str]) -> str:
+    return with_models(_accounting_body(marks))
+
+
+def _accounting_body(marks: dict[str, str]) -> str:
     parts = []
     for spec in _schemas.LOAD_ORDER:
         if spec.refresh == "full":
@@ -169,7 +173,7 @@ def _accounting_sql(marks: dict[str, str]) -> str:
             f" {_ts(RUN_START)} AS last_run_at, count(*) AS rows_loaded"
             f" FROM {spec.name}_raw WHERE {_slice_where(spec, _lookback(mark))}"
         )
-    return with_models(" UNION ALL ".join(parts))
+    return " UNION ALL ".join(parts)
 
 
 ORACLE["watermark_after_load"] = _accounting_sql(STORED_MARKS)
@@ -252,3 +256,98 @@ ORACLE["schema_check"] = with_models(
 ORACLE["schema_migrate_rev_head"] = with_models(
     "SELECT * REPLACE (CAST(CAST(id * 10 AS INTEGER) AS VARCHAR) AS rev_head) FROM rev_sub_newcode_raw"
 )
+
+
+# --- run logs: the parse results expected from the scenario's accounting (same runs as the Spark side) -------
+from levyline.catalog import LOG_RUNS  # noqa: E402
+from levyline.operators.runlog import LOAD_RULES, MAX_ERRORS, MODELS_SKIPPED, NO_NEW_DATA, NOT_REPORTED  # noqa: E402
+from levyline.plans.pipeline import ERROR_PREFIX, MART_ORDER  # noqa: E402
+from levyline.plans.staging import STAGING as _STAGING  # noqa: E402
+
+_FULL = {s.name for s in _schemas.LOAD_ORDER if s.refresh == "full"}
+_MODELS = [f"stg_{n}" for n in _STAGING] + list(MART_ORDER)
+_ACC = {
+    "normal": _accounting_body(STORED_MARKS),
+    "quiet_bus": _accounting_body(dict(STORED_MARKS, bus_ticketing_transaction=FUTURE_MARK)),
+}
+
+
+def _list(items) -> str:
+    return "CAST([" + ", ".join(f"'{x}'" for x in items) + "] AS VARCHAR[])"
+
+
+def _str(v) -> str:
+    return "CAST(NULL AS VARCHAR)" if v is None else f"'{v}'"
+
+
+def _figure(stat: str, table: str) -> str:
+    cond = f"table_name = '{table}'" + ("" if table in _FULL else " AND rows_loaded > 0")
+    return f"max(CASE WHEN {cond} THEN format('{{:,}}', rows_loaded) END)"
+
+
+def _load_run(run_id: str, marks: str, elapsed, errors) -> str:
+    figures = ", ".join(f"{_figure(stat, table)} AS {stat}" for stat, table, _ in LOAD_RULES)
+    errs = [ERROR_PREFIX + e for e in errors]
+    return (f"SELECT '{run_id}' AS run_id, {figures}, {_str(elapsed)} AS elapsed, {_list(errs)} AS errors"
+            f" FROM acc_{marks}")
+
+
+_LOAD_SUMMARY = " UNION ALL ".join(_load_run(r, m, el, er) for r, (m, el, er, *_rest) in LOG_RUNS.items())
+_ACC_CTES = {f"acc_{k}": v for k, v in _ACC.items()}
+ORACLE["runlog_load_summary"] = with_models(_LOAD_SUMMARY, _ACC_CTES)
+
+
+def _model_expect(failed: dict, seconds: float) -> dict:
+    qualified = [("public_staging." if m.startswith("stg_") else "public_marts.") + m for m in _MODELS]
+    n = len(_MODELS)
+    errors = [f"{i} of {n} ERROR creating sql table model {q} [ERROR in 0.01s]"
+              for i, (m, q) in enumerate(zip(_MODELS, qualified), 1) if m in failed]
+    return {
+        "models_pass": [q for m, q in zip(_MODELS, qualified) if m not in failed],
+        "models_fail": [q for m, q in zip(_MODELS, qualified) if m in failed],
+        "errors": errors,
+        "elapsed": f"{seconds:.2f}s",
+        "summary": f"PASS={n - len(failed)} WARN=0 ERROR={len(failed)} SKIP=0 TOTAL={n}",
+        "success": not failed,
+    }
+
+
+def _model_run(run_id: str, failed: dict, seconds: float) -> str:
+    e = _model_expect(failed, seconds)
+    return (f"SELECT '{run_id}' AS run_id, {_list(e['models_pass'])} AS models_pass,"
+            f" {_list(e['models_fail'])} AS models_fail, {_list(e['errors'])} AS errors,"
+            f" '{e['elapsed']}' AS elapsed, '{e['summary']}' AS summary, {str(e['success']).lower()} AS success")
+
+
+ORACLE["runlog_model_summary"] = " UNION ALL ".join(
+    _model_run(r, failed, secs) for r, (_m, _el, _er, failed, secs, *_x) in LOG_RUNS.items() if failed is not None
+)
+
+_INCREMENTAL_STATS = {"at_rows", "bt_rows", "enum_rows", "mu_rows"}
+
+
+def _status_run(run_id: str, marks: str, elapsed, errors, failed, secs, load_exit, models_exit) -> str:
+    load_ok = load_exit == 0 and not errors
+    e = _model_expect(failed or {}, secs) if failed is not None else None
+    models_ok = bool(load_ok and e and e["success"] and (models_exit or 0) == 0)
+    shown = ", ".join(
+        f"coalesce({_figure(stat, table)}, '{NO_NEW_DATA if stat in _INCREMENTAL_STATS else NOT_REPORTED}')"
+        f" AS {stat}_shown"
+        for stat, table, _ in LOAD_RULES
+    )
+    errs = [ERROR_PREFIX + x for x in errors][:MAX_ERRORS]
+    model_errors = (e["errors"][:MAX_ERRORS] if e else []) if load_ok else [MODELS_SKIPPED]
+    passed = len(e["models_pass"]) if (load_ok and e) else 0
+    failed_n = len(e["models_fail"]) if (load_ok and e) else 0
+    return (
+        f"SELECT '{run_id}' AS run_id, {str(load_ok).lower()} AS load_ok, {str(load_ok).lower()} AS models_ran,"
+        f" {str(models_ok).lower()} AS models_ok, '{'SUCCESS' if load_ok and models_ok else 'FAILED'}' AS overall,"
+        f" {shown}, '{elapsed if elapsed is not None else NOT_REPORTED}' AS elapsed_shown,"
+        f" {_list(errs)} AS load_errors_shown, {_list(model_errors)} AS model_errors_shown,"
+        f" CAST({passed} AS INTEGER) AS models_passed, CAST({failed_n} AS INTEGER) AS models_failed FROM acc_{marks}"
+    )
+
+
+ORACLE["runlog_status"] = with_models(
+    " UNION ALL ".join(_status_run(r, *v) for r, v in LOG_RUNS.items()), _ACC_CTES
+)
