@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .crossparse import identify
+from .harmonic_pack import pack
 from .lsh_forest import near_duplicates
 
 
@@ -12,5 +14,13 @@ def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
-QUERIES = {"op9_lsh_forest": op9_lsh_forest}
+def op5_crossparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op7_harmonic_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op5_crossparse": op5_crossparse, "op7_harmonic_pack": op7_harmonic_pack, "op9_lsh_forest": op9_lsh_forest}
 ORACLE: dict[str, str] = {}
