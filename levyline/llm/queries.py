@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .crossparse import identify
 from .harmonic_pack import pack
+from .hyper_shard import shuffle
 from .lsh_forest import near_duplicates
+from .url_filter import RULES, host_path, judge
+from .warc import assemble, read_archives, resolve, write_archives
 
 
 def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,5 +26,69 @@ def op7_harmonic_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_crossparse": op5_crossparse, "op7_harmonic_pack": op7_harmonic_pack, "op9_lsh_forest": op9_lsh_forest}
-ORACLE: dict[str, str] = {}
+def op4_hyper_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shuffle(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return rows.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
+    return judge(table(spark, sf_dir, "pages"), rules)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_archives(table(spark, sf_dir, "pages"))
+    captures = assemble(read_archives(spark, manifest, with_payload=False))
+    rows = resolve(captures)
+    return rows.select(F.col("value").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+QUERIES = {
+    "op4_hyper_shard": op4_hyper_shard,
+    "op5_crossparse": op5_crossparse,
+    "op6_url_filter": op6_url_filter,
+    "op7_harmonic_pack": op7_harmonic_pack,
+    "op9_lsh_forest": op9_lsh_forest,
+    "op10_warc": op10_warc,
+}
+ORACLE: dict[str, str] = {
+    "op6_url_filter": r"""
+WITH u AS (
+    SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS at FROM pages
+), r AS (
+    SELECT page_id, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM u
+), h AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM r
+), j AS (
+    SELECT *, CASE
+        WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/'
+    END AS rule FROM h
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM j
+""",
+    "op10_warc": r"""
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS leader FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> leader THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> leader THEN leader END AS refers_to
+FROM f
+""",
+}
