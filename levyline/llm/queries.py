@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .context_pii import PATTERNS, find
+from .context_pii import shown as shown_spans
 from .crossparse import identify
 from .harmonic_pack import pack
 from .hyper_shard import shuffle
 from .lsh_forest import near_duplicates
 from .url_filter import RULES, host_path, judge
+from .winnow import edited_pairs, hashes, likeness, shown
 from .warc import assemble, read_archives, resolve, write_archives
 
 
@@ -26,6 +29,27 @@ def op7_harmonic_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = edited_pairs(table(spark, sf_dir, "documents"))
+    names = ("fingerprint", "edited_fingerprint", "next_fingerprint")
+    rows = rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        *names[:2],
+        *(hashes(F.col(c)).alias(f"{c}_set") for c in names),
+    )
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        shown(F.col("fingerprint")).alias("fingerprint"),
+        shown(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        likeness("fingerprint_set", "edited_fingerprint_set").alias("near_edited"),
+        likeness("fingerprint_set", "next_fingerprint_set").alias("near_next"),
+    )
+
+
 def op4_hyper_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shuffle(table(spark, sf_dir, "documents"))
     text = F.coalesce("text", F.lit(""))
@@ -45,6 +69,12 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op8_context_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select("doc_id", *(count(k) for k in PATTERNS), F.sha2(shown_spans("base"), 256).alias("base_sha256"), shown_spans("spans").alias("spans"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_archives(table(spark, sf_dir, "pages"))
     captures = assemble(read_archives(spark, manifest, with_payload=False))
@@ -53,19 +83,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_winnow": op3_winnow,
     "op4_hyper_shard": op4_hyper_shard,
     "op5_crossparse": op5_crossparse,
     "op6_url_filter": op6_url_filter,
     "op7_harmonic_pack": op7_harmonic_pack,
+    "op8_context_pii": op8_context_pii,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_warc": op10_warc,
 }
 ORACLE: dict[str, str] = {
     "op6_url_filter": r"""
 WITH u AS (
-    SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS at FROM pages
+    SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS pos FROM pages
 ), r AS (
-    SELECT page_id, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM u
+    SELECT page_id, CASE WHEN pos > 0 THEN substr(url, pos + 3) ELSE '' END AS rest FROM u
 ), h AS (
     SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
            regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
