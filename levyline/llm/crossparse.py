@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import ship
 
@@ -182,17 +183,30 @@ def blocks(texts: list[str]):
         i = j
 
 
+def _predicted(samples: tuple[tuple[str, str], ...], column: pa.Array) -> list[pa.Array]:
+    if samples and _state.get("samples") != samples:
+        _state.update(samples=samples, parser=Parser(samples))
+    texts = [x or "" for x in column.to_pylist()]
+    out = []
+    for i, j in blocks(texts):
+        out += _state["parser"].predict(texts[i:j]) if samples else [(UND, 0.0, None)] * (j - i)
+    lang, score, bits = zip(*out, strict=True) if out else ((), (), ())
+    return [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64())]
+
+
 def _parse(samples: tuple[tuple[str, str], ...]):
     def run(batches):
-        if samples and _state.get("samples") != samples:
-            _state.update(samples=samples, parser=Parser(samples))
         for b in batches:
-            texts = [x or "" for x in b.column(1).to_pylist()]
-            out = []
-            for i, j in blocks(texts):
-                out += _state["parser"].predict(texts[i:j]) if samples else [(UND, 0.0, None)] * (j - i)
-            lang, score, bits = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64())], ["key", "lang_pred", "score", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *_predicted(samples, b.column(1))], ["key", "lang_pred", "score", "bits"])
+
+    return run
+
+
+def _parse_rows(samples: tuple[tuple[str, str], ...], text_col: str):
+    def run(batches):
+        for b in batches:
+            row = b.column(0)
+            yield pa.RecordBatch.from_arrays([row, _predicted(samples, row.field(text_col))[0]], ["row", "lang_pred"])
 
     return run
 
@@ -226,3 +240,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     kind = docs.schema[id_col].dataType.simpleString()
     parsed = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).mapInArrow(_parse(samples), f"key {kind}, lang_pred string, score double, bits double")
     return parsed.select(F.col("key").alias("doc_id"), held_out("key").alias("held_out"), "lang_pred", "score", "bits")
+
+
+def in_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is not ``und``; one pass, no shuffle."""
+    ship(docs.sparkSession)
+    samples = training_sample(docs, id_col, text_col, lang_col)
+    whole = docs.select(F.struct("*").alias("row"))
+    schema = StructType([whole.schema["row"], StructField("lang_pred", StringType())])
+    return whole.mapInArrow(_parse_rows(samples, text_col), schema).where(F.col("lang_pred") != UND).select("row.*")

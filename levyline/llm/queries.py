@@ -12,6 +12,8 @@ from .crossparse import identify
 from .harmonic_pack import pack
 from .hyper_shard import shuffle
 from .lsh_forest import near_duplicates
+from .pairwise_quality import rank, train
+from .template_decontam import leaks
 from .url_filter import RULES, host_path, judge
 from .winnow import edited_pairs, hashes, likeness, shown
 from .warc import assemble, read_archives, resolve, write_archives
@@ -29,6 +31,15 @@ def op7_harmonic_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op1_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rank(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op2_template_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = edited_pairs(table(spark, sf_dir, "documents"))
     names = ("fingerprint", "edited_fingerprint", "next_fingerprint")
@@ -83,6 +94,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pairwise_quality": op1_pairwise_quality,
+    "op2_template_decontam": op2_template_decontam,
     "op3_winnow": op3_winnow,
     "op4_hyper_shard": op4_hyper_shard,
     "op5_crossparse": op5_crossparse,
@@ -111,6 +124,35 @@ WITH u AS (
     END AS rule FROM h
 )
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM j
+""",
+    "op9_lsh_forest": r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE
+        WHEN len(ws) = 0 THEN []
+        WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' '))))
+    END AS sh FROM w
+), c AS (
+    SELECT min(doc_id) AS id, sh, md5(array_to_string(sh, chr(10))) AS k, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh
+), x AS (
+    SELECT id, n, unnest(sh) AS t FROM c
+), l AS (
+    SELECT a.id AS a, b.id AS b FROM x a JOIN x b ON a.t = b.t AND a.id < b.id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), e AS (
+    SELECT a, b FROM l UNION SELECT b, a FROM l
+), r AS (
+    SELECT id AS node, id AS root FROM c
+    UNION
+    SELECT e.b, r.root FROM r JOIN e ON e.a = r.node
+), m AS (
+    SELECT c.k, min(r.root) AS root FROM r JOIN c ON c.id = r.node GROUP BY c.k
+)
+SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, coalesce(m.root, s.doc_id) AS component_id, coalesce(m.root, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN m ON m.k = md5(array_to_string(s.sh, chr(10))) AND len(s.sh) > 0
 """,
     "op10_warc": r"""
 WITH p AS (
