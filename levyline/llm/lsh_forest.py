@@ -1,18 +1,19 @@
 """MinHash near-duplicate detection with an LSH forest.
 
 Every document becomes the set of its distinct k-word shingles and a MinHash signature. The forest holds
-several sorted orders of the signatures ("trees"): tree t reads the signature cyclically from its own offset.
-Two documents are candidates when they are close neighbours in an order's region, a region being the rows
-that share a prefix of that order. The prefix starts ``BASE_DEPTH`` hashes long and is lengthened only where
-a region holds more than ``REGION_ROWS`` rows (adaptive depth), so dense parts of the space go deep and
-sparse parts stay shallow. Rows that agree beyond the deepest prefix are split into blocks and each is also
-linked to the region's first row.
+several sorted orders of the signatures ("trees"): tree t reads the signature cyclically from its own offset, and
+its order is that of the label so read. A region is a run of an order whose rows share a prefix; the prefix starts
+``BASE_DEPTH`` hashes long and is lengthened only where a region holds more than ``REGION_ROWS`` rows (adaptive
+depth), so dense parts of the space go deep and sparse parts stay shallow. Candidates are the next
+``NEIGHBOURS`` rows in a region's order, which share the longest prefixes. Rows that agree beyond the deepest
+prefix are split into blocks and each is also linked to the region's first row. In dense regions, rows that are
+then still outside the region's largest component look ``WIDE`` rows to either side.
 
 Equal shingle sets are one class from the start (partial aggregation, however many copies), so only different
 sets meet in the forest. Candidates pass a bound on set sizes and on signature agreement, and every link is
-then confirmed on the full sets rebuilt from the texts. Confirmation first takes each row's best candidate,
-contracts what it links, and then confirms every candidate that still joins two components; a candidate
-inside a component cannot change the result.
+then confirmed on the full sets rebuilt from the texts. Confirmation takes the best candidates of each row
+first, contracts what they link, and then confirms every candidate that still joins two components; a
+candidate inside a component cannot change the result.
 
 Defined results: null or blank texts have an empty set, link with nothing, and keep their own id as component;
 rows with a null id are never linked and have a null component. Repeated rows of an id share its component.
@@ -25,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, stored
@@ -34,12 +35,16 @@ from .shingles import U, mix, shingle_sets
 TREES = 24
 BASE_DEPTH = 4
 HASHES = TREES * BASE_DEPTH
-#: Prefix lengths a region may have.
-DEPTHS = (4, 8, 16, 32)
+#: Prefix lengths a region may have; a label has as many hashes as the longest.
+DEPTHS = (4, 5, 6, 8, 10, 12, 16)
 #: A region with more rows is split by the next depth.
 REGION_ROWS = 1000
 #: Neighbours on one side of a row in a region's order.
 NEIGHBOURS = 3
+#: The same for rows outside the largest component of a dense region.
+WIDE = 16
+#: Wide candidates of a row and another component that are confirmed before the others.
+BEST_WIDE = 8
 _R = np.random.RandomState(20240229)
 _XOR = _R.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _MUL = _R.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -66,23 +71,39 @@ def _sign(k: int):
     return run
 
 
-def _prefixes(batches):
-    """(id, sig) -> a row for each tree with the hashes of its prefixes, one column a depth."""
+def _read_from(sig: np.ndarray, tree: int, depth: int) -> np.ndarray:
+    return sig[:, (tree * BASE_DEPTH + np.arange(depth)) % HASHES]
+
+
+def _regions(batches):
+    """(id, sig) -> (id, tree, region) for each tree; a region is named by a hash of tree and prefix."""
     for b in batches:
         if not b.num_rows:
             continue
-        sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, HASHES).astype(U)
-        ids, cols = [], [[] for _ in DEPTHS]
+        sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, HASHES)
+        out = []
         for t in range(TREES):
-            h, done = np.full(len(sig), mix(np.array([t + 1], U))[0]), 0
-            for c, depth in zip(cols, DEPTHS, strict=True):
-                for i in range(done, depth):
-                    h = mix(h * U(0xD6E8FEB86659FD93) + sig[:, (t * BASE_DEPTH + i) % HASHES])
-                done = depth
-                c.append(h.view(np.int64))
-            ids.append(b.column(0))
-        arrays = [pa.chunked_array(ids).combine_chunks(), *(pa.array(np.concatenate(c)) for c in cols)]
-        yield pa.RecordBatch.from_arrays(arrays, ["id", *(f"p{d}" for d in DEPTHS)])
+            h = np.full(len(sig), mix(np.array([t + 1], U))[0])
+            for c in _read_from(sig, t, BASE_DEPTH).T:
+                h = mix(h * U(0xD6E8FEB86659FD93) + c.astype(U))
+            out.append(h.view(np.int64))
+        ids = pa.chunked_array([b.column(0)] * TREES).combine_chunks()
+        trees = np.repeat(np.arange(TREES, dtype=np.int32), len(sig))
+        yield pa.RecordBatch.from_arrays([ids, pa.array(trees), pa.array(np.concatenate(out))], ["id", "tree", "region"])
+
+
+def _labels(batches):
+    """(id, sig, trees) -> (id, tree, label) for the given trees; labels compare as their hashes in order."""
+    for b in batches:
+        rows = [(i, t) for i, trees in enumerate(b.column(2).to_pylist()) for t in trees]
+        if not rows:
+            continue
+        at, tree = np.array(rows).T
+        sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, HASHES)
+        columns = (tree[:, None] * BASE_DEPTH + np.arange(DEPTHS[-1])) % HASHES
+        label = sig[at[:, None], columns].astype(">u4")
+        labels = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * DEPTHS[-1]), len(at), [None, pa.py_buffer(label.tobytes())]).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(tree.astype(np.int32)), labels], ["id", "tree", "label"])
 
 
 def _agreement(least: int):
@@ -115,26 +136,59 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def candidates(sets: DataFrame) -> DataFrame:
-    """Forest neighbours (a, b), a < b, of ``sets(id, sig)``."""
-    long = ", ".join(f"p{d} long" for d in DEPTHS)
-    rows = sets.select("id", "sig").mapInArrow(_prefixes, f"id long, {long}")
-    sizes = rows.groupBy(f"p{DEPTHS[0]}").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    rows = stored(rows.join(sizes, f"p{DEPTHS[0]}").withColumn("region", F.col(f"p{DEPTHS[0]}")).withColumn("first", F.lit(None).cast("long")), "forest")
-    for d in DEPTHS[1:]:  # lengthen the prefix where a region is still too large
+def _prefix(depth: int) -> Column:
+    return F.xxhash64("tree", F.substring("label", 1, 4 * depth))
+
+
+def forest(sets: DataFrame) -> DataFrame:
+    """Rows (id, tree, label, size, region, first) of ``sets(id, sig)`` that share a region with others.
+
+    ``size`` counts the region's rows; ``first`` is the smallest id of a region that no depth could split.
+    """
+    rows = sets.select("id", "sig").mapInArrow(_regions, "id long, tree int, region long")
+    shared = rows.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    trees = rows.join(shared, "region").groupBy("id").agg(F.collect_list("tree").alias("trees"))  # at most TREES each
+    rows = sets.select("id", "sig").join(trees, "id").mapInArrow(_labels, "id long, tree int, label binary")
+    rows = stored(rows.withColumn("region", _prefix(BASE_DEPTH)), "labels")
+    sizes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
+    rows = stored(rows.join(sizes, "region").select("id", "tree", "label", "region", "size", F.lit(None).cast("long").alias("first")), "forest")
+    for depth in DEPTHS[1:]:  # lengthen the prefix where a region is still too large
         deep = rows.where(F.col("size") > REGION_ROWS)
         if deep.isEmpty():
-            break
-        sizes = deep.groupBy(f"p{d}").agg(F.count(F.lit(1)).alias("deep_size"), F.min("id").alias("deep_first"))
-        deep = deep.join(sizes, f"p{d}").select("id", *(f"p{x}" for x in DEPTHS), F.col("deep_size").alias("size"), F.col(f"p{d}").alias("region"), F.col("deep_first").alias("first"))
-        rows = stored(rows.where(F.col("size") <= REGION_ROWS).unionByName(deep.select(*rows.columns)), "forest")
-    too_large = F.col("size") > REGION_ROWS
+            return rows
+        deep = deep.select("id", "tree", "label", _prefix(depth).alias("region"))
+        sizes = deep.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first"))
+        rows = stored(rows.where(F.col("size") <= REGION_ROWS).unionByName(deep.join(sizes, "region").select(*rows.columns)), "forest")
     blocks = F.ceil(F.col("size") / REGION_ROWS)
-    rows = rows.withColumn("region", F.when(too_large, F.xxhash64("region", F.pmod(F.xxhash64("id"), blocks))).otherwise(F.col("region")))
-    order = Window.partitionBy("region").orderBy(*(f"p{d}" for d in DEPTHS[1:]), "id")
+    block = F.xxhash64("region", F.pmod(F.xxhash64("id"), blocks))
+    too_large = F.col("size") > REGION_ROWS
+    return rows.withColumn("region", F.when(too_large, block).otherwise(F.col("region"))).withColumn("first", F.when(too_large, F.col("first")))
+
+
+def _pairs(rows: DataFrame, of: str, others: str) -> DataFrame:
+    rows = rows.select(F.col(of).alias("x"), F.explode(others).alias("y")).where("x <> y")
+    return rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """Next neighbours (a, b), a < b, in the orders of ``forest`` rows."""
+    order = Window.partitionBy("region").orderBy("label", "id")
     near = [F.lead("id", i).over(order) for i in range(1, NEIGHBOURS + 1)]
-    pairs = rows.select("id", F.array(*near, F.when(too_large, F.col("first"))).alias("near")).select("id", F.explode("near").alias("other"))
-    return pairs.where("other <> id").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    return _pairs(rows.select("id", F.array(*near, "first").alias("near")), "id", "near")
+
+
+def wide_candidates(rows: DataFrame, components_: DataFrame) -> DataFrame:
+    """Neighbours up to WIDE rows away, in another component, of rows outside their dense region's largest one."""
+    rows = rows.where(F.col("size") > 2 * NEIGHBOURS + 1).select("id", "region", "label")
+    rows = rows.join(components_.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    held = rows.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = held.groupBy("region").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    rows = rows.join(main.select("region", F.col("main.component").alias("main")), "region")
+    around = Window.partitionBy("region").orderBy("label", "id").rowsBetween(-WIDE, WIDE)
+    near = F.collect_list(F.struct("id", "component")).over(around)
+    rows = rows.withColumn("near", near).where("component <> main")
+    others = F.filter("near", lambda o: o["component"] != F.col("component"))
+    return _pairs(rows.select("id", F.transform(others, lambda o: o["id"]).alias("near")), "id", "near")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,32 +204,49 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     )
     least = math.floor(HASHES * percent / 100 - 5 * math.sqrt(HASHES * percent * (100 - percent)) / 100)
     side = lambda c: classes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
+    texts = lambda c: docs.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
     fits = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    pairs = candidates(classes).join(side("a"), "a").join(side("b"), "b").where(fits)
-    pairs = stored(pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreement(least), "a long, b long, same int"), "pairs")
 
-    texts = lambda c: docs.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
+    def likely(p: DataFrame) -> DataFrame:
+        """Pairs that sizes and signatures allow, with the number of equal hashes."""
+        p = p.join(side("a"), "a").join(side("b"), "b").where(fits).select("a", "b", "sig_a", "sig_b")
+        return stored(p.mapInArrow(_agreement(least), "a long, b long, same int"), "pairs")
 
     def confirmed(p: DataFrame) -> DataFrame:
         p = p.select("a", "b").join(texts("b"), "b").join(texts("a"), "a").select("a", "b", "text_a", "text_b")
         return stored(p.mapInArrow(_confirm(k, percent), "a long, b long").distinct(), "links")
 
+    def between(p: DataFrame, whole: DataFrame) -> DataFrame:
+        """Pairs that would still join two components, with those."""
+        of = lambda c: whole.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
+        p = p.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        return stored(p.select("a", "b", "same", F.coalesce("c_a", "a").alias("c_a"), F.coalesce("c_b", "b").alias("c_b")).where("c_a <> c_b"), "open")
+
+    def joined(whole: DataFrame, open_: DataFrame) -> DataFrame:
+        """Components after the confirmed ones among ``open_`` have been linked."""
+        if open_.isEmpty():
+            return whole
+        links = confirmed(open_).join(open_, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+        more = stored(components(links), "more")
+        out = whole.join(more.select(F.col("node").alias("component"), F.col("component").alias("c2")), "component", "left")
+        out = out.select("node", F.coalesce("c2", "component").alias("component"))
+        return stored(out.unionByName(more.join(whole, "node", "left_anti")), "whole")
+
+    rows = forest(classes)
+    pairs = likely(candidates(rows))
     ends = pairs.select(F.col("a").alias("node"), "a", "b", "same").union(pairs.select(F.col("b").alias("node"), "a", "b", "same"))
     best = ends.groupBy("node").agg(F.max(F.struct("same", F.struct(-F.col("a"), -F.col("b")))).alias("m"))
     best = best.select((-F.col("m.col2.col1")).alias("a"), (-F.col("m.col2.col2")).alias("b")).distinct()
-    first = stored(components(confirmed(best)), "first")
-    of = lambda c: first.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}"))
-    open_ = pairs.join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
-    open_ = open_.select("a", "b", F.coalesce("c_a", "a").alias("c_a"), F.coalesce("c_b", "b").alias("c_b")).where("c_a <> c_b")
-    open_ = stored(open_, "open")
-    if open_.isEmpty():
-        whole = first
-    else:
-        links = confirmed(open_).join(open_, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
-        second = components(links)
-        whole = first.join(second.select(F.col("node").alias("component"), F.col("component").alias("c2")), "component", "left")
-        whole = whole.select("node", F.coalesce("c2", "component").alias("component"))
-        whole = whole.unionByName(second.join(first, "node", "left_anti"))
+    whole = stored(components(confirmed(best)), "whole")
+    whole = joined(whole, between(pairs, whole))
+    wide = likely(wide_candidates(rows, whole))
+    if not wide.isEmpty():
+        open_ = between(wide, whole)
+        ends = open_.select(F.col("a").alias("node"), F.col("c_b").alias("other"), *open_.columns).union(open_.select("b", "c_a", *open_.columns))
+        first = ends.groupBy("node", "other").agg(F.slice(F.sort_array(F.collect_list(F.struct("same", "a", "b")), False), 1, BEST_WIDE).alias("best"))
+        first = first.select(F.explode("best").alias("m")).select("m.a", "m.b").distinct()
+        whole = joined(whole, open_.join(first, ["a", "b"]))
+        whole = joined(whole, between(wide, whole))
     classes = classes.select("set_key", "id").join(whole.withColumnRenamed("node", "id"), "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     out = signed.select("id", "n", "set_key").join(classes, "set_key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))

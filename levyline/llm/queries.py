@@ -127,13 +127,13 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 """,
     "op9_lsh_forest": r"""
 WITH RECURSIVE w AS (
-    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
     FROM documents
 ), s AS (
     SELECT doc_id, CASE
         WHEN len(ws) = 0 THEN []
         WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-        ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' '))))
+        ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))))
     END AS sh FROM w
 ), c AS (
     SELECT min(doc_id) AS id, sh, md5(array_to_string(sh, chr(10))) AS k, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh
