@@ -143,13 +143,13 @@ class Parser:
             if not m:
                 break
             c = sym[start[:m] + step].astype(np.int64)
-            to = self.table[state[:, :m] * SYMBOLS + c]
-            end = to == 0
-            found[:, :m] += end
-            state[:, :m] = np.where(end, self.table[root + c], to)
-            # an unseen symbol restarts at the language's own root
-            if not state[:, :m].all():
-                state[:, :m] = np.where(state[:, :m] == 0, self.base, state[:, :m])
+            now = state[:, :m]
+            to = self.table[now * SYMBOLS + c]
+            again = self.table[root + c]
+            end, unseen = to == 0, again == 0
+            # a phrase ends before the symbol; a symbol that the sample lacks is a phrase of its own
+            found[:, :m] += (end & (now != self.base)).astype(np.int32) + (end & unseen)
+            state[:, :m] = np.where(end, np.where(unseen, self.base, again), to)
         found += state != self.base
         out = np.zeros((len(self.names), len(texts)), np.int64)
         for i in range(len(self.names)):
