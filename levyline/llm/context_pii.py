@@ -50,32 +50,46 @@ CHUNK = 64
 SPANS = "array<struct<start:int,ord:int,end:int,kind:string>>"
 
 
-def _at(array: str | Column, i: Column) -> Column:
-    return F.get(array, i)
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, also where ``use`` names it in an inner function."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, combine) -> Column:
+    """For each place of an int array the combination (a sum, or a maximum) of what stands before it, from 0."""
+    fold = lambda array, start, n: F.aggregate(F.slice(array, start, n), F.lit(0), combine)
+
+    def by_chunks(v: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor(F.size(v) / CHUNK).cast("int"))
+        parts = F.transform(chunks, lambda c: fold(v, c * CHUNK + 1, F.lit(CHUNK)))
+        return let(parts, lambda p: let(F.transform(p, lambda _, c: fold(p, F.lit(1), c)), lambda heads: F.transform(v, lambda _, i: at(v, heads, i))))
+
+    def at(v: Column, heads: Column, i: Column) -> Column:
+        chunk = F.floor(i / CHUNK).cast("int")
+        return combine(F.get(heads, chunk), fold(v, chunk * CHUNK + 1, i - chunk * CHUNK))
+
+    return let(values, by_chunks)
 
 
 def with_matches(df: DataFrame, text: str, needs: str, pattern: str, out: str) -> DataFrame:
     """Adds ``out``: array of (start, value, left) of the pattern's matches; ``left`` ends just before the match."""
-    hits, gaps, lens, heads = f"{out}_hits", f"{out}_gaps", f"{out}_lens", f"{out}_heads"
+    hits, gaps = f"{out}_hits", f"{out}_gaps"
     df = df.withColumn(hits, F.when(F.col(text).rlike(needs), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
     df = df.withColumn(gaps, F.when(F.size(hits) > 0, F.split(text, pattern, -1)))
-    df = df.withColumn(lens, F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.length(h) + F.length(g)))
-    add = lambda a, x: a + x
-    total = lambda array, start, n: F.aggregate(F.slice(array, start, n), F.lit(0), add)
-    chunks = F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / CHUNK).cast("int"))
-    df = df.withColumn(heads, F.when(F.size(hits) > 0, F.transform(chunks, lambda c: total(lens, c * CHUNK + 1, F.lit(CHUNK)))))
-    df = df.withColumn(heads, F.transform(heads, lambda _, c: total(heads, F.lit(1), c)))
-
-    def one(value: Column, i: Column) -> Column:
-        chunk = F.floor(i / CHUNK).cast("int")
-        before = _at(heads, chunk) + total(lens, chunk * CHUNK + 1, i - chunk * CHUNK)
-        gap = _at(gaps, i)
-        left = F.concat(F.when(i > 0, F.coalesce(_at(hits, i - 1), F.lit(""))).otherwise(F.lit("")), gap)
-        return F.struct((before + F.length(gap)).alias("start"), value.alias("value"), F.substring(left, -CONTEXT_CHARS, CONTEXT_CHARS).alias("left"))
+
+    def placed(h: Column, g: Column) -> Column:
+        lengths = F.zip_with(h, F.slice(g, F.lit(1), F.size(h)), lambda x, y: F.length(x) + F.length(y))
+        return let(running(lengths, lambda a, x: a + x), lambda before: F.transform(h, lambda value, i: one(h, g, before, value, i)))
+
+    def one(h: Column, g: Column, before: Column, value: Column, i: Column) -> Column:
+        gap = F.get(g, i)
+        left = F.concat(F.coalesce(F.get(h, F.greatest(i - 1, F.lit(0))), F.lit("")), gap)
+        left = F.when(i > 0, left).otherwise(gap)
+        return F.struct((F.get(before, i) + F.length(gap)).alias("start"), value.alias("value"), F.substring(left, -CONTEXT_CHARS, CONTEXT_CHARS).alias("left"))
 
     empty = F.array().cast("array<struct<start:int,value:string,left:string>>")
-    df = df.withColumn(out, F.coalesce(F.when(F.size(hits) > 0, F.transform(hits, one)), empty))
-    return df.drop(hits, gaps, lens, heads)
+    both = let(F.col(hits), lambda h: let(F.col(gaps), lambda g: placed(h, g)))
+    return df.withColumn(out, F.coalesce(F.when(F.size(hits) > 0, both), empty)).drop(hits, gaps)
 
 
 def _digits(value: Column) -> Column:
@@ -125,7 +139,7 @@ def _shape(core: Column) -> Column:
 
 
 def with_candidates(df: DataFrame, text: str, base: str, out: str) -> DataFrame:
-    """Adds ``out``: candidate identifiers (start, end, instance, patterns, seed)."""
+    """Adds ``out``: candidate identifiers (start, end, instance, patterns, inside a base span, secret)."""
     df = with_matches(df, text, "[0-9@]", CANDIDATE, out)
 
     def one(m: Column) -> Column:
@@ -133,18 +147,18 @@ def with_candidates(df: DataFrame, text: str, base: str, out: str) -> DataFrame:
         core = F.regexp_replace(F.substring(m["value"], lead + 1, F.lit(MAX_TOKEN)), "[^A-Za-z0-9]++$", "")
         return F.struct((m["start"] + lead).alias("start"), core.alias("core"), F.translate(F.lower(m["left"]), "0123456789", "9999999999").alias("left"))
 
-    def two(m: Column) -> Column:
+    def two(m: Column, spans: Column) -> Column:
         end = m["start"] + F.length(m["core"])
         words = F.filter(F.split(m["left"], r"\s+"), lambda w: w != "")
         shape = _shape(m["core"])
         patterns = F.array_distinct(F.transform(F.array(F.lit(1), F.lit(2)), lambda n: F.concat(F.array_join(F.slice(words, -F.least(n, F.greatest(F.size(words), F.lit(1))), n), " "), F.lit("\u0001"), shape)))
-        seed = F.exists(base, lambda b: (b["start"] < end) & (m["start"] < b["end"])) | m["core"].rlike(SECRET)
-        inside = F.exists(base, lambda b: (b["start"] < end) & (m["start"] < b["end"]))
-        return F.struct(m["start"].alias("start"), end.alias("end"), F.lower(m["core"]).alias("instance"), patterns.alias("patterns"), seed.alias("seed"), inside.alias("inside"))
+        inside = F.exists(spans, lambda b: (b["start"] < end) & (m["start"] < b["end"]))
+        secret = m["core"].rlike(SECRET)
+        return F.struct(m["start"].alias("start"), end.alias("end"), F.lower(m["core"]).alias("instance"), patterns.alias("patterns"), inside.alias("inside"), secret.alias("secret"))
 
     short = F.filter(out, lambda m: F.length(m["value"]) <= MAX_TOKEN)
-    df = df.withColumn(out, F.transform(short, one))
-    return df.withColumn(out, F.transform(F.filter(out, lambda m: F.length(m["core"]) > 0), two))
+    df = df.withColumn(out, F.filter(F.transform(short, one), lambda m: F.length(m["core"]) > 0))
+    return df.withColumn(out, let(F.col(base), lambda spans: F.transform(out, lambda m: two(m, spans))))
 
 
 def reliable_patterns(candidates: DataFrame) -> DataFrame:
@@ -178,7 +192,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = with_candidates(with_base(rows, "text", "base"), "text", "base", "found")
     rows = stored(rows.select("doc_id", "text_key", "base", "found"), "spans")
     each = rows.where(F.size("found") > 0).select("doc_id", "text_key", F.explode("found").alias("m")).select("doc_id", "text_key", "m.*")
-    good = reliable_patterns(each).select("pattern")
+    good = reliable_patterns(each.withColumn("seed", F.col("inside") | F.col("secret"))).select("pattern")
     new = each.where("not inside").select("doc_id", "text_key", "start", "end", F.explode("patterns").alias("pattern")).join(good, "pattern")
     span = F.struct("start", F.lit(len(PATTERNS)).alias("ord"), "end", F.lit(CONTEXT).alias("kind"))
     new = new.groupBy("doc_id", "text_key").agg(F.collect_set(span).cast(SPANS).alias("more"))
@@ -194,14 +208,13 @@ def shown(spans: Column | str) -> Column:
 
 def redact(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in angle brackets; of overlapping spans the first is kept."""
-    n = F.size(spans)
-    ends = F.concat(F.array(F.lit(0)), F.transform(F.sequence(F.lit(1), n), lambda i: F.array_max(F.transform(F.slice(spans, F.lit(1), i), lambda s: s["end"]))))
-
-    def piece(s: Column, i: Column) -> Column:
-        at = F.get(ends, i)
-        keep = s["start"] >= at
+    def piece(s: Column, at: Column) -> Column:
         between = F.substring(text, at + 1, F.greatest(s["start"] - at, F.lit(0)))
-        return F.when(keep, F.concat(between, F.lit("<"), s["kind"], F.lit(">"))).otherwise(F.lit(""))
+        return F.when(s["start"] >= at, F.concat(between, F.lit("<"), s["kind"], F.lit(">"))).otherwise(F.lit(""))
+
+    def cut_up(all_: Column) -> Column:
+        ends = running(F.transform(all_, lambda s: s["end"]), lambda a, x: F.greatest(a, x))
+        rest = F.substring(text, F.array_max(F.transform(all_, lambda s: s["end"])) + 1, F.length(text))
+        return F.concat(F.array_join(F.zip_with(all_, ends, piece), ""), rest)
 
-    rest = F.substring(text, F.get(ends, n) + 1, F.length(text))
-    return F.when(n > 0, F.concat(F.array_join(F.transform(spans, piece), ""), rest)).otherwise(text)
+    return F.when(F.size(spans) > 0, let(spans, cut_up)).otherwise(text)
