@@ -233,7 +233,7 @@ def resolve(captures: DataFrame, field: str = "page-id") -> DataFrame:
     """One row a capture with a response: (value of ``field`` in its metadata, bytes and digest of the full
     payload, record type, and that field of the capture a revisit refers to)."""
     entries = F.flatten(F.transform("metadata", lambda m: m["fields"]))
-    value = F.filter(entries, lambda e: e["key"] == field)[0]["value"]
+    value = F.get(F.filter(entries, lambda e: e["key"] == field), 0)["value"]
     rows = captures.where("response is not null").select("response.*", value.alias("value"))
     held = rows.where("type <> 'revisit'").groupBy("record_id").agg(F.min("value").alias("to_value"), F.min("payload_bytes").alias("to_bytes"), F.min("payload_digest").alias("to_digest"))
     held = held.withColumnRenamed("record_id", "refers_to")
