@@ -74,7 +74,7 @@ def matrix(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
     top = draw(np.random.default_rng([seed]), np.array([sums[k] for k in keys]), shares(sum(sums.values()), shards))
     share = dict(zip(keys, top, strict=True))
 
-    def lower(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def lower(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
         got = draw(np.random.default_rng([seed, int(key[0]) + 1]), pdf["n"].to_numpy(), share[key[0]])
         return pd.DataFrame({"block": pdf["block"].to_numpy(), "upto": list(np.cumsum(got, axis=1))})
