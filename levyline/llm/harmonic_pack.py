@@ -36,8 +36,10 @@ MIN_CUT = 64
 BLOCK_PIECES = 50_000
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers; a full memory is emptied.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 PUNCTUATION = b".,;:!?"
+#: Letters up to here lower one by one.
+LAST_LATIN = "\u024f"
 
 _state: dict = {}
 
@@ -46,9 +48,9 @@ def _tokenizer(path: str | None):
     if _state.get("path", "") != path:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        _state.update(path=path, tok=Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER)), ids={})
+        _state.update(path=path, bytes=pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False), tok=Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER)), ids={})
     return _state["tok"], _state["ids"]
 
 
@@ -56,22 +58,37 @@ def _pack_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def _word(core: str, tok) -> bytes | None:
+    """Ids of a word of Latin letters, which the vocabulary's normalisation leaves whole; None for any other."""
+    if not core.isascii():
+        core = unicodedata.normalize("NFC", core).lower()
+        if not core.isalpha() or max(core) > LAST_LATIN:
+            return None
+        core = "".join(part for part, _ in _state["bytes"].pre_tokenize_str(core))
+    elif not core.isalpha():
+        return None
+    return _pack_ids([t.id for t in tok.model.tokenize(core)])
+
+
 def _learn(words: set[bytes], tok, known: dict[bytes, bytes]) -> dict[bytes, bytes]:
-    """Ids of new words, remembered. A word's closing punctuation is encoded apart from it when the
-    vocabulary's own word split cuts there (after a letter or digit)."""
-    out, cores, ends = {}, set(), {}
+    """Ids of new words, remembered. A word of letters goes straight to the vocabulary's merges; its closing
+    punctuation is encoded apart from it, as the vocabulary's own word split cuts there. All else is encoded in full."""
+    out, rest, ends = {}, set(), {}
     for w in words:
         core = w.rstrip(PUNCTUATION)
-        if core and core != w and unicodedata.category(core.decode("utf-8", "replace")[-1])[0] in "LN":
-            ends[w] = (core, w[len(core) :])
-            cores.update(x for x in ends[w] if x not in known)
+        ids = known.get(core) or out.get(core) or _word(core.decode("utf-8", "replace"), tok) if core else None
+        if ids is None:
+            rest.add(w)
+        elif len(core) == len(w):
+            out[w] = ids
         else:
-            cores.add(w)
-    todo = list(cores)
-    for w, e in zip(todo, tok.encode_batch_fast([w.decode("utf-8", "replace") for w in todo], add_special_tokens=False), strict=True):
+            out[core], ends[w] = ids, (core, w[len(core) :])
+    marks = {end for _, end in ends.values() if end not in known}
+    todo = [*rest, *marks]
+    for w, e in zip(todo, tok.encode_batch_fast([w.decode("utf-8", "replace") for w in todo], add_special_tokens=False) if todo else (), strict=True):
         out[w] = _pack_ids(e.ids)
     for w, (core, end) in ends.items():
-        out[w] = (out.get(core) or known.get(core, b"")) + (out.get(end) or known.get(end, b""))
+        out[w] = out[core] + (out.get(end) or known.get(end, b""))
     if len(known) + len(out) > REMEMBERED:
         known.clear()
     known.update((w, ids) for w, ids in out.items() if len(w) <= 64)
