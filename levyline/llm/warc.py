@@ -209,7 +209,11 @@ def read_archives(spark: SparkSession, manifest: DataFrame, with_payload: bool =
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """Nested captures (capture_id, target_uri, response, request, metadata) of WARC records."""
+    """Nested captures (capture_id, target_uri, response, request, metadata) of WARC records.
+
+    The records are written to the shared folder first: archives are parsed once, and the joins know the sizes.
+    """
+    records = stored(records, "records")
     anchor = F.col("type").isin(*ANCHORS)
     others = records.where(~anchor & F.col("record_id").isNotNull())
     anchors = records.where(anchor & F.col("record_id").isNotNull())
