@@ -7,6 +7,7 @@ presentation the DuckDB oracle applies, so that clients that turn decimals into
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 import weakref
 from collections.abc import Callable
@@ -21,6 +22,7 @@ from levyline.operators import watermark as wm
 from levyline.operators.merge import merge
 from levyline.operators.schema_ops import migrate_integral_to_string
 from levyline.plans import reports
+from levyline.plans.ingest import load_table
 from levyline.plans.models import RevenueModels
 from levyline.plans.pipeline import MART_ORDER, model_counts, render_load_log, render_model_log, write_logs
 from levyline.plans.staging import STAGING
@@ -35,6 +37,7 @@ from levyline.schemas import (
 )
 from levyline.session import shared_dir
 from levyline.sources import fixtures
+from levyline.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -230,6 +233,35 @@ QUERIES["full_refresh_rev_codes"] = _full_refresh_query("rev_sub_newcode")
 QUERIES["full_refresh_permits"] = _full_refresh_query("concession_permit")
 
 
+@_register("merge_duplicate_keys")
+def merge_duplicate_keys(spark, sf_dir):
+    """A slice in which every fifth key has a later row: it is inserted as the earlier row, updated by the later."""
+    spec = SPECS["agent_transactions"]
+    rows = _raw(spark, sf_dir, spec.name).filter(F.col("trans_date").isNotNull())
+    later = rows.filter(F.col(spec.key) % 5 == 0).withColumns({
+        "trans_date": F.col("trans_date") + F.expr("INTERVAL 1 HOUR"),
+        "status": F.lit("Reversed"),
+        "agency": F.lit("later"),
+    })
+    empty = spark.createDataFrame([], spec.schema)
+    return present(merge(empty, rows.unionByName(later), spec).select(spec.key, "agency", "status", "amount", "trans_date"))
+
+
+@_register("load_two_runs")
+def load_two_runs(spark, sf_dir):
+    """The loader on stored tables: a first load of old amounts, a second of the whole source, read back with
+    the control row (marks keep microseconds; rows before the lookback keep their old amounts)."""
+    spec = SPECS["bus_ticketing_transaction"]
+    source = _raw(spark, sf_dir, spec.name)
+    wh = Warehouse(spark, f"{shared_dir(spark)}/load-two-runs-{uuid.uuid4().hex}")
+    old = source.filter(F.col("trans_date") <= ts_lit("2024-01-20 12:00:00")).withColumn("amount", F.lit(0).cast(spec.type_of("amount")))
+    load_table(wh, spec, old, "run-1", dt.datetime(2024, 1, 21, 6), wh.control(), fallback="2024-01-01 00:00:00")
+    load_table(wh, spec, source, "run-2", dt.datetime(2024, 2, 1, 6), wh.control())
+    control = wh.control().select("last_loaded_at", "rows_loaded", F.lit(spec.name).alias("table_name"))
+    rows = wh.read_table(spec).select("id", "trans_date", "amount", F.lit(spec.name).alias("table_name"))
+    return present(rows.join(F.broadcast(control), "table_name"))
+
+
 # --- watermarks ----------------------------------------------------------------------------------------------
 def load_accounting(spark: SparkSession, sf_dir: str, marks: dict[str, str]) -> DataFrame:
     """Control rows after one run of all six loaders, given the stored marks (others fall back)."""
@@ -369,12 +401,6 @@ def runlog_load_summary(spark, sf_dir):
     return runlog.parse_load_logs(runlog.read_logs(spark, f"{root}/load"))
 
 
-@_register("runlog_model_summary")
-def runlog_model_summary(spark, sf_dir):
-    root, _ = scenario_logs(spark, sf_dir)
-    return runlog.parse_model_logs(runlog.read_logs(spark, f"{root}/models"))
-
-
 @_register("runlog_status")
 def runlog_status(spark, sf_dir):
     root, exits = scenario_logs(spark, sf_dir)

@@ -7,10 +7,14 @@ Policies (``TableSpec.refresh``):
   insert_only  new keys insert; existing target rows never change.
   full         the target becomes the slice.
 
-Duplicate keys inside one slice are resolved explicitly before merging (``dedupe``): the row with the
-greatest high-water value wins for upserts, the earliest for insert-only loads; remaining ties go to the
-greatest whole row, so the result is deterministic. Deduplication is a grouped ``max`` of a struct, which
-combines map-side: a key repeated in a third of the slice still costs one partial row per task.
+Duplicate keys inside one slice are resolved explicitly before merging, as loading its rows one after
+another in time order would: the earliest row is inserted, and for upserts the latest row's update columns
+replace its own (``fold``); insert-only loads keep the earliest row (``dedupe``). Ties go to the greatest
+(latest) or least (earliest) whole row, so the result is deterministic. Both are grouped ``min``/``max`` of a struct,
+which combine map-side: a key repeated in a third of the slice still costs one partial row per task.
+
+A NULL key is an error, as for a primary key: the merge fails when it meets one, duplicates or not. The
+loaders count NULL keys while they write the slice and stop before anything is merged.
 """
 
 from __future__ import annotations
@@ -36,23 +40,40 @@ def dedupe(df: DataFrame, key: str, order_by: Sequence[Column | str], keep: str
     ordered = F.struct(*[c.alias(f"__o{i}") for i, c in enumerate(order)], F.struct(*rest).alias("__row"))
     pick = F.max if keep == "latest" else F.min
     return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
+        df.groupBy(key)
         .agg(pick(ordered).alias("__m"))
         .select(key, *[F.col(f"__m.__row.{c}").alias(c) for c in rest])
         .select(*df.columns)
     )
 
 
+def fold(df: DataFrame, key: str, order: Column, update_columns: Sequence[str]) -> DataFrame:
+    """One row per key: the earliest row with the latest row's ``update_columns``."""
+    rest = [c for c in df.columns if c != key]
+    update = [c for c in rest if c in set(update_columns)]
+    if set(update) == set(rest):
+        return dedupe(df, key, [order])
+    ordered = F.struct(order.alias("__o"), F.struct(*rest).alias("__row"))
+    both = df.groupBy(key).agg(F.min(ordered).alias("__a"), F.max(ordered).alias("__z"))
+    side = lambda c: "__z" if c in update else "__a"
+    return both.select(key, *[F.col(f"{side(c)}.__row.{c}").alias(c) for c in rest]).select(*df.columns)
+
+
+def checked_key(df: DataFrame, key: str) -> DataFrame:
+    """``df`` whose evaluation fails at a NULL key."""
+    kind = df.schema[key].dataType
+    return df.withColumn(key, F.coalesce(F.col(key), F.raise_error(F.lit(f"NULL key in {key}")).cast(kind)))
+
+
 def upsert(
     target: DataFrame, slice_: DataFrame, key: str, update_columns: Sequence[str], small_slice: bool = False
 ) -> DataFrame:
     """Upsert with a partial update list (see module doc). ``slice_`` must hold one row per key.
 
     ``small_slice=False``: one full outer join; both sides shuffle once on the key. Right for any size.
-    ``small_slice=True`` (the caller has checked the slice's row count): the slice is broadcast and the
-    target is never shuffled: untouched rows = target ⋉̸ slice, updated rows = target ⋈ slice, new rows =
-    slice ⋉̸ keys(target), where only the target's key column is shuffled.
+    ``small_slice=True`` (the caller has checked the slice's size): the slice is broadcast and the target is never
+    shuffled: untouched rows = target ⋉̸ slice, updated rows = target ⋈ slice, new rows = slice rows whose key
+    is not among the target keys that the broadcast slice found (at most as many as the slice has).
     """
     cols = target.columns
     update = set(update_columns)
@@ -65,8 +86,7 @@ def upsert(
                 for c in cols
             ]
         )
-        new = slice_.join(target.select(key), key, "left_anti").select(*cols)
-        return untouched.unionByName(matched).unionByName(new)
+        return untouched.unionByName(matched).unionByName(_new_rows(target, slice_, key, True))
     t, s = target.alias("t"), slice_.alias("s")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
     in_slice = F.col(f"s.{key}").isNotNull()
@@ -83,10 +103,17 @@ def upsert(
     return joined.select(*out)
 
 
-def insert_only(target: DataFrame, slice_: DataFrame, key: str) -> DataFrame:
+def _new_rows(target: DataFrame, slice_: DataFrame, key: str, small_slice: bool) -> DataFrame:
+    """Slice rows whose key the target lacks; a small slice is sent to the target's keys, not they to it."""
+    keys = target.select(key)
+    if small_slice:
+        keys = keys.join(F.broadcast(slice_.select(key)), key, "left_semi").distinct()
+    return slice_.join(keys, key, "left_anti").select(*target.columns)
+
+
+def insert_only(target: DataFrame, slice_: DataFrame, key: str, small_slice: bool = False) -> DataFrame:
     """Insert slice rows whose key is absent from the target; existing rows are kept as they are."""
-    new = slice_.join(target.select(key), key, "left_anti").select(*target.columns)
-    return target.unionByName(new)
+    return target.unionByName(_new_rows(target, slice_, key, small_slice))
 
 
 def merge(
@@ -102,8 +129,11 @@ def merge(
     if spec.refresh == "full":
         return slice_
     target = target.select(*cols)
-    if dedupe_slice:
-        slice_ = dedupe(slice_, spec.key, [event_time(spec)], keep="earliest" if spec.refresh == "insert_only" else "latest")
+    slice_ = checked_key(slice_, spec.key)
+    if dedupe_slice and spec.refresh == "insert_only":
+        slice_ = dedupe(slice_, spec.key, [event_time(spec)], keep="earliest")
+    elif dedupe_slice:
+        slice_ = fold(slice_, spec.key, event_time(spec), spec.update_columns)
     if spec.refresh == "insert_only":
-        return insert_only(target, slice_, spec.key)
+        return insert_only(target, slice_, spec.key, small_slice=small_slice)
     return upsert(target, slice_, spec.key, spec.update_columns, small_slice=small_slice)

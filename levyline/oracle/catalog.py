@@ -1,353 +1,17 @@
-"""DuckDB oracle SQL for the registered queries (same names, same output columns)."""
+"""DuckDB oracle SQL for the registered queries (same names, same output columns).
 
-from __future__ import annotations
-
-from levyline.oracle.models_sql import present, with_models
-
-# Decimal columns of each model, presented as DOUBLE (as the Spark side does for every decimal column).
-MODEL_DECIMALS = {
-    "stg_agent_transactions": ("amount",),
-    "stg_bus_ticketing_transaction": ("amount",),
-    "stg_concession_permit": ("expected_amount", "previous_expected_amount"),
-    "stg_enumeration": (),
-    "stg_merchant_user": (),
-    "stg_rev_sub_newcode": (),
-    "fct_transactions": ("amount",),
-    "fct_concession_permits": ("paid_amount", "expected_amount", "previous_expected_amount", "variance_amount"),
-    "fct_agent_enumeration": (),
-    "agg_revenue_daily": ("total_amount", "min_amount", "max_amount"),
-    "agg_concession_by_plancode": (
-        "total_paid_amount", "min_paid_amount", "max_paid_amount", "expected_amount", "previous_expected_amount",
-        "total_shortfall",
-    ),
-    "agg_bus_daily": ("total_amount", "min_amount", "max_amount", "expected_amount", "total_shortfall"),
-    "agg_combined_revenue_daily": ("total_amount", "min_amount", "max_amount", "expected_amount", "total_shortfall"),
-}
-
-ORACLE: dict[str, str] = {}
-
-for _name, _decimals in MODEL_DECIMALS.items():
-    ORACLE[_name] = present(with_models(f"SELECT * FROM {_name}"), _decimals)
-
-
-# ---------------------------------------------------------------------------------------------------------
-from levyline import schemas as _schemas  # noqa: E402
-from levyline.catalog import AS_OF, BULK_FROM, FUTURE_MARK, RUN_START, STALE_VALUES, STORED_MARKS  # noqa: E402
-from levyline.operators.watermark import lookback as _lookback  # noqa: E402
-from levyline.plans.reports import REPORT_FILES, report_window  # noqa: E402
-
-_START, _END = report_window(AS_OF)
-_WIN = f"BETWEEN DATE '{_START}' AND DATE '{_END}'"
-
-
-def _ts(text) -> str:
-    return f"TIMESTAMP '{text}'"
-
-
-_REPORTS = {
-    "mda": f"""SELECT mda, CAST(sum(transaction_count) AS BIGINT) AS transaction_count, sum(total_amount) AS total_amount
-FROM agg_revenue_daily WHERE payment_day {_WIN} AND payment_day IS NOT NULL GROUP BY mda""",
-    "eticket": f"""SELECT revenue_item AS "Ticket type", count(*) AS "Ticket sold", sum(amount) AS "Revenue"
-FROM fct_transactions WHERE payment_day {_WIN} AND is_completed AND payment_period IS NOT NULL
-AND payment_period <> '' GROUP BY revenue_item""",
-    "bus": f"""SELECT bus_id, count(ticket_id) AS trips, sum(amount) AS revenue
-FROM stg_bus_ticketing_transaction WHERE transaction_day {_WIN} GROUP BY bus_id""",
-    "agents": f"""SELECT agent_email, first_name, last_name, bank, bank_account,
-CAST(sum(enumeration_count) AS BIGINT) AS total_enumeration_count
-FROM fct_agent_enumeration WHERE agent_status = 'Verified' AND create_day {_WIN}
-GROUP BY agent_email, first_name, last_name, bank, bank_account""",
-}
-_REPORT_DECIMALS = {"mda": ("total_amount",), "eticket": ("Revenue",), "bus": ("revenue",), "agents": ()}
-_REPORT_QUERY = {"mda": "report_mda", "eticket": "report_eticket", "bus": "report_bus", "agents": "report_agent_enumeration"}
-for _r, _sql in _REPORTS.items():
-    ORACLE[_REPORT_QUERY[_r]] = present(with_models(_sql), _REPORT_DECIMALS[_r])
-
-_REPORT_CTES = {f"report_{r}": sql for r, sql in _REPORTS.items()}
-_index_parts = " UNION ALL ".join(
-    f"SELECT '{r}' AS report, '{stem}_{_START}_to_{_END}.csv' AS file_name, DATE '{_START}' AS period_start,"
-    f" DATE '{_END}' AS period_end, count(*) AS row_count FROM report_{r}"
-    for r, stem in REPORT_FILES
-)
-ORACLE["report_index"] = with_models(
-    "SELECT *, max(CASE WHEN report IN ('mda', 'eticket', 'bus') THEN row_count ELSE 0 END) OVER () > 0"
-    f" AS produced FROM ({_index_parts}) idx",
-    _REPORT_CTES,
-)
-
-# The CSV header line of each report.
-_HEADERS = {
-    "mda": "mda,transaction_count,total_amount",
-    "eticket": "Ticket type,Ticket sold,Revenue",
-    "bus": "bus_id,trips,revenue",
-    "agents": "agent_email,first_name,last_name,bank,bank_account,total_enumeration_count",
-}
-ORACLE["report_csv_roundtrip"] = with_models(
-    " UNION ALL ".join(
-        f"SELECT '{r}' AS report, '{_HEADERS[r]}' AS header, count(*) + 1 AS lines, count(*) AS data_rows"
-        f" FROM report_{r}"
-        for r, _ in REPORT_FILES
-    ),
-    _REPORT_CTES,
-)
-
-
-def _raw_decimals(spec) -> tuple[str, ...]:
-    return tuple(c for c, t in spec.columns if t.startswith("decimal"))
-
-
-def _slice_where(spec, since) -> str:
-    return " OR ".join(f"{c} > {_ts(since)}" for c in spec.hwm)
-
-
-for _q, _spec in (("extract_slice_transactions", _schemas.AGENT_TRANSACTIONS),
-                  ("extract_slice_merchants", _schemas.MERCHANT_USER)):
-    _since = _lookback(STORED_MARKS[_spec.name])
-    ORACLE[_q] = present(
-        with_models(f"SELECT * FROM {_spec.name}_raw WHERE {_slice_where(_spec, _since)}"), _raw_decimals(_spec)
-    )
-
-ORACLE["bulk_extract"] = present(
-    with_models(f"SELECT * FROM agent_transactions_raw WHERE payment_date >= {_ts(BULK_FROM)}"),
-    _raw_decimals(_schemas.AGENT_TRANSACTIONS),
-)
-
-def _sql_literal(v) -> str:
-    return f"'{v}'" if isinstance(v, str) else str(v)
-
-
-def _merge_sql(spec) -> str:
-    from levyline.oracle.fixtures_sql import duck_type
-
-    stale = ", ".join(
-        f"CAST({_sql_literal(v)} AS {duck_type(spec.type_of(c))}) AS {c}" for c, v in STALE_VALUES[spec.name].items()
-    )
-    mark = STORED_MARKS[spec.name]
-    tgt = f"SELECT * REPLACE ({stale}) FROM {spec.name}_raw WHERE {spec.hwm[0]} <= {_ts(mark)}"
-    src = f"SELECT * FROM {spec.name}_raw WHERE {_slice_where(spec, _lookback(mark))}"
-    k = spec.key
-    if spec.refresh == "insert_only":
-        body = f"SELECT * FROM tgt UNION ALL SELECT * FROM src WHERE {k} NOT IN (SELECT {k} FROM tgt)"
-    else:
-        cols = []
-        for c in spec.column_names:
-            if c == k:
-                cols.append(f"coalesce(s.{k}, t.{k}) AS {k}")
-            elif c in spec.update_columns:
-                cols.append(f"CASE WHEN s.{k} IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}")
-            else:
-                cols.append(f"CASE WHEN t.{k} IS NOT NULL THEN t.{c} ELSE s.{c} END AS {c}")
-        body = f"SELECT {', '.join(cols)} FROM tgt t FULL OUTER JOIN src s ON t.{k} = s.{k}"
-    return present(with_models(body, {"tgt": tgt, "src": src}), _raw_decimals(spec))
-
-
-for _q, _spec in (
-    ("merge_agent_transactions", _schemas.AGENT_TRANSACTIONS),
-    ("merge_bus_ticketing", _schemas.BUS_TICKETING_TRANSACTION),
-    ("merge_enumeration_insert_only", _schemas.ENUMERATION),
-    ("merge_merchant_user_scd1", _schemas.MERCHANT_USER),
-):
-    ORACLE[_q] = _merge_sql(_spec)
-
-for _q, _spec in (("full_refresh_rev_codes", _schemas.REV_SUB_NEWCODE), ("full_refresh_permits", _schemas.CONCESSION_PERMIT)):
-    ORACLE[_q] = present(with_models(f"SELECT * FROM {_spec.name}_raw"), _raw_decimals(_spec))
-
-
-def _accounting_sql(marks: dict[str, str]) -> str:
-    return with_models(_accounting_body(marks))
+Every statement is literal SQL in ``sql/<query>.sql``; ``${views}`` stands for ``sql/views.sql``, the common table
+expressions of the raw tables, staging models and marts. Nothing here is derived from the library's own
+constants, so a change of a rule in the library shows as a difference.
+"""
 
+from __future__ import annotations
 
-def _accounting_body(marks: dict[str, str]) -> str:
-    parts = []
-    for spec in _schemas.LOAD_ORDER:
-        if spec.refresh == "full":
-            parts.append(
-                f"SELECT '{spec.name}' AS table_name, {_ts(RUN_START)} AS last_loaded_at,"
-                f" {_ts(RUN_START)} AS last_run_at, count(*) AS rows_loaded FROM {spec.name}_raw"
-            )
-            continue
-        mark = marks.get(spec.name, _schemas.FALLBACK_START)
-        newest = spec.hwm[0] if len(spec.hwm) == 1 else f"greatest({', '.join(spec.hwm)})"
-        parts.append(
-            f"SELECT '{spec.name}' AS table_name,"
-            f" CASE WHEN count(*) > 0 THEN greatest({_ts(mark)}, max({newest})) ELSE {_ts(mark)} END AS last_loaded_at,"
-            f" {_ts(RUN_START)} AS last_run_at, count(*) AS rows_loaded"
-            f" FROM {spec.name}_raw WHERE {_slice_where(spec, _lookback(mark))}"
-        )
-    return " UNION ALL ".join(parts)
-
-
-ORACLE["watermark_after_load"] = _accounting_sql(STORED_MARKS)
-ORACLE["watermark_after_empty_load"] = _accounting_sql({t: FUTURE_MARK for t in STORED_MARKS})
-
-
-# --- data tests and profile -----------------------------------------------------------------------------------
-from levyline.catalog import FAN_OUT_CHECKS  # noqa: E402
-
-_UNIQUE = [(t, c) for t, c, k in _schemas.DATA_TESTS if k == "unique"]
-_NOT_NULL = [(t, c) for t, c, k in _schemas.DATA_TESTS if k == "not_null"]
-
-
-def _unique_sql(t, c) -> str:
-    return (
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_records"
-        f" FROM {t}_raw WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
-    )
-
-
-ORACLE["dq_unique"] = with_models(" UNION ALL ".join(_unique_sql(t, c) for t, c in _UNIQUE + list(FAN_OUT_CHECKS)))
-ORACLE["dq_not_null"] = with_models(
-    " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows"
-        f" FROM {t}_raw"
-        for t, c in _NOT_NULL
-    )
-)
-ORACLE["dq_suite"] = with_models(
-    "SELECT *, failures = 0 AS passed FROM ("
-    + " UNION ALL ".join(
-        [
-            f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'unique' AS test_name, count(*) AS failures"
-            f" FROM (SELECT {c} FROM {t}_raw WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
-            for t, c in _UNIQUE
-        ]
-        + [
-            f"SELECT '{t}', '{c}', 'not_null', count(*) FILTER (WHERE {c} IS NULL) FROM {t}_raw"
-            for t, c in _NOT_NULL
-        ]
-    )
-    + ") s"
-)
-
-ORACLE["profile_counts"] = with_models(
-    f"SELECT 'agent_transactions' AS table_name, count(*) AS row_count,"
-    f" {len(_schemas.AGENT_TRANSACTIONS.columns)} AS column_count FROM agent_transactions_raw"
-)
-ORACLE["profile_date_range"] = with_models(
-    "SELECT min(trans_date) AS trans_date_earliest, max(trans_date) AS trans_date_latest,"
-    " min(payment_date) AS payment_date_earliest, max(payment_date) AS payment_date_latest FROM agent_transactions_raw"
-)
-ORACLE["profile_status_top10"] = with_models(
-    "SELECT status, count(*) AS cnt FROM agent_transactions_raw GROUP BY status ORDER BY cnt DESC, status LIMIT 10"
-)
-# avg rounded as the source database does it: to 6 places, then to cents, half away from zero (integer cents).
-ORACLE["profile_amounts"] = with_models(
-    """SELECT CAST(min_a AS DOUBLE) AS min_amt, CAST(max_a AS DOUBLE) AS max_amt,
-       CAST(sign(m) * ((abs(m) + 5000) // 10000) AS DOUBLE) / 100.0 AS avg_amt,
-       CAST(s AS DOUBLE) / 100.0 AS total_amt
-FROM (SELECT *, sign(s) * ((abs(s) * 20000 // c + 1) // 2) AS m
-      FROM (SELECT CAST(sum(amount) * 100 AS HUGEINT) AS s, count(amount) AS c, min(amount) AS min_a,
-                   max(amount) AS max_a
-            FROM agent_transactions_raw WHERE amount IS NOT NULL) agg) x"""
-)
-_sample = ", ".join(_schemas.PROFILE_SAMPLE_COLUMNS)
-ORACLE["profile_latest5"] = present(
-    with_models(
-        f"SELECT {_sample} FROM agent_transactions_raw ORDER BY trans_date DESC NULLS LAST,"
-        " idagent_transactions DESC LIMIT 5"
-    ),
-    ("amount",),
-)
-_missing = [c for c in _schemas.PROFILE_EXPECTED_COLUMNS if c not in _schemas.AGENT_TRANSACTIONS.column_names]
-ORACLE["schema_check"] = with_models(
-    f"SELECT 'agent_transactions' AS table_name, true AS table_exists, count(*) AS row_count,"
-    f" {len(_schemas.AGENT_TRANSACTIONS.columns)} AS column_count, {len(_missing)} AS n_missing,"
-    f" '{'|'.join(_missing)}' AS missing_columns FROM agent_transactions_raw"
-)
-ORACLE["schema_migrate_rev_head"] = with_models(
-    "SELECT * REPLACE (CAST(CAST(id * 10 AS INTEGER) AS VARCHAR) AS rev_head) FROM rev_sub_newcode_raw"
-)
-
+from pathlib import Path
 
-# --- run logs: the parse results expected from the scenario's accounting (same runs as the Spark side) -------
-from levyline.catalog import LOG_RUNS  # noqa: E402
-from levyline.operators.runlog import LOAD_RULES, MAX_ERRORS, MODELS_SKIPPED, NO_NEW_DATA, NOT_REPORTED  # noqa: E402
-from levyline.plans.pipeline import ERROR_PREFIX, MART_ORDER  # noqa: E402
-from levyline.plans.staging import STAGING as _STAGING  # noqa: E402
+_SQL = Path(__file__).parent / "sql"
+_VIEWS = (_SQL / "views.sql").read_text().rstrip()
 
-_FULL = {s.name for s in _schemas.LOAD_ORDER if s.refresh == "full"}
-_MODELS = [f"stg_{n}" for n in _STAGING] + list(MART_ORDER)
-_ACC = {
-    "normal": _accounting_body(STORED_MARKS),
-    "quiet_bus": _accounting_body(dict(STORED_MARKS, bus_ticketing_transaction=FUTURE_MARK)),
+ORACLE: dict[str, str] = {
+    p.stem: p.read_text().replace("${views}", _VIEWS) for p in sorted(_SQL.glob("*.sql")) if p.stem != "views"
 }
-
-
-def _list(items) -> str:
-    return "CAST([" + ", ".join(f"'{x}'" for x in items) + "] AS VARCHAR[])"
-
-
-def _str(v) -> str:
-    return "CAST(NULL AS VARCHAR)" if v is None else f"'{v}'"
-
-
-def _figure(stat: str, table: str) -> str:
-    cond = f"table_name = '{table}'" + ("" if table in _FULL else " AND rows_loaded > 0")
-    return f"max(CASE WHEN {cond} THEN format('{{:,}}', rows_loaded) END)"
-
-
-def _load_run(run_id: str, marks: str, elapsed, errors) -> str:
-    figures = ", ".join(f"{_figure(stat, table)} AS {stat}" for stat, table, _ in LOAD_RULES)
-    errs = [ERROR_PREFIX + e for e in errors]
-    return (f"SELECT '{run_id}' AS run_id, {figures}, {_str(elapsed)} AS elapsed, {_list(errs)} AS errors"
-            f" FROM acc_{marks}")
-
-
-_LOAD_SUMMARY = " UNION ALL ".join(_load_run(r, m, el, er) for r, (m, el, er, *_rest) in LOG_RUNS.items())
-_ACC_CTES = {f"acc_{k}": v for k, v in _ACC.items()}
-ORACLE["runlog_load_summary"] = with_models(_LOAD_SUMMARY, _ACC_CTES)
-
-
-def _model_expect(failed: dict, seconds: float) -> dict:
-    qualified = [("public_staging." if m.startswith("stg_") else "public_marts.") + m for m in _MODELS]
-    n = len(_MODELS)
-    errors = [f"{i} of {n} ERROR creating sql table model {q} [ERROR in 0.01s]"
-              for i, (m, q) in enumerate(zip(_MODELS, qualified), 1) if m in failed]
-    return {
-        "models_pass": [q for m, q in zip(_MODELS, qualified) if m not in failed],
-        "models_fail": [q for m, q in zip(_MODELS, qualified) if m in failed],
-        "errors": errors,
-        "elapsed": f"{seconds:.2f}s",
-        "summary": f"PASS={n - len(failed)} WARN=0 ERROR={len(failed)} SKIP=0 TOTAL={n}",
-        "success": not failed,
-    }
-
-
-def _model_run(run_id: str, failed: dict, seconds: float) -> str:
-    e = _model_expect(failed, seconds)
-    return (f"SELECT '{run_id}' AS run_id, {_list(e['models_pass'])} AS models_pass,"
-            f" {_list(e['models_fail'])} AS models_fail, {_list(e['errors'])} AS errors,"
-            f" '{e['elapsed']}' AS elapsed, '{e['summary']}' AS summary, {str(e['success']).lower()} AS success")
-
-
-ORACLE["runlog_model_summary"] = " UNION ALL ".join(
-    _model_run(r, failed, secs) for r, (_m, _el, _er, failed, secs, *_x) in LOG_RUNS.items() if failed is not None
-)
-
-_INCREMENTAL_STATS = {"at_rows", "bt_rows", "enum_rows", "mu_rows"}
-
-
-def _status_run(run_id: str, marks: str, elapsed, errors, failed, secs, load_exit, models_exit) -> str:
-    load_ok = load_exit == 0 and not errors
-    e = _model_expect(failed or {}, secs) if failed is not None else None
-    models_ok = bool(load_ok and e and e["success"] and (models_exit or 0) == 0)
-    shown = ", ".join(
-        f"coalesce({_figure(stat, table)}, '{NO_NEW_DATA if stat in _INCREMENTAL_STATS else NOT_REPORTED}')"
-        f" AS {stat}_shown"
-        for stat, table, _ in LOAD_RULES
-    )
-    errs = [ERROR_PREFIX + x for x in errors][:MAX_ERRORS]
-    model_errors = (e["errors"][:MAX_ERRORS] if e else []) if load_ok else [MODELS_SKIPPED]
-    passed = len(e["models_pass"]) if (load_ok and e) else 0
-    failed_n = len(e["models_fail"]) if (load_ok and e) else 0
-    return (
-        f"SELECT '{run_id}' AS run_id, {str(load_ok).lower()} AS load_ok, {str(load_ok).lower()} AS models_ran,"
-        f" {str(models_ok).lower()} AS models_ok, '{'SUCCESS' if load_ok and models_ok else 'FAILED'}' AS overall,"
-        f" {shown}, '{elapsed if elapsed is not None else NOT_REPORTED}' AS elapsed_shown,"
-        f" {_list(errs)} AS load_errors_shown, {_list(model_errors)} AS model_errors_shown,"
-        f" CAST({passed} AS INTEGER) AS models_passed, CAST({failed_n} AS INTEGER) AS models_failed FROM acc_{marks}"
-    )
-
-
-ORACLE["runlog_status"] = with_models(
-    " UNION ALL ".join(_status_run(r, *v) for r, v in LOG_RUNS.items()), _ACC_CTES
-)

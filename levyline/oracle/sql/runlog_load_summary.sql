@@ -1,0 +1,4 @@
+${views},
+acc_normal AS (SELECT 'agent_transactions' AS table_name, CASE WHEN count(*) > 0 THEN greatest(TIMESTAMP '2024-01-30 00:00:00', max(trans_date)) ELSE TIMESTAMP '2024-01-30 00:00:00' END AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM agent_transactions_raw WHERE trans_date > TIMESTAMP '2024-01-27 00:00:00' UNION ALL SELECT 'rev_sub_newcode' AS table_name, TIMESTAMP '2024-02-03 06:00:00' AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM rev_sub_newcode_raw UNION ALL SELECT 'bus_ticketing_transaction' AS table_name, CASE WHEN count(*) > 0 THEN greatest(TIMESTAMP '2024-01-30 00:00:00', max(trans_date)) ELSE TIMESTAMP '2024-01-30 00:00:00' END AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM bus_ticketing_transaction_raw WHERE trans_date > TIMESTAMP '2024-01-27 00:00:00' UNION ALL SELECT 'concession_permit' AS table_name, TIMESTAMP '2024-02-03 06:00:00' AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM concession_permit_raw UNION ALL SELECT 'enumeration' AS table_name, CASE WHEN count(*) > 0 THEN greatest(TIMESTAMP '2024-01-30 00:00:00', max(create_time)) ELSE TIMESTAMP '2024-01-30 00:00:00' END AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM enumeration_raw WHERE create_time > TIMESTAMP '2024-01-27 00:00:00' UNION ALL SELECT 'merchant_user' AS table_name, CASE WHEN count(*) > 0 THEN greatest(TIMESTAMP '2024-01-20 00:00:00', max(greatest(create_time, update_time))) ELSE TIMESTAMP '2024-01-20 00:00:00' END AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM merchant_user_raw WHERE create_time > TIMESTAMP '2024-01-17 00:00:00' OR update_time > TIMESTAMP '2024-01-17 00:00:00'),
+acc_quiet_bus AS (SELECT 'agent_transactions' AS table_name, CASE WHEN count(*) > 0 THEN greatest(TIMESTAMP '2024-01-30 00:00:00', max(trans_date)) ELSE TIMESTAMP '2024-01-30 00:00:00' END AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM agent_transactions_raw WHERE trans_date > TIMESTAMP '2024-01-27 00:00:00' UNION ALL SELECT 'rev_sub_newcode' AS table_name, TIMESTAMP '2024-02-03 06:00:00' AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM rev_sub_newcode_raw UNION ALL SELECT 'bus_ticketing_transaction' AS table_name, CASE WHEN count(*) > 0 THEN greatest(TIMESTAMP '2024-03-01 00:00:00', max(trans_date)) ELSE TIMESTAMP '2024-03-01 00:00:00' END AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM bus_ticketing_transaction_raw WHERE trans_date > TIMESTAMP '2024-02-27 00:00:00' UNION ALL SELECT 'concession_permit' AS table_name, TIMESTAMP '2024-02-03 06:00:00' AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM concession_permit_raw UNION ALL SELECT 'enumeration' AS table_name, CASE WHEN count(*) > 0 THEN greatest(TIMESTAMP '2024-01-30 00:00:00', max(create_time)) ELSE TIMESTAMP '2024-01-30 00:00:00' END AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM enumeration_raw WHERE create_time > TIMESTAMP '2024-01-27 00:00:00' UNION ALL SELECT 'merchant_user' AS table_name, CASE WHEN count(*) > 0 THEN greatest(TIMESTAMP '2024-01-20 00:00:00', max(greatest(create_time, update_time))) ELSE TIMESTAMP '2024-01-20 00:00:00' END AS last_loaded_at, TIMESTAMP '2024-02-03 06:00:00' AS last_run_at, count(*) AS rows_loaded FROM merchant_user_raw WHERE create_time > TIMESTAMP '2024-01-17 00:00:00' OR update_time > TIMESTAMP '2024-01-17 00:00:00')
+SELECT 'run1-all-good' AS run_id, max(CASE WHEN table_name = 'agent_transactions' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS at_rows, max(CASE WHEN table_name = 'bus_ticketing_transaction' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS bt_rows, max(CASE WHEN table_name = 'rev_sub_newcode' THEN format('{:,}', rows_loaded) END) AS rsn_rows, max(CASE WHEN table_name = 'concession_permit' THEN format('{:,}', rows_loaded) END) AS cp_rows, max(CASE WHEN table_name = 'enumeration' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS enum_rows, max(CASE WHEN table_name = 'merchant_user' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS mu_rows, '0:00:12.345678' AS elapsed, CAST([] AS VARCHAR[]) AS errors FROM acc_normal UNION ALL SELECT 'run2-no-bus-data' AS run_id, max(CASE WHEN table_name = 'agent_transactions' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS at_rows, max(CASE WHEN table_name = 'bus_ticketing_transaction' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS bt_rows, max(CASE WHEN table_name = 'rev_sub_newcode' THEN format('{:,}', rows_loaded) END) AS rsn_rows, max(CASE WHEN table_name = 'concession_permit' THEN format('{:,}', rows_loaded) END) AS cp_rows, max(CASE WHEN table_name = 'enumeration' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS enum_rows, max(CASE WHEN table_name = 'merchant_user' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS mu_rows, '0:00:10.000001' AS elapsed, CAST([] AS VARCHAR[]) AS errors FROM acc_quiet_bus UNION ALL SELECT 'run3-model-fails' AS run_id, max(CASE WHEN table_name = 'agent_transactions' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS at_rows, max(CASE WHEN table_name = 'bus_ticketing_transaction' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS bt_rows, max(CASE WHEN table_name = 'rev_sub_newcode' THEN format('{:,}', rows_loaded) END) AS rsn_rows, max(CASE WHEN table_name = 'concession_permit' THEN format('{:,}', rows_loaded) END) AS cp_rows, max(CASE WHEN table_name = 'enumeration' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS enum_rows, max(CASE WHEN table_name = 'merchant_user' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS mu_rows, '0:00:12.5' AS elapsed, CAST([] AS VARCHAR[]) AS errors FROM acc_normal UNION ALL SELECT 'run4-load-fails' AS run_id, max(CASE WHEN table_name = 'agent_transactions' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS at_rows, max(CASE WHEN table_name = 'bus_ticketing_transaction' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS bt_rows, max(CASE WHEN table_name = 'rev_sub_newcode' THEN format('{:,}', rows_loaded) END) AS rsn_rows, max(CASE WHEN table_name = 'concession_permit' THEN format('{:,}', rows_loaded) END) AS cp_rows, max(CASE WHEN table_name = 'enumeration' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS enum_rows, max(CASE WHEN table_name = 'merchant_user' AND rows_loaded > 0 THEN format('{:,}', rows_loaded) END) AS mu_rows, CAST(NULL AS VARCHAR) AS elapsed, CAST(['2024-02-03 06:00:02  ERROR     ETL failed: connection to the source was reset'] AS VARCHAR[]) AS errors FROM acc_normal

@@ -104,26 +104,13 @@ def fct_concession_permits(fct_tx: DataFrame, stg_permits: DataFrame) -> DataFra
 
     fct_transactions carries the raw revenue_item unchanged and transaction_id is its key, so joining it to the
     permits directly equals the two-step form (raw transactions ⋈ permits, then ⋈ fct_transactions on the id)
-    without the second join. ``fct_concession_permits_two_step`` keeps that form for the equivalence test.
+    without the second join; the oracle SQL uses the two-step form.
     """
     t = fct_tx.alias("t")
     p = stg_permits.select(*PERMIT_COLUMNS).alias("p")
     return t.join(p, F.col("t.revenue_item") == F.col("p.product_code"), "inner").select(*_permit_select("t", "p"))
 
 
-def fct_concession_permits_two_step(stg_tx: DataFrame, stg_permits: DataFrame, fct_tx: DataFrame) -> DataFrame:
-    """The literal form: raw (id, item) ⋈ permits, then ⋈ fct_transactions on transaction_id."""
-    raw = stg_tx.select("transaction_id", F.col("revenue_item").alias("raw_item")).alias("r")
-    p = stg_permits.select(*PERMIT_COLUMNS).alias("p")
-    pt = raw.join(p, F.col("r.raw_item") == F.col("p.product_code"), "inner").select(
-        F.col("r.transaction_id").alias("pt_transaction_id"), *[F.col(f"p.{c}") for c in PERMIT_COLUMNS]
-    ).alias("p")
-    t = fct_tx.alias("t")
-    return pt.join(t, F.col("p.pt_transaction_id") == F.col("t.transaction_id"), "inner").select(
-        *_permit_select("t", "p")
-    )
-
-
 def fct_agent_enumeration(stg_enum: DataFrame, stg_agents: DataFrame) -> DataFrame:
     """Enumeration counts per agent (left join on email) and item/category/day.
 

@@ -37,7 +37,7 @@ REPORT_ORDER = {"mda": "total_amount", "eticket": "Revenue", "bus": "revenue", "
 def report_mda(agg_revenue_daily: DataFrame, start: str, end: str, ordered: bool = True) -> DataFrame:
     """Collections per MDA: re-aggregation of the daily mart over the window."""
     out = (
-        agg_revenue_daily.filter(_in_window("payment_day", start, end) & F.col("payment_day").isNotNull())
+        agg_revenue_daily.filter(_in_window("payment_day", start, end))
         .groupBy("mda")
         .agg(
             F.sum("transaction_count").cast("bigint").alias("transaction_count"),

@@ -131,7 +131,7 @@ def bus_ticketing_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(derived, schemas.BUS_TICKETING_TRANSACTION)
 
 
-# Event type -> enumeration revenue item.
+# Event type -> enumeration revenue item (other event types have none).
 ENUMERATION_ITEMS = {
     "signup": "MarketEnumeration",
     "click": "TransportEnumeration",
@@ -140,7 +140,7 @@ ENUMERATION_ITEMS = {
 
 
 def enumeration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_test_table(spark, sf_dir, "events").filter(F.col("event_type").isin(*ENUMERATION_ITEMS))
+    e = read_test_table(spark, sf_dir, "events")
     k = F.col("event_id")
     item = None
     for ev, it in ENUMERATION_ITEMS.items():

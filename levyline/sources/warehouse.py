@@ -5,6 +5,7 @@ Layout under one root (a shared folder the cluster sees):
     tables/<table>/v=<run_id>/      one full version of a loaded table per run that changed it
     marts/<model>/v=<run_id>/       a mart version; day-partitioned marts hold only the days that run wrote
     marts/<model>/_manifest/<run>/  for day-partitioned marts: the version of each day that run wrote
+    builds/<run_id>/                the table versions that a finished build of all marts has used
     control/<run_id>.<table>/       the table's control row written by that run (written after its data)
     slices/<table>/v=<run_id>/      the extracted slice, written once so the source is read once
 
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from levyline.schemas import TableSpec
 
+BUILD_SCHEMA = "table_name string, version string, run_id string, committed_at timestamp_ntz"
 MANIFEST_SCHEMA = "day date, version string, run_id string, committed_at timestamp_ntz"
 
 CONTROL_SCHEMA = (
@@ -87,9 +89,16 @@ class Warehouse:
         row = self.control().filter(F.col("table_name") == table).select("version").collect()
         return row[0][0] if row else None
 
+    def _next_commit(self, history: DataFrame) -> str:
+        last = history.agg(F.max("committed_at")).collect()[0][0]
+        now = dt.datetime.now()
+        now = max(now, last + dt.timedelta(microseconds=1)) if last is not None else now
+        return now.strftime("%Y-%m-%d %H:%M:%S.%f")
+
     def write_control(self, row: DataFrame, run_id: str, table: str) -> None:
-        """Commit a table's control row; the newest commit (wall clock) names the current version."""
-        committed = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S.%f")
+        """Commit a table's control row; the newest commit names the current version. A commit is always
+        newer than those it sees, also where this driver's clock is behind another's."""
+        committed = self._next_commit(self.control_history())
         row = row.withColumn("committed_at", F.lit(committed).cast("timestamp_ntz"))
         row.select(*[c.split()[0] for c in CONTROL_SCHEMA.split(",")]).coalesce(1).write.mode("overwrite").parquet(
             self.control_path(run_id, table)
@@ -98,7 +107,9 @@ class Warehouse:
     # tables
     def read_table(self, spec: TableSpec) -> DataFrame:
         """Current version of a loaded table (empty in its layout before the first load)."""
-        version = self.current_version(spec.name)
+        return self.read_version(spec, self.current_version(spec.name))
+
+    def read_version(self, spec: TableSpec, version: str | None) -> DataFrame:
         if version is None:
             return self.spark.createDataFrame([], spec.schema)
         return self.spark.read.schema(spec.schema).parquet(self.table_path(spec.name, version))
@@ -136,6 +147,29 @@ class Warehouse:
         newest = hist.groupBy("day").agg(F.max_by("version", F.struct("committed_at", "run_id")).alias("version"))
         return newest.filter(F.col("version").isNotNull())
 
+    # builds: which table versions a finished build of all marts has used
+    def write_build(self, versions: dict[str, str | None], run_id: str) -> None:
+        """Record a finished build; a build that died leaves no record."""
+        builds = self.builds()
+        committed = self._next_commit(builds)
+        rows = [(t, v, run_id) for t, v in sorted(versions.items())]
+        df = self.spark.createDataFrame(rows, "table_name string, version string, run_id string")
+        df = df.withColumn("committed_at", F.lit(committed).cast("timestamp_ntz"))
+        df.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/builds/{run_id}")
+
+    def builds(self) -> DataFrame:
+        if not self.exists(f"{self.root}/builds"):
+            return self.spark.createDataFrame([], BUILD_SCHEMA)
+        return self._read_entries(f"{self.root}/builds", BUILD_SCHEMA)
+
+    def last_build(self) -> dict[str, str | None] | None:
+        """Table versions of the newest finished build, or None before the first."""
+        newest = self.builds().orderBy(F.desc("committed_at"), F.desc("run_id")).limit(1).collect()
+        if not newest:
+            return None
+        rows = self.builds().filter(F.col("run_id") == newest[0]["run_id"]).collect()  # one row a table
+        return {r["table_name"]: r["version"] for r in rows}
+
     def _day_dirs(self, path: str, day_col: str) -> set:
         """Day values present under a partitioned write (directory names ``day_col=<value>``)."""
         jvm = self.spark.sparkContext._jvm
@@ -160,7 +194,9 @@ class Warehouse:
         path = self.mart_path(model, run_id)
         df.repartitionByRange(F.col(day_col), F.col(key)).write.mode("overwrite").partitionBy(day_col).parquet(path)
         present = self._day_dirs(path, day_col)
-        committed = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S.%f")
+        base = self.manifest_path(model)
+        known = self._read_entries(base, MANIFEST_SCHEMA) if self.exists(base) else self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        committed = self._next_commit(known)
         rows = [(d, run_id if d in present else None, run_id) for d in sorted(set(days) | present)]
         (
             self.spark.createDataFrame(rows, "day date, version string, run_id string")

@@ -4,46 +4,60 @@ into the versioned warehouse table, one micro-batch per trigger.
 The streaming checkpoint records which files were taken, so no high-water filter is needed to find new
 rows; the control row is still written per batch (mark = max(old mark, newest event time of the batch)),
 so batch and streaming runs can follow each other on the same table. Each micro-batch writes the version
-``s<epoch>``: when a batch is retried after a failure it rewrites the same version and the same control
-row, so the sink is idempotent (exactly-once with the checkpoint).
+``s<stream>-<epoch>``, where <stream> is the query's own id from its checkpoint: when a batch is retried after a
+failure it rewrites the same version and the same control row, so the sink is idempotent (exactly-once with
+the checkpoint), and another stream's epochs never coincide with it.
+
+A batch takes the rows that the batch loader would take: newer than the mark less the lookback, never those
+without a time. NULL keys and NULLs in NOT NULL columns stop the stream.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from levyline.operators import watermark as wm
 from levyline.operators.merge import event_time, merge
-from levyline.schemas import TableSpec
+from levyline.plans.ingest import check_rules, rule_counts
+from levyline.schemas import FALLBACK_START, LOOKBACK_DAYS, TableSpec
 from levyline.sources.warehouse import Warehouse
 
 
-def merge_batch(wh: Warehouse, spec: TableSpec, batch: DataFrame, epoch_id: int,
-                broadcast_bytes: int = 64 * 1024 * 1024) -> None:
+def stream_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The id that the query keeps in its checkpoint: a new checkpoint has a new one."""
+    line = spark.read.text(f"{checkpoint_dir.rstrip('/')}/metadata").first()[0]
+    return json.loads(line)["id"].replace("-", "")
+
+
+def merge_batch(wh: Warehouse, spec: TableSpec, batch: DataFrame, epoch_id: int, stream: str = "",
+                broadcast_bytes: int = 64 * 1024 * 1024, fallback: str = FALLBACK_START,
+                lookback_days: int = LOOKBACK_DAYS) -> None:
     """foreachBatch body: merge one micro-batch into the table's current version."""
     spark = wh.spark
-    version = f"s{epoch_id:012d}"
+    version = f"s{stream}-{epoch_id:012d}"
+    prior = wh.control().filter(F.col("table_name") == spec.name).collect()
+    if prior and prior[0]["version"] == version:  # this epoch of this stream was already committed
+        return
+    mark = prior[0]["last_loaded_at"] if prior else wm.read_watermark(wm.empty_control(spark), spec.name, fallback)
+    batch = wm.extract_slice(batch, spec, wm.lookback(mark, lookback_days))
     stats = batch.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct(spec.key).alias("keys"), F.max(event_time(spec)).alias("newest")
+        F.count(F.lit(1)).alias("n"), F.count_distinct(spec.key).alias("keys"), F.max(event_time(spec)).alias("newest"),
+        *rule_counts(spec),
     ).collect()[0]
+    check_rules(spec, stats.asDict())
     if stats["n"] == 0:
         return
-    control = wh.control()
-    prior = control.filter(F.col("table_name") == spec.name).collect()
-    if prior and prior[0]["version"] == version:  # this epoch was already committed
-        return
     target = wh.read_table(spec)
     merged = merge(target, batch, spec, dedupe_slice=stats["keys"] < stats["n"], small_slice=stats["n"] * spec.row_bytes <= broadcast_bytes)
     wh.write_table(merged, spec.name, version)
-    old_mark = prior[0]["last_loaded_at"] if prior else None
-    newest = stats["newest"]
-    mark = max(m for m in (old_mark, newest) if m is not None) if (old_mark or newest) else dt.datetime.now()
+    mark = max(mark, stats["newest"])
     row = spark.range(1).select(
         F.lit(spec.name).alias("table_name"),
-        F.lit(mark.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").alias("last_loaded_at"),
+        F.lit(mark.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz").alias("last_loaded_at"),
         F.localtimestamp().cast("timestamp_ntz").alias("last_run_at"),
         F.lit(int(stats["n"])).cast("bigint").alias("rows_loaded"),
         F.lit(version).alias("run_id"),
@@ -60,6 +74,7 @@ def start_merge_stream(
     checkpoint_dir: str,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    fallback: str = FALLBACK_START,
 ) -> StreamingQuery:
     """Start the stream: Parquet extract files (in the spec's layout) under ``landing_dir``."""
     reader = spark.readStream.schema(spec.schema)
@@ -67,7 +82,7 @@ def start_merge_stream(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(landing_dir)
     writer = (
-        stream.writeStream.foreachBatch(lambda batch, epoch: merge_batch(wh, spec, batch, epoch))
+        stream.writeStream.foreachBatch(lambda batch, epoch: merge_batch(wh, spec, batch, epoch, stream_id(spark, checkpoint_dir), fallback=fallback))
         .option("checkpointLocation", checkpoint_dir)
         .queryName(f"merge_{spec.name}")
     )

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 
-import __spark_entry__ as entry
+from levyline.catalog import QUERIES
 from levyline import schemas
 from levyline.operators.merge import merge
 from levyline.plans import reports
@@ -20,9 +20,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith(("runlog", "report_csv"))])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("runlog", "report_csv"))])
 def test_no_python_in_plans(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert marker not in plan
 

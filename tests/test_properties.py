@@ -38,20 +38,22 @@ def _at_rows(data, unique):
 
 
 def _expected_upsert(target, slice_):
-    # the latest slice row per key wins (ties: the greatest whole row, as the operator defines)
-    latest = {}
+    # a new key: the earliest row with the latest row's update columns (ties: the least, the greatest whole row)
+    latest, earliest = {}, {}
     for r in slice_:
         k = r["idagent_transactions"]
         key = (r["trans_date"], r["status"] or "", r["comment"] or "")
         if k not in latest or key > latest[k][0]:
             latest[k] = (key, r)
+        if k not in earliest or key < earliest[k][0]:
+            earliest[k] = (key, r)
     out = {r["idagent_transactions"]: dict(r) for r in target}
     for k, (_, r) in latest.items():
         if k in out:
             for c in AT.update_columns:
                 out[k][c] = r.get(c)
         else:
-            out[k] = dict(r)
+            out[k] = dict(earliest[k][1]) | {c: r.get(c) for c in AT.update_columns}
     return {k: (v["trans_date"], v.get("status"), v.get("comment")) for k, v in out.items()}
 
 

@@ -49,10 +49,10 @@ def test_streaming_merge_equals_batch_merges(spark, scratch):
     landing, ckpt = f"{scratch}/landing", f"{scratch}/ckpt"
     first.write.parquet(f"{landing}/f1")
     # the stream reads files below the landing folder; each run takes the files that arrived since the last
-    q = start_merge_stream(spark, wh, spec, f"{landing}/*", ckpt)
+    q = start_merge_stream(spark, wh, spec, f"{landing}/*", ckpt, fallback="2024-01-01 00:00:00")
     q.awaitTermination(300)
     second.write.parquet(f"{landing}/f2")
-    q = start_merge_stream(spark, wh, spec, f"{landing}/*", ckpt)
+    q = start_merge_stream(spark, wh, spec, f"{landing}/*", ckpt, fallback="2024-01-01 00:00:00")
     q.awaitTermination(300)
     got = wh.read_table(spec)
     empty = spark.createDataFrame([], spec.schema)

@@ -81,14 +81,6 @@ def test_combined_rows_are_bus_days_plus_concession_rows(spark):
         "Bus Ticket", "Market Ticket", "Vehicle Ticket"}
 
 
-def test_permit_join_rewrite_equals_two_step_form(spark):
-    m = RevenueModels(fixtures.raw_tables(spark, SF_SMALL))
-    direct = m.fct_concession_permits
-    literal = marts.fct_concession_permits_two_step(m.stg_agent_transactions, m.stg_concession_permit, m.fct_transactions)
-    assert direct.columns == literal.columns
-    assert direct.exceptAll(literal).count() == 0 and literal.exceptAll(direct).count() == 0
-
-
 def test_duplicate_product_codes_fan_out_but_count_once(spark):
     tx = _tx(spark, [{"idagent_transactions": 1, "status": "Completed", "amount": 100,
                       "payment_date": "2024-01-02 10:00:00", "revenue_item": "P-1"}])
