@@ -140,7 +140,7 @@ def write_reports(reports: dict[str, DataFrame], as_of: str | dt.date, out_dir:
     paths = {}
     for name, stem in REPORT_FILES:
         path = f"{out_dir.rstrip('/')}/{file_name(stem, start, end)}"
-        df = reports[name].coalesce(1)  # a report is one row per dimension value: one file, sorted in one task
+        df = reports[name].repartition(1)  # aggregated in parallel; the result (one row per dimension value) is one file
         if REPORT_ORDER[name] in df.columns:
             df = df.sortWithinPartitions(F.col(REPORT_ORDER[name]).desc_nulls_first())
         (
