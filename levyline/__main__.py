@@ -35,7 +35,7 @@ class _CurrentMarts:
     """The marts a report reads, from a warehouse's current versions."""
 
     def __init__(self, wh: Warehouse):
-        for model, (day, _key) in MART_LAYOUT.items():
+        for model, day in MART_LAYOUT.items():
             versions = wh.mart_days(model).select("version").distinct().collect()
             if versions:
                 sample = wh.spark.read.parquet(wh.mart_path(model, versions[0][0]))

@@ -126,14 +126,6 @@ class Warehouse:
         return self.spark.read.schema(df.schema).parquet(path)
 
     # marts
-    def write_mart(self, df: DataFrame, model: str, version: str, partition_by: str | None = None) -> str:
-        path = self.mart_path(model, version)
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
-        return path
-
     # day-partitioned marts: each run writes the days it recomputed; a manifest names each day's version
     def manifest_path(self, model: str) -> str:
         return f"{self.root}/marts/{model}/_manifest"
@@ -185,14 +177,14 @@ class Warehouse:
             if st.isDirectory() and st.getPath().getName().startswith(prefix)
         }
 
-    def write_days(self, df: DataFrame, model: str, day_col: str, key: str, run_id: str, days) -> None:
+    def write_days(self, df: DataFrame, model: str, day_col: str, run_id: str, days) -> None:
         """Write ``df`` (rows of ``days`` only) as this run's version of those days, then commit the manifest:
         each of ``days`` now points to this version, or is marked deleted when it has no rows any more.
 
-        The rows are range-partitioned on (day, key) first: a day holding a third of all rows is split over
-        many tasks, and each task writes few files."""
+        The rows are rebalanced by day first: small days share a task, and adaptive execution splits a day that
+        holds a third of all rows, whatever its other columns."""
         path = self.mart_path(model, run_id)
-        df.repartitionByRange(F.col(day_col), F.col(key)).write.mode("overwrite").partitionBy(day_col).parquet(path)
+        df.hint("rebalance", F.col(day_col)).write.mode("overwrite").partitionBy(day_col).parquet(path)
         present = self._day_dirs(path, day_col)
         base = self.manifest_path(model)
         known = self._read_entries(base, MANIFEST_SCHEMA) if self.exists(base) else self.spark.createDataFrame([], MANIFEST_SCHEMA)
