@@ -6,8 +6,9 @@ its order is that of the label so read. A region is a run of an order whose rows
 ``BASE_DEPTH`` hashes long and is lengthened only where a region holds more than ``REGION_ROWS`` rows (adaptive
 depth), so dense parts of the space go deep and sparse parts stay shallow. Candidates are the next
 ``NEIGHBOURS`` rows in a region's order, which share the longest prefixes. Rows that agree beyond the deepest
-prefix are split into blocks and each is also linked to the region's first row. In dense regions, rows that are
-then still outside the region's largest component look ``WIDE`` rows to either side.
+prefix are split into blocks and each is also linked to the region's first row. In regions too large for
+that to compare all pairs, rows that are then still outside the region's largest component look ``WIDE`` rows
+to either side.
 
 Equal shingle sets are one class from the start (partial aggregation, however many copies), so only different
 sets meet in the forest. Candidates pass a bound on set sizes and on signature agreement, and every link is
@@ -38,11 +39,11 @@ HASHES = TREES * BASE_DEPTH
 #: Prefix lengths a region may have; a label has as many hashes as the longest.
 DEPTHS = (4, 5, 6, 8, 10, 12, 16)
 #: A region with more rows is split by the next depth.
-REGION_ROWS = 1000
+REGION_ROWS = 10_000
 #: Neighbours on one side of a row in a region's order.
-NEIGHBOURS = 3
-#: The same for rows outside the largest component of a dense region.
-WIDE = 16
+NEIGHBOURS = 2
+#: The same for rows outside the largest component of a region with more rows.
+WIDE = 32
 #: Wide candidates of a row and another component that are confirmed before the others.
 BEST_WIDE = 8
 _R = np.random.RandomState(20240229)
@@ -178,8 +179,8 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 
 def wide_candidates(rows: DataFrame, components_: DataFrame) -> DataFrame:
-    """Neighbours up to WIDE rows away, in another component, of rows outside their dense region's largest one."""
-    rows = rows.where(F.col("size") > 2 * NEIGHBOURS + 1).select("id", "region", "label")
+    """Neighbours up to WIDE rows away, in another component, of rows outside their region's largest one."""
+    rows = rows.where(F.col("size") > NEIGHBOURS + 1).select("id", "region", "label")
     rows = rows.join(components_.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     held = rows.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
     main = held.groupBy("region").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")

@@ -18,7 +18,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Bytes hashed at a time; only a single longer word makes a larger piece.
-PIECE = 1 << 20
+PIECE = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 _POW = [np.ones(1, U), np.ones(1, U)]
 
