@@ -7,8 +7,8 @@ its order is that of the label so read. A region is a run of an order whose rows
 depth), so dense parts of the space go deep and sparse parts stay shallow. Candidates are the next
 ``NEIGHBOURS`` rows in a region's order, which share the longest prefixes. Rows that agree beyond the deepest
 prefix are split into blocks and each is also linked to the region's first row. In regions too large for
-that to compare all pairs, rows that are then still outside the region's largest component look ``WIDE`` rows
-to either side.
+that to compare all pairs, rows that are then still outside the region's largest component are open: each is
+compared, on the full sets, with all rows of the regions (of the shortest prefix) that are connected with its own.
 
 Equal shingle sets are one class from the start (partial aggregation, however many copies), so only different
 sets meet in the forest. Candidates pass a bound on set sizes and on signature agreement, and every link is
@@ -42,10 +42,9 @@ DEPTHS = (4, 5, 6, 8, 10, 12, 16)
 REGION_ROWS = 10_000
 #: Neighbours on one side of a row in a region's order.
 NEIGHBOURS = 2
-#: The same for rows outside the largest component of a region with more rows.
-WIDE = 32
-#: Wide candidates of a row and another component that are confirmed before the others.
-BEST_WIDE = 8
+#: Shingles of a block of rows that are compared with those of another, and what a row counts besides its own.
+BLOCK_SHINGLES = 1 << 19
+ROW_WEIGHT = 256
 _R = np.random.RandomState(20240229)
 _XOR = _R.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _MUL = _R.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -178,18 +177,111 @@ def candidates(rows: DataFrame) -> DataFrame:
     return _pairs(rows.select("id", F.array(*near, "first").alias("near")), "id", "near")
 
 
-def wide_candidates(rows: DataFrame, components_: DataFrame) -> DataFrame:
-    """Neighbours up to WIDE rows away, in another component, of rows outside their region's largest one."""
-    rows = rows.where(F.col("size") > NEIGHBOURS + 1).select("id", "region", "label")
+def open_groups(rows: DataFrame, components_: DataFrame) -> DataFrame:
+    """Rows (id, part, component, open) of the regions in which not all pairs were compared and several components remain.
+
+    Regions are those of the shortest prefix, so pairs that adaptive depth or blocks took apart count as well. Open
+    rows are outside the largest component of such a region; regions that share rows are one part.
+    """
+    rows = rows.select("id", _prefix(BASE_DEPTH).alias("region"))
     rows = rows.join(components_.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    held = rows.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = held.groupBy("region").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    rows = rows.join(main.select("region", F.col("main.component").alias("main")), "region")
-    around = Window.partitionBy("region").orderBy("label", "id").rowsBetween(-WIDE, WIDE)
-    near = F.collect_list(F.struct("id", "component")).over(around)
-    rows = rows.withColumn("near", near).where("component <> main")
-    others = F.filter("near", lambda o: o["component"] != F.col("component"))
-    return _pairs(rows.select("id", F.transform(others, lambda o: o["id"]).alias("near")), "id", "near")
+    held = rows.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
+    main = held.groupBy("region").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.min("low").alias("low"))
+    main = main.where((F.col("parts") > 1) & (F.col("all") > NEIGHBOURS + 1))
+    rows = rows.join(main.select("region", "low", F.col("main.component").alias("main")), "region")
+    rows = stored(rows.groupBy("id", "low").agg(F.first("component").alias("component"), F.max(F.col("component") != F.col("main")).alias("open")), "open")
+    part = components(rows.select(F.col("id").alias("a"), F.col("low").alias("b")), "parts").select(F.col("node").alias("id"), F.col("component").alias("part"))
+    rows = rows.groupBy("id").agg(F.first("component").alias("component"), F.max("open").alias("open"))
+    return stored(rows.join(part, "id").select("id", "part", "component", "open"), "open")
+
+
+def _sets(k: int):
+    """(id, text) -> (id, n, set): the shingles of each text."""
+    def run(batches):
+        for b in batches:
+            sets = [s for s in shingle_sets(b.column(1), k)]
+            n, out = pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), n, out], ["id", "n", "shingles"])
+
+    return run
+
+
+def shared_counts(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of xs with every set of ys."""
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    flat = lambda sets: (np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+    (hx, ix), (hy, iy) = flat(xs), flat(ys)
+    both = np.intersect1d(hx, hy)
+    if not len(both):
+        return out
+
+    def placed(h, i):
+        c = np.minimum(np.searchsorted(both, h), len(both) - 1)
+        hit = both[c] == h
+        c, i = c[hit], i[hit]
+        by = np.argsort(c, kind="stable")
+        return c[by], i[by], np.bincount(c, minlength=len(both))
+
+    (cx, ix, fx), (cy, iy, fy) = placed(hx, ix), placed(hy, iy)
+    dense = fx * fy > out.size / 256
+    common = np.flatnonzero(dense)  # common shingles: products of matrices
+    for at in range(0, len(common), 1024):
+        column = np.full(len(both), -1)
+        column[common[at : at + 1024]] = np.arange(len(common[at : at + 1024]))
+        sides = []
+        for c, i, size in ((cx, ix, len(xs)), (cy, iy, len(ys))):
+            m, c = np.zeros((size, 1024), np.float32), column[c]
+            m[i[c >= 0], c[c >= 0]] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    rare = ~dense[cx]  # the others: pair by pair
+    cx, ix, first = cx[rare], ix[rare], np.cumsum(fy) - fy
+    ends = np.cumsum(fy[cx])
+    at = 0
+    while at < len(cx):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 20), "right")))
+        f = fy[cx[at:to]]
+        nth = np.arange(f.sum()) - np.repeat(np.cumsum(f) - f, f)
+        np.add.at(out, (np.repeat(ix[at:to], f), iy[np.repeat(first[cx[at:to]], f) + nth]), 1)
+        at = to
+    return out
+
+
+def _linked(percent: int):
+    """A block of open rows and a block of rows -> pairs (a, b) of components that a link joins."""
+    def run(t: pa.Table) -> pa.Table:
+        side, n, c = (t.column(x).to_numpy() for x in ("side", "n", "component"))
+        sets = [np.frombuffer(x, U) for x in t.column("shingles").to_pylist()]
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        pairs = np.zeros((0, 2), np.int64)
+        if len(x) and len(y):
+            both = shared_counts([sets[i] for i in x], [sets[i] for i in y])
+            hit = (both > 0) & ((100 + percent) * both.astype(np.int64) >= percent * (n[x][:, None] + n[y])) & (c[x][:, None] != c[y])
+            i, j = np.nonzero(hit)
+            pairs = np.unique(np.stack([c[x][i], c[y][j]], 1), axis=0).astype(np.int64)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    return run
+
+
+def exact_links(docs: DataFrame, open_: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of components joined by a link of an open row with any row of its part, on the full sets.
+
+    Parts are dealt by hash into blocks of about ``BLOCK_SHINGLES``; every block of open rows meets every block of its part.
+    """
+    rows = docs.join(open_.select("id").distinct(), "id", "left_semi").select("id", "text").mapInArrow(_sets(k), "id long, n long, shingles binary")
+    rows = stored(rows.where("n > 0").join(open_, "id"), "sets")
+    weight = F.col("n") + ROW_WEIGHT
+    blocks = lambda w: F.greatest(F.ceil(F.sum(w) / BLOCK_SHINGLES), F.lit(1))
+    sizes = rows.groupBy("part").agg(blocks(F.when(F.col("open"), weight).otherwise(0)).alias("n_x"), blocks(weight).alias("n_y"))
+    rows = rows.join(sizes, "part")
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("long")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
+    columns = ["part", "n", "component", "shingles"]
+    x = rows.where("open").select(F.lit(0).alias("side"), *columns, own("n_x").alias("x"), every("n_y").alias("y"))
+    y = rows.select(F.lit(1).alias("side"), *columns, own("n_y").alias("y"), every("n_x").alias("x"))
+    met = x.unionByName(y).groupBy("part", "x", "y").applyInArrow(_linked(percent), "a long, b long")
+    return stored(met.distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,7 +319,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         """Components after the confirmed ones among ``open_`` have been linked."""
         if open_.isEmpty():
             return whole
-        links = confirmed(open_).join(open_, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+        return merged(whole, confirmed(open_).join(open_, ["a", "b"]).select(F.col("c_a").alias("a"), F.col("c_b").alias("b")))
+
+    def merged(whole: DataFrame, links: DataFrame) -> DataFrame:
+        """Components after ``links`` of components."""
         more = stored(components(links), "more")
         out = whole.join(more.select(F.col("node").alias("component"), F.col("component").alias("c2")), "component", "left")
         out = out.select("node", F.coalesce("c2", "component").alias("component"))
@@ -240,14 +335,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     best = best.select((-F.col("m.col2.col1")).alias("a"), (-F.col("m.col2.col2")).alias("b")).distinct()
     whole = stored(components(confirmed(best)), "whole")
     whole = joined(whole, between(pairs, whole))
-    wide = likely(wide_candidates(rows, whole))
-    if not wide.isEmpty():
-        open_ = between(wide, whole)
-        ends = open_.select(F.col("a").alias("node"), F.col("c_b").alias("other"), *open_.columns).union(open_.select("b", "c_a", *open_.columns))
-        first = ends.groupBy("node", "other").agg(F.slice(F.sort_array(F.collect_list(F.struct("same", "a", "b")), False), 1, BEST_WIDE).alias("best"))
-        first = first.select(F.explode("best").alias("m")).select("m.a", "m.b").distinct()
-        whole = joined(whole, open_.join(first, ["a", "b"]))
-        whole = joined(whole, between(wide, whole))
+    open_rows = open_groups(rows, whole)
+    if not open_rows.isEmpty():
+        whole = merged(whole, exact_links(docs, open_rows, k, percent))
     classes = classes.select("set_key", "id").join(whole.withColumnRenamed("node", "id"), "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     out = signed.select("id", "n", "set_key").join(classes, "set_key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))

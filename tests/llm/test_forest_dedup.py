@@ -95,3 +95,29 @@ def test_words_of_a_long_text_do_not_depend_on_the_pieces():
         assert (whole[k * 100_000 : k * 100_000 + 1000] == p).all()
     assert len(next(shingle_sets(pa.array([text]), 4))) == 399_997
     assert [len(s) for s in shingle_sets(pa.array(["a b", None, "", "a b c d e"]), 4)] == [1, 0, 0, 2]
+
+
+def family(n: int, seed: int = 2):
+    """One template; members are below 0.8 to each other, but every 20th is a pair above it with the one before."""
+    rng = random.Random(seed)
+    rows, last = [], []
+    for i in range(n):
+        places = rng.sample(range(4, 296, 5), 6)
+        own = [(p, f"z{i}x{p}") for p in places]
+        if i % 20 == 19:  # keeps three of its predecessor's changes
+            taken = {p for p, _ in last[:3]}
+            own = last[:3] + [(p, w) for p, w in own if p not in taken][:3]
+        last, words = own, [f"w{j}" for j in range(300)]
+        for p, w in own:
+            words[p] = w
+        rows.append((i * 7919 % 1000003, " ".join(words)))
+    return rows
+
+
+def test_pairs_in_a_family_that_is_itself_below_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(lsh_forest, "REGION_ROWS", 20)
+    rows = family(500)
+    root = H.classes({i: H.shingles(t, 4) for i, t in rows})
+    assert 20 < sum(root[i] != i for i in root) < 150
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, k=4).collect()} == root
