@@ -6,8 +6,8 @@ sample. The number of phrases, normalised as phrases * log2(sample length) / tex
 cross entropy in bits per character; the language needing fewest wins (ties: the smaller name).
 
 Text is lower-cased; everything but letters becomes single spaces. The training sample is bounded by
-``SAMPLE_CHARS`` letters and spaces a language, taken from labelled rows in the order of a hash of the id,
-so it is the same on every run. Whole texts are parsed: long ones in runs of ``LANE`` characters, side by
+``SAMPLE_CHARS`` letters and spaces a language, taken from labelled rows in the order of a hash of the id
+(about ``SAMPLE_ROWS`` rows of any length, the first ``SAMPLE_TEXT_CHARS`` characters of each), so it is the same on every run. Whole texts are parsed: long ones in runs of ``LANE`` characters, side by
 side, whose phrases are added up (a run's end closes its last phrase).
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; a model without any
@@ -30,7 +30,7 @@ from .common import ship
 
 #: Characters of the training sample of one language.
 SAMPLE_CHARS = 30_000
-#: Labelled texts longer than this are not used for training (they would fill the sample alone).
+#: Characters that one labelled text gives to the sample, from its first letter on (a long one would fill it alone).
 SAMPLE_TEXT_CHARS = 4_000
 #: Labelled texts of a language looked at for the sample (expected number; the bound on what the driver gets).
 SAMPLE_ROWS = 120
@@ -40,6 +40,7 @@ LANE = 512
 #: Characters parsed together.
 BLOCK = 1 << 21
 UND = "und"
+LETTER = r"\p{L}"
 
 _state: dict = {}
 
@@ -217,7 +218,7 @@ def held_out(id_col: str) -> Column:
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> tuple[tuple[str, str], ...]:
     """(language, text) of at most SAMPLE_CHARS characters each, from rows that are not held out."""
-    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_TEXT_CHARS))
+    rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(LETTER))
     rank = F.xxhash64(F.col(id_col).cast("string"), F.lit("sample"))
     counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).cast("string")).count().collect()}
     span = 1 << 62
@@ -225,7 +226,8 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     for name, n in counts.items():
         below = int(min(1.0, SAMPLE_ROWS / n) * 2 * span) - span
         take |= (F.col(lang_col) == name) & (F.shiftright(rank, 1) < F.lit(below))
-    got = rows.where(take).select(F.col(lang_col).cast("string").alias("lang"), rank.alias("rank"), F.col(text_col).cast("string").alias("text")).collect()
+    piece = F.substring(F.regexp_replace(F.col(text_col).cast("string"), r"^\P{L}++", ""), 1, SAMPLE_TEXT_CHARS)
+    got = rows.where(take).select(F.col(lang_col).cast("string").alias("lang"), rank.alias("rank"), piece.alias("text")).collect()
     samples: dict[str, str] = {}
     for r in sorted(got, key=lambda r: (r.lang, r.rank, r.text)):
         if len(samples.get(r.lang, "")) < SAMPLE_CHARS:
@@ -243,9 +245,14 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def in_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is not ``und``; one pass, no shuffle."""
+    """The rows of ``docs``, all columns, whose text has a letter and so is not ``und``; one pass, no shuffle.
+
+    Without any learned language the rows with a letter stay as well.
+    """
     ship(docs.sparkSession)
     samples = training_sample(docs, id_col, text_col, lang_col)
+    if not samples:
+        return docs.where(F.coalesce(F.col(text_col).cast("string").rlike(LETTER), F.lit(False)))
     whole = docs.select(F.struct("*").alias("row"))
     schema = StructType([whole.schema["row"], StructField("lang_pred", StringType())])
     return whole.mapInArrow(_parse_rows(samples, text_col), schema).where(F.col("lang_pred") != UND).select("row.*")

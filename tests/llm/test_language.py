@@ -85,3 +85,14 @@ def test_automaton_accepts_just_the_substrings():
                 state = goto[state][c]
             assert ok == (w in subs)
     assert SYMBOLS > 3
+
+
+def test_long_labelled_texts_train_and_nothing_learned_drops_nothing(spark):
+    en, de = "the cat sat on the mat and then ", "der hund liegt auf dem boden und "
+    rows = [(i, "12 " + (en if i % 2 else de) * 300, "en" if i % 2 else "de") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = dict(training_sample(docs, "doc_id", "text", "lang"))
+    assert set(samples) == {"de", "en"} and all(len(x) > 1000 for x in samples.values())
+    assert all(r["lang_pred"] == rows[r["doc_id"]][2] for r in identify(docs).collect())
+    bare = spark.createDataFrame([(1, "some text", None), (2, "1 2", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in in_known_language(bare).collect()] == [1]
