@@ -34,7 +34,8 @@ SAMPLE_CHARS = 30_000
 SAMPLE_TEXT_CHARS = 4_000
 #: Labelled texts of a language looked at for the sample (expected number; the bound on what the driver gets).
 SAMPLE_ROWS = 120
-#: Symbols of the parse: 0 is a space, 1 any letter outside the most frequent ones.
+#: Symbols of a language with a column in the transition table: 0 is a space, 1 any letter that its sample lacks, then
+#: its letters by frequency. The transitions by its other letters are kept sparse.
 SYMBOLS = 64
 LANE = 512
 #: Characters parsed together.
@@ -96,24 +97,47 @@ class Parser:
 
     def __init__(self, samples: tuple[tuple[str, str], ...]):
         self.names = [name for name, _ in samples]
-        common = Counter(c for _, text in samples for c in text if c != " ")
-        self.symbol = np.where(letters(), np.uint8(1), np.uint8(0))
-        for i, (c, _) in enumerate(sorted(common.items(), key=lambda x: (-x[1], x[0]))[: SYMBOLS - 2]):
+        held = sorted({c for _, text in samples for c in text if c != " "})
+        self.symbol = np.where(letters(), np.int32(1), np.int32(0))
+        for i, c in enumerate(held):
             self.symbol[ord(c)] = i + 2
-        tables, self.roots, at = [], [], 0
-        for _, text in samples:
-            goto = automaton(self.symbol[points(text)].tolist())
+        self.local = np.ones((len(samples), len(held) + 2), np.int32)  # each language's own symbols
+        self.local[:, 0] = 0
+        tables, keys, targets, self.roots, at = [], [], [], [], 0
+        for lang, (_, text) in enumerate(samples):
+            common = Counter(c for c in text if c != " ")
+            for i, (c, _) in enumerate(sorted(common.items(), key=lambda x: (-x[1], x[0]))):
+                self.local[lang, self.symbol[ord(c)]] = i + 2
+            goto = automaton(self.local[lang, self.symbol[points(text)]].tolist())
             table = np.zeros((len(goto), SYMBOLS), np.int32)
             for state, to in enumerate(goto):
                 for c, target in to.items():
-                    table[state, c] = target + at
+                    if c < SYMBOLS:
+                        table[state, c] = target + at
+                    else:
+                        keys.append((state + at) << 20 | c)
+                        targets.append(target + at)
             tables.append(table)
             self.roots.append(at)
             at += len(goto)
         self.table = np.concatenate(tables).ravel()
+        by = np.argsort(np.array(keys, np.int64))
+        self.keys, self.targets = np.array(keys, np.int64)[by], np.array(targets, np.int32)[by]
         self.base = np.array(self.roots, np.int64)[:, None]
         self.log = np.array([math.log2(max(2, len(text))) for _, text in samples])
 
+    def follow(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The states after the languages' symbols ``c``; 0 where there is no transition."""
+        if not len(self.keys):
+            return self.table[state * SYMBOLS + c]
+        rare = c >= SYMBOLS
+        to = self.table[state * SYMBOLS + np.where(rare, 1, c)]
+        if rare.any():
+            key = (np.broadcast_to(state, c.shape)[rare].astype(np.int64) << 20) | c[rare]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            to[rare] = np.where(self.keys[at] == key, self.targets[at], 0)
+        return to
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Phrases by language and text; letters and spaces of each text; its letters."""
         lows = [t.lower() for t in texts]
@@ -138,15 +162,14 @@ class Parser:
         active = np.searchsorted(-n, -np.arange(LANE), "left")  # lanes longer than each step
         state = np.repeat(self.base, len(of), axis=1)
         found = np.zeros(state.shape, np.int32)
-        root = self.base * SYMBOLS
         for step in range(LANE):
             m = active[step]
             if not m:
                 break
-            c = sym[start[:m] + step].astype(np.int64)
+            c = self.local[:, sym[start[:m] + step]]
             now = state[:, :m]
-            to = self.table[now * SYMBOLS + c]
-            again = self.table[root + c]
+            to = self.follow(now, c)
+            again = self.follow(self.base, c)
             end, unseen = to == 0, again == 0
             # a phrase ends before the symbol; a symbol that the sample lacks is a phrase of its own
             found[:, :m] += (end & (now != self.base)).astype(np.int32) + (end & unseen)

@@ -96,3 +96,14 @@ def test_long_labelled_texts_train_and_nothing_learned_drops_nothing(spark):
     assert all(r["lang_pred"] == rows[r["doc_id"]][2] for r in identify(docs).collect())
     bare = spark.createDataFrame([(1, "some text", None), (2, "1 2", None), (3, None, None)], "doc_id long, text string, lang string")
     assert [r["doc_id"] for r in in_known_language(bare).collect()] == [1]
+
+
+def test_languages_of_many_letters_are_told_apart():
+    rng = np.random.default_rng(7)
+    draw = lambda first: "".join(chr(first + i) for i in rng.integers(0, 300, 3000))
+    a, b = draw(0x4E00), draw(0x5E00)
+    parser = Parser((("a", a), ("b", b), ("en", plain("the cat sat on the mat " * 9))))
+    texts = [a[700:760], b[100:160], a[:300] + b[:40], "the mat"]
+    found, _, _ = parser.phrases(texts)
+    assert found[:2].tolist() == [[naive(x, t) for t in texts] for x in (a, b)]
+    assert [r[0] for r in parser.predict(texts)] == ["a", "b", "a", "en"]
