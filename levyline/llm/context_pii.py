@@ -5,7 +5,7 @@ the seeds of the bootstrapping. Every other token with a digit or ``@`` is a can
 words before a token, together with the token's shape, are its lexical patterns. Spark scores the graph of
 patterns and instances in rounds: a pattern is as reliable as the share of its distinct instances that are
 believed, an instance is believed as its patterns are reliable (seeds always). Candidates in a pattern with
-at least ``MIN_INSTANCES`` instances, ``MIN_SEEDS`` seeds and a reliability of ``MIN_SCORE`` are spans of kind ``context``.
+at least ``MIN_INSTANCES`` instances, ``MIN_SEEDS`` of them seeds or believed by ``MIN_SCORE`` in the round before, and a reliability of ``MIN_SCORE`` are spans of kind ``context``.
 Long hexadecimal strings are seeds too, but not base spans.
 
 Positions are code points, ends exclusive. A match's position is the length of everything before it: the gaps
@@ -14,7 +14,8 @@ chunks, so a text with very many matches costs little more than linear time. The
 with possessive repeats that start only where a run starts (or the previous match ended), which matches
 the same spans without backtracking on long runs.
 
-Defined results: null and empty texts have no spans. A candidate is at most ``MAX_TOKEN`` characters long. Spans found
+Defined results: null and empty texts have no spans. Candidates may be of any length; those (and shapes)
+of more than ``MAX_TOKEN`` characters are kept as their hash. Spans found
 by context never overlap base spans. Repeated rows get the same spans, each row its own.
 """
 
@@ -134,30 +135,34 @@ def _spans(matches: str, kind: str, n: int) -> Column:
 
 def _shape(core: Column) -> Column:
     """Runs of digits as 9, of letters and digits as x, of letters as a."""
-    mixed = F.regexp_replace(core, "[A-Za-z0-9]*(?:[A-Za-z][0-9]|[0-9][A-Za-z])[A-Za-z0-9]*", "\u0001")
+    mixed = F.regexp_replace(core, "(?<![A-Za-z0-9])(?:[A-Za-z]++[0-9]|[0-9]++[A-Za-z])[A-Za-z0-9]*+", "\u0001")
     return F.translate(F.regexp_replace(F.regexp_replace(mixed, "[0-9]+", "9"), "[A-Za-z]+", "a"), "\u0001", "x")
 
 
+def _brief(value: Column) -> Column:
+    """The value itself, or the hash of one that is longer than ``MAX_TOKEN``."""
+    return F.when(F.length(value) <= MAX_TOKEN, value).otherwise(F.sha2(value, 256))
+
+
 def with_candidates(df: DataFrame, text: str, base: str, out: str) -> DataFrame:
     """Adds ``out``: candidate identifiers (start, end, instance, patterns, inside a base span, secret)."""
     df = with_matches(df, text, "[0-9@]", CANDIDATE, out)
 
     def one(m: Column) -> Column:
         lead = F.length(F.regexp_extract(m["value"], "^[^A-Za-z0-9+]*+", 0))
-        core = F.regexp_replace(F.substring(m["value"], lead + 1, F.lit(MAX_TOKEN)), "[^A-Za-z0-9]++$", "")
+        core = F.regexp_replace(F.substring(m["value"], lead + 1, F.length(m["value"])), "(?<![^A-Za-z0-9])[^A-Za-z0-9]++$", "")
         return F.struct((m["start"] + lead).alias("start"), core.alias("core"), F.translate(F.lower(m["left"]), "0123456789", "9999999999").alias("left"))
 
     def two(m: Column, spans: Column) -> Column:
         end = m["start"] + F.length(m["core"])
         words = F.filter(F.split(m["left"], r"\s+"), lambda w: w != "")
-        shape = _shape(m["core"])
+        shape = _brief(_shape(m["core"]))
         patterns = F.array_distinct(F.transform(F.array(F.lit(1), F.lit(2)), lambda n: F.concat(F.array_join(F.slice(words, -F.least(n, F.greatest(F.size(words), F.lit(1))), n), " "), F.lit("\u0001"), shape)))
         inside = F.exists(spans, lambda b: (b["start"] < end) & (m["start"] < b["end"]))
         secret = m["core"].rlike(SECRET)
-        return F.struct(m["start"].alias("start"), end.alias("end"), F.lower(m["core"]).alias("instance"), patterns.alias("patterns"), inside.alias("inside"), secret.alias("secret"))
+        return F.struct(m["start"].alias("start"), end.alias("end"), _brief(F.lower(m["core"])).alias("instance"), patterns.alias("patterns"), inside.alias("inside"), secret.alias("secret"))
 
-    short = F.filter(out, lambda m: F.length(m["value"]) <= MAX_TOKEN)
-    df = df.withColumn(out, F.filter(F.transform(short, one), lambda m: F.length(m["core"]) > 0))
+    df = df.withColumn(out, F.filter(F.transform(out, one), lambda m: F.length(m["core"]) > 0))
     return df.withColumn(out, let(F.col(base), lambda spans: F.transform(out, lambda m: two(m, spans))))
 
 
@@ -173,7 +178,7 @@ def reliable_patterns(candidates: DataFrame) -> DataFrame:
     scores = None
     for r in range(ROUNDS):
         scored = edges.join(belief, "instance").groupBy("pattern")
-        scores = scored.agg((F.sum("belief") / F.count(F.lit(1))).alias("score"), F.count(F.lit(1)).alias("n"), F.sum(F.col("seed").cast("int")).alias("seeds"))
+        scores = scored.agg((F.sum("belief") / F.count(F.lit(1))).alias("score"), F.count(F.lit(1)).alias("n"), F.sum((F.col("belief") >= MIN_SCORE).cast("int")).alias("seeds"))
         scores = stored(scores.where((F.col("n") >= MIN_INSTANCES) & (F.col("seeds") >= MIN_SEEDS) & (F.col("score") >= 0.5)), "patterns")
         if r + 1 < ROUNDS:
             doubt = edges.join(scores.select("pattern", "score"), "pattern").groupBy("instance").agg(F.sum(F.log(1 - 0.95 * F.col("score"))).alias("doubt"))

@@ -181,3 +181,23 @@ def test_redact(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = docs.join(find(docs), "doc_id").select("doc_id", redact(F.col("text"), F.col("spans")).alias("t")).collect()
     assert {r["doc_id"]: r["t"] for r in out} == {1: "é mail <email> or <ip>.", 2: "nothing", 3: "<ip>", 4: ""}
+
+
+def test_long_tokens_and_patterns_of_discovered_identifiers(spark):
+    long = hashlib.sha512(b"x").hexdigest() * 4
+    rows = [(i, f'value token = "{hashlib.sha1(str(i).encode()).hexdigest()}" end') for i in range(6)] + [(10, f'value token = "{long}" end')]
+    # keys of no seed's form, known after "token =", lead to a pattern that no seed stands in
+    rows += [(20 + i, f'value token = "KEY{i}A" end') for i in range(4)] + [(30 + i, f"then badge number KEY{i}A was shown") for i in range(4)]
+    rows += [(40, "then badge number QRS77B was shown")]
+    rows += [(50 + i, f"chapter {1000 + i} begins") for i in range(9)]
+    got = {r["doc_id"]: r["spans"] for r in find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    shown_ = lambda i: [text[i][s["start"] : s["end"]] for s in got[i] if s["kind"] == context_pii.CONTEXT]
+    assert shown_(10) == [long]
+    assert shown_(40) == ["QRS77B"] and shown_(30) == ["KEY0A"]
+    assert not any(got[50 + i] for i in range(9))
+
+
+def test_very_long_tokens_take_linear_time(spark):
+    rows = [(1, "9" * 200_000), (2, "a" * 100_000 + "." * 100_000 + "9b" + "/" * 100_000 + "x"), (3, "1/a" * 50_000)]
+    assert len(find(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == 3
