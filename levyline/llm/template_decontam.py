@@ -12,8 +12,9 @@ slot values are equal, ``re-parameterised`` otherwise.
 Document windows are first tested against a bit table of the benchmark's window hashes, of fixed size whatever the
 benchmark, so only windows that may match leave the tasks that read the texts; the join then decides.
 
-Defined results: null and empty texts have no windows; an item of fewer words than a window is one window of all
-its words and matches documents that hold just these words; an empty benchmark leaks nothing; items with a null
+Defined results: null and empty texts have no windows; an item of fewer words than a window, or without
+a window of enough plain words, is one window of all its words, which documents may hold anywhere (with fewer than
+``MIN_PLAIN`` plain words the words themselves, not their placeholders, must be the same); an empty benchmark leaks nothing; items with a null
 id or text are ignored. Equal texts of several items are all reported.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, stored
-from .shingles import PIECE, U, buffer_of, mix, pieces, span_hashes, spans
+from .shingles import PIECE, U, _powers, buffer_of, mix, pieces, span_hashes, spans
 
 WINDOW = 8
 MIN_PLAIN = 4
@@ -126,27 +127,60 @@ def windows(h: np.ndarray, slot: np.ndarray, text: np.ndarray, k: int, least: in
     return at, x[at]
 
 
-def _rows(k: int, least: int, table: np.ndarray | None, short: bool):
-    """Windows (id, place, hash, slot values) of texts; with a table only those it may hold."""
-    types = [("place", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64())), ("words", pa.int64())]
+def whole_windows(h: np.ndarray, value: np.ndarray, slot: np.ndarray, text: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and hashes of all windows of k words, as windows of a whole item; whether their placeholders count.
+
+    With enough plain words they are windows of the template; with fewer, of the words themselves.
+    """
+    n = len(h) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, bool)
+    plain = np.concatenate([[0], np.cumsum(~slot)])
+    rich = plain[k:] - plain[:n] >= least
+    at = np.flatnonzero(text[:n] == text[k - 1 :])
+    return at, np.where(rich[at], _whole(h, at, k), mix(_whole(value, at, k))), rich[at]
+
+
+def _whole(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    power, inverse = _powers(len(words) + 1)
+    total = np.zeros(len(words) + 1, U)
+    np.cumsum((words | U(1)) * power[: len(words)], out=total[1:])
+    return mix(mix((total[at + k] - total[at]) * inverse[at]) + U(k))
+
+
+def _rows(k: int, least: int, table: np.ndarray | None, lengths: list[int] | None):
+    """Windows (id, place, hash, slot values) of texts; with a table only those it may hold.
+
+    Without ``lengths`` the texts are items: those without a window of k words are one window of all their words.
+    Else windows of these lengths come as well.
+    """
+    types = [("place", pa.int64()), ("hash", pa.int64()), ("slots", pa.list_(pa.int64())), ("words", pa.int64()), ("size", pa.int64())]
+
+    def _one(h, value, slot, a, n):
+        of = slice(a, a + n)
+        return whole_windows(h[of], value[of], slot[of], np.zeros(n, np.int64), n, least)[1:]
 
     def some(ids, h, slot, value, text):
         first = np.searchsorted(text, np.arange(len(ids)))
         count = np.bincount(text, minlength=len(ids))
         at, x = windows(h, slot, text, k, least)
-        if short:  # a short item is one window of all its words
-            for t in np.flatnonzero((count > 0) & (count < k)):
-                w = mix(np.array([count[t]], U))
-                for v in h[first[t] : first[t] + count[t]]:
-                    w = mix(w * U(0xD6E8FEB86659FD93) + v)
-                at, x = np.append(at, first[t]), np.append(x, w)
+        size, rich = np.full(len(at), k), np.ones(len(at), bool)
+        if lengths is None:
+            bare = np.flatnonzero((count > 0) & (np.bincount(text[at], minlength=len(ids)) == 0))
+            more = [(first[t : t + 1], *_one(h, value, slot, first[t], count[t])) for t in bare]
+            more = [(a, x_, np.array([count[t]]), r) for t, (a, x_, r) in zip(bare, more, strict=True)]
+        else:
+            more = [(a, x_, np.full(len(a), n), r) for n in lengths for a, x_, r in [whole_windows(h, value, slot, text, n, least)]]
         if table is not None:
-            hit = table[(x >> U(64 - TABLE_BITS)).astype(np.int64)]
-            at, x = at[hit], x[hit]
+            known = lambda y: table[(y >> U(64 - TABLE_BITS)).astype(np.int64)]
+            hit = known(x)
+            at, x, size, rich = at[hit], x[hit], size[hit], rich[hit]
+            more = [tuple(v[known(m[1])] for v in m) for m in more]
+        at, x, size, rich = (np.concatenate(v) for v in zip((at, x, size, rich), *more, strict=True))
         of = text[at]
         signed = value.view(np.int64)
-        slots = [signed[a : a + k][slot[a : a + k]].tolist() for a in at]
-        arrays = [ids.take(pa.array(of, pa.int64())), pa.array(at - first[of]), pa.array(x.view(np.int64)), pa.array(slots, types[2][1]), pa.array(count[of].astype(np.int64))]
+        slots = [signed[a : a + n][slot[a : a + n]].tolist() if r else [] for a, n, r in zip(at, size, rich, strict=True)]
+        arrays = [ids.take(pa.array(of, pa.int64())), pa.array(at - first[of]), pa.array(x.view(np.int64)), pa.array(slots, types[2][1]), pa.array(count[of].astype(np.int64)), pa.array(size.astype(np.int64))]
         return pa.RecordBatch.from_arrays(arrays, ["id", *(n for n, _ in types)])
 
     def run(batches):
@@ -155,7 +189,7 @@ def _rows(k: int, least: int, table: np.ndarray | None, short: bool):
             lower = pc.utf8_lower(texts)
             for i, j in pieces(texts):
                 ids, both = b.column(0).slice(i, j - i), (*buffer_of(texts.slice(i, j - i)), *buffer_of(lower.slice(i, j - i)))
-                for base, part in _bounded(both, k):
+                for base, part in _bounded(both, max([k, *(lengths or [])])):
                     out = some(ids, *template(*part))
                     if base and out.num_rows:
                         out = out.set_column(1, "place", pa.array(out.column(1).to_numpy() + base))
@@ -175,14 +209,14 @@ def _bounded(both: tuple[np.ndarray, ...], k: int):
         yield 0, both
         return
     (s, e), (s2, e2) = spans(data, off[:-1]), spans(low, low_off[:-1])
-    step, at, base = PIECE // 8, 0, 0
+    step, at, base = max(PIECE // 8, 16 * k), 0, 0
     while at < len(s):
         to = min(len(s), at + step)
         part = data[s[at] : e[to - 1]], low[s2[at] : e2[to - 1]]
         yield base, (part[0], np.array([0, len(part[0])]), part[1], np.array([0, len(part[1])]))
         if to == len(s):
             return
-        back = to - 8 * k
+        back = max(at + 1, to - 8 * k)
         gone = data[s[at] : e[back - 1]], low[s2[at] : e2[back - 1]]
         base += len(template(gone[0], np.array([0, len(gone[0])]), gone[1], np.array([0, len(gone[1])]))[0])
         at = back
@@ -193,8 +227,8 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     ship(items.sparkSession)
     kind = items.schema[id_col].dataType.simpleString()
     rows = items.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).dropna()
-    rows = rows.mapInArrow(_rows(k, least, None, True), f"id {kind}, place long, hash long, slots array<long>, words long").distinct()
-    rows = stored(rows.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots")), "windows")
+    rows = rows.mapInArrow(_rows(k, least, None, None), f"id {kind}, place long, hash long, slots array<long>, words long, size long").distinct()
+    rows = stored(rows.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"), F.col("size").alias("item_size"), F.col("words").alias("item_words")), "windows")
     total = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
     return rows.join(total, "item_id")
 
@@ -207,14 +241,16 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     on = held.select(F.shiftrightunsigned("hash", 64 - TABLE_BITS).cast("int").alias("bit")).distinct().toPandas()["bit"].to_numpy()
     table = np.zeros(1 << TABLE_BITS, bool)
     table[on] = True
+    # lengths of the items that are one window, at most as many as there are lengths of items without a window of k words
+    lengths = sorted(r[0] for r in held.where("item_windows = 1 AND item_size = item_words").select("item_size").distinct().collect())
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(table))
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        yield from _rows(k, least, np.unpackbits(packed.value).view(bool), False)(batches)
+        yield from _rows(k, least, np.unpackbits(packed.value).view(bool), lengths)(batches)
 
-    found = rows.mapInArrow(run, f"id {kind}, place long, hash long, slots array<long>, words long")
+    found = rows.mapInArrow(run, f"id {kind}, place long, hash long, slots array<long>, words long, size long")
     met = found.join(held, "hash").select(F.col("id").alias("doc_id"), "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "place", "item_place", "item_windows", F.arrays_zip("item_slots", "slots").alias("pairs"))
     # slots: every benchmark value stands for one document value within an occurrence
     key = ["doc_id", "item_id", "shift"]

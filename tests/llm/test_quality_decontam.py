@@ -104,3 +104,12 @@ def test_windows_of_a_long_text_do_not_depend_on_its_parts(spark, monkeypatch):
     monkeypatch.setattr(T, "PIECE", 8192)
     parts = [len(list(T._bounded((*T.buffer_of(a), *T.buffer_of(a)), 8))) for a in [__import__("pyarrow").array([words])]]
     assert parts[0] > 3 and len(whole) == 1
+
+
+def test_items_without_a_plain_window_are_found(spark):
+    texts = ["Three short words", "12 + 7 = 19", "Paris Rome Oslo Bern Wien Prag Riga Kiev Baku", "Who wrote the famous book in 1851"]
+    docs = [(i, f"Some text that goes on before it. {t} and more words after it.") for i, t in enumerate(texts)]
+    docs += [(4, texts[0]), (5, "we see 13 + 8 = 21 here"), (6, "who wrote the famous book in 1900"), (7, "three long words")]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(0, 0): "exact", (1, 1): "exact", (2, 2): "exact", (3, 3): "exact", (4, 0): "exact", (6, 3): "re-parameterised"}
