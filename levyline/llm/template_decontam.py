@@ -4,7 +4,8 @@ A text's words become typed placeholders where they are parameters: numbers, uni
 (capitalised words that do not begin a sentence, in texts that are not written in capitals); all other words are
 lowered and stripped of marks. Windows of ``WINDOW`` such template words that hold at least ``MIN_PLAIN`` plain words
 are hash-joined with the windows of the benchmark's items. For a document and an item, the matches on one
-diagonal (same distance between the places in document and item) are one occurrence of the item; the words that
+diagonal (same distance between the places in document and item) are one occurrence of the item, and so are those of
+neighbouring diagonals, covering the item's words that their windows hold; the words that
 stand in its placeholders there must correspond consistently: each benchmark value to one document value. An
 occurrence covering at least ``MIN_COVER`` of the item's windows with consistent slots is a leak: ``exact`` when all
 slot values are equal, ``re-parameterised`` otherwise.
@@ -24,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, stored
@@ -33,6 +34,8 @@ from .shingles import PIECE, U, _powers, buffer_of, mix, pieces, span_hashes, sp
 WINDOW = 8
 MIN_PLAIN = 4
 MIN_COVER = 0.5
+#: Diagonals at most this far apart belong to one occurrence: words added or removed between its pieces.
+DIAGONAL_GAP = 4
 #: Bits of the table that prefilters document windows.
 TABLE_BITS = 24
 # Units, as they follow a number.
@@ -229,7 +232,9 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     rows = items.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).dropna()
     rows = rows.mapInArrow(_rows(k, least, None, None), f"id {kind}, place long, hash long, slots array<long>, words long, size long").distinct()
     rows = stored(rows.select(F.col("id").alias("item_id"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"), F.col("size").alias("item_size"), F.col("words").alias("item_words")), "windows")
-    total = rows.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
+    total = rows.groupBy("item_id").agg(F.countDistinct("item_place").alias("item_windows"))
+    held = rows.select("item_id", F.explode(F.sequence("item_place", F.col("item_place") + F.col("item_size") - 1)).alias("word")).groupBy("item_id").agg(F.countDistinct("word").alias("item_held"))
+    total = total.join(held, "item_id")
     return rows.join(total, "item_id")
 
 
@@ -251,16 +256,23 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         yield from _rows(k, least, np.unpackbits(packed.value).view(bool), lengths)(batches)
 
     found = rows.mapInArrow(run, f"id {kind}, place long, hash long, slots array<long>, words long, size long")
-    met = found.join(held, "hash").select(F.col("id").alias("doc_id"), "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "place", "item_place", "item_windows", F.arrays_zip("item_slots", "slots").alias("pairs"))
+    met = found.join(held, "hash").select(F.col("id").alias("doc_id"), "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "place", "item_place", "item_windows", "item_size", "item_held", F.arrays_zip("item_slots", "slots").alias("pairs"))
+    # an occurrence is one diagonal, or a run of neighbouring ones
+    pair = Window.partitionBy("doc_id", "item_id").orderBy("shift")
+    met = met.withColumn("apart", (F.coalesce(F.col("shift") - F.lag("shift").over(pair), F.lit(0)) > DIAGONAL_GAP).cast("int"))
+    met = met.withColumn("run", F.sum("apart").over(pair)).withColumn("diagonal", F.col("shift")).withColumn("shift", F.explode(F.array(F.struct(F.lit(0).cast("long").alias("merged"), F.col("shift").alias("at")), F.struct(F.lit(1).cast("long").alias("merged"), F.col("run").alias("at")))))
     # slots: every benchmark value stands for one document value within an occurrence
     key = ["doc_id", "item_id", "shift"]
     slots = met.select(*key, F.explode("pairs").alias("p")).select(*key, F.col("p.item_slots").alias("ours"), F.col("p.slots").alias("theirs")).distinct()
     slots = slots.groupBy(*key, "ours").agg(F.count(F.lit(1)).alias("n"), F.min((F.col("ours") == F.col("theirs")).cast("int")).alias("same"))
     slots = slots.groupBy(*key).agg(F.max("n").alias("most"), F.min("same").alias("same"))
-    seen = met.groupBy(*key).agg(F.countDistinct("item_place").alias("matched"), F.first("item_windows").alias("item_windows"))
+    seen = met.groupBy(*key).agg(F.countDistinct("item_place").alias("matched"), F.first("item_windows").alias("item_windows"), F.first("item_held").alias("item_held"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.collect_set(F.struct("item_place", "item_size")).alias("places"))
+    # a joint breaks the windows over it, so a merged run is measured by the item's words that its windows hold
+    seen = seen.withColumn("held", F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["item_place"], p["item_place"] + p["item_size"] - 1)))))).drop("places")
     null_safe = F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & F.expr("s.item_id = t.item_id AND s.shift = t.shift")
     runs = seen.alias("s").join(slots.alias("t"), null_safe, "left").select("s.*", F.coalesce("most", F.lit(1)).alias("most"), F.coalesce("same", F.lit(1)).alias("same"))
-    runs = runs.withColumn("coverage", F.col("matched") / F.col("item_windows")).where((F.col("coverage") >= cover) & (F.col("most") == 1))
+    share = F.when(F.col("low") < F.col("high"), F.col("held") / F.col("item_held")).otherwise(F.col("matched") / F.col("item_windows"))
+    runs = runs.withColumn("coverage", share).where((F.col("coverage") >= cover) & (F.col("most") == 1))
     best = runs.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "same", "matched", "item_windows")).alias("b"))
     name = F.when(F.col("b.same") == 1, "exact").otherwise("re-parameterised")
     return best.select("doc_id", "item_id", "b.matched", "b.item_windows", "b.coverage", name.alias("kind"))

@@ -113,3 +113,13 @@ def test_items_without_a_plain_window_are_found(spark):
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]): r["kind"] for r in leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
     assert got == {(0, 0): "exact", (1, 1): "exact", (2, 2): "exact", (3, 3): "exact", (4, 0): "exact", (6, 3): "re-parameterised"}
+
+
+def test_an_added_or_removed_word_does_not_split_an_occurrence(spark):
+    words = "a farmer walks along the muddy road to sell some fresh apples and pears at a small market nearby".split()[:20]
+    rows = [(i, " ".join(words[:i] + ["very"] + words[i:])) for i in range(8, len(words) - 7)]
+    rows += [(100 + i, " ".join(words[:i] + words[i + 1 :])) for i in range(8, len(words) - 8)]
+    rows += [(200, " ".join(words[:9] + ["far"] * 30 + words[9:]))]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = {r["doc_id"] for r in leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {i for i, _ in rows[:-1]}
