@@ -3,7 +3,8 @@
 A text's words become typed placeholders where they are parameters: numbers, units that follow a number, and names
 (capitalised words that do not begin a sentence, in texts that are not written in capitals); all other words are
 lowered and stripped of marks. Windows of ``WINDOW`` such template words that hold at least ``MIN_PLAIN`` plain words
-are hash-joined with the windows of the benchmark's items. For a document and an item, the matches on one
+are hash-joined with the windows of the benchmark's items. Windows that hold names come a second time with the
+names as plain words, so that copies in another case are found. For a document and an item, the matches on one
 diagonal (same distance between the places in document and item) are one occurrence of the item, and so are those of
 neighbouring diagonals, covering the item's words that their windows hold; the words that
 stand in its placeholders there must correspond consistently: each benchmark value to one document value. An
@@ -167,22 +168,41 @@ def _rows(k: int, least: int, table: np.ndarray | None, lengths: list[int] | Non
         first = np.searchsorted(text, np.arange(len(ids)))
         count = np.bincount(text, minlength=len(ids))
         at, x = windows(h, slot, text, k, least)
+        # once more without placeholders for names, which depend on the text's case
+        names = h == NAME
+        loose_h, loose_slot = np.where(names, value, h), slot & ~names
+        named = np.concatenate([[0], np.cumsum(names)])
+        other, y = windows(loose_h, loose_slot, text, k, least) if names.any() else (at[:0], x[:0])
+        again = named[other + k] > named[other]
+        if lengths is None:
+            again &= np.isin(other, at)
+        loose = np.arange(len(at) + again.sum()) >= len(at)
+        at, x = np.concatenate([at, other[again]]), np.concatenate([x, y[again]])
         size, rich = np.full(len(at), k), np.ones(len(at), bool)
         if lengths is None:
             bare = np.flatnonzero((count > 0) & (np.bincount(text[at], minlength=len(ids)) == 0))
-            more = [(first[t : t + 1], *_one(h, value, slot, first[t], count[t])) for t in bare]
-            more = [(a, x_, np.array([count[t]]), r) for t, (a, x_, r) in zip(bare, more, strict=True)]
+            more = []
+            for t in bare:
+                for of_names, (hh, ss) in enumerate(((h, slot), (loose_h, loose_slot))[: 1 + bool(named[first[t] + count[t]] > named[first[t]])]):
+                    more.append((first[t : t + 1], *_one(hh, value, ss, first[t], count[t]), np.array([of_names == 1])))
+            more = [(a, y, count[text[a]], r, z) for a, y, r, z in more]
         else:
-            more = [(a, x_, np.full(len(a), n), r) for n in lengths for a, x_, r in [whole_windows(h, value, slot, text, n, least)]]
+            more = []
+            for n in lengths:
+                a, y, r = whole_windows(h, value, slot, text, n, least)
+                more.append((a, y, np.full(len(a), n), r, np.zeros(len(a), bool)))
+                a, y, r = whole_windows(loose_h, value, loose_slot, text, n, least)
+                a, y, r = (v[named[a + n] > named[a]] for v in (a, y, r))
+                more.append((a, y, np.full(len(a), n), r, np.ones(len(a), bool)))
         if table is not None:
             known = lambda y: table[(y >> U(64 - TABLE_BITS)).astype(np.int64)]
             hit = known(x)
-            at, x, size, rich = at[hit], x[hit], size[hit], rich[hit]
+            at, x, size, rich, loose = at[hit], x[hit], size[hit], rich[hit], loose[hit]
             more = [tuple(v[known(m[1])] for v in m) for m in more]
-        at, x, size, rich = (np.concatenate(v) for v in zip((at, x, size, rich), *more, strict=True))
+        at, x, size, rich, loose = (np.concatenate(v) for v in zip((at, x, size, rich, loose), *more, strict=True))
         of = text[at]
         signed = value.view(np.int64)
-        slots = [signed[a : a + n][slot[a : a + n]].tolist() if r else [] for a, n, r in zip(at, size, rich, strict=True)]
+        slots = [signed[a : a + n][(loose_slot if z else slot)[a : a + n]].tolist() if r else [] for a, n, r, z in zip(at, size, rich, loose, strict=True)]
         arrays = [ids.take(pa.array(of, pa.int64())), pa.array(at - first[of]), pa.array(x.view(np.int64)), pa.array(slots, types[2][1]), pa.array(count[of].astype(np.int64)), pa.array(size.astype(np.int64))]
         return pa.RecordBatch.from_arrays(arrays, ["id", *(n for n, _ in types)])
 

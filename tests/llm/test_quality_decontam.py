@@ -123,3 +123,12 @@ def test_an_added_or_removed_word_does_not_split_an_occurrence(spark):
     items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
     got = {r["doc_id"] for r in leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
     assert got == {i for i, _ in rows[:-1]}
+
+
+def test_copies_in_another_case_are_found(spark):
+    names = "Paris Rome Oslo Bern Wien Prag Riga Kiev Baku"
+    rows = [(5, ITEM.upper()), (6, ITEM.lower()), (7, "LOUD WORDS EVERYWHERE " * 30 + ITEM), (8, "so " + names.lower()), (9, f"SO {names.upper()}")]
+    rows += [(10, ITEM.upper().replace("ALICE", "MARIA").replace("ROBERT", "JOHN"))]
+    items = spark.createDataFrame([(10, ITEM), (11, names), (12, ITEM.lower())], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert {k: v for k, v in got.items() if k[0] < 10} == {(d, i): "exact" for d, i in [(5, 10), (6, 10), (7, 10), (5, 12), (6, 12), (7, 12), (8, 11), (9, 11)]}
