@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collocations import collocations
 from .common import table
 from .context_pii import PATTERNS, find
 from .context_pii import shown as shown_spans
@@ -13,6 +14,8 @@ from .harmonic_pack import pack
 from .hyper_shard import shuffle
 from .lsh_forest import near_duplicates
 from .pairwise_quality import rank, train
+from .permutation_index import nearest
+from .role_repair import damage, repair
 from .template_decontam import leaks
 from .url_filter import RULES, host_path, judge
 from .winnow import edited_pairs, hashes, likeness, shown
@@ -93,6 +96,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("value").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op11_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair(damage(rows), of=rows)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pairwise_quality": op1_pairwise_quality,
     "op2_template_decontam": op2_template_decontam,
@@ -104,6 +120,9 @@ QUERIES = {
     "op8_context_pii": op8_context_pii,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_warc": op10_warc,
+    "op11_permutation_index": op11_permutation_index,
+    "op12_role_repair": op12_role_repair,
+    "op13_collocations": op13_collocations,
 }
 ORACLE: dict[str, str] = {
     "op6_url_filter": r"""
@@ -164,5 +183,40 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> leader THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> leader THEN leader END AS refers_to
 FROM f
+""",
+    "op13_collocations": r"""
+WITH RECURSIVE p AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p
+), g AS (
+    SELECT lang, len(s) AS k, s, count(*) AS f
+    FROM (SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4], lambda k: list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])))) AS s FROM w)
+    GROUP BY lang, s
+), n AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang
+), c AS (
+    SELECT * FROM g WHERE k > 1 AND f >= 30
+), cuts AS (
+    SELECT c.lang, c.s, c.k, c.f AS a, unnest(range(1, c.k)) AS cut FROM c
+), scored AS (
+    SELECT x.lang, x.s, x.a, x.cut, l.f AS l, r.f AS r, ((2000000::HUGEINT * x.a) // (l.f::HUGEINT + r.f))::BIGINT AS score
+    FROM cuts x JOIN g l ON l.lang = x.lang AND l.s = x.s[1:x.cut] JOIN g r ON r.lang = x.lang AND r.s = x.s[x.cut + 1:x.k]
+), best AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, cut) = 1
+), inner_ AS (
+    SELECT lang, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2), lambda i: s[i:i + m - 1])))) AS s, f FROM c
+), longer AS (
+    SELECT lang, s, max(f) AS f FROM inner_ GROUP BY lang, s
+), kept AS (
+    SELECT b.lang, array_to_string(b.s, ' ') AS phrase, b.a, b.l, b.r, b.score
+    FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.s = b.s
+    WHERE o.f IS NULL OR 100 * o.f::HUGEINT < 80 * b.a::HUGEINT
+)
+SELECT kept.lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept) kept JOIN n ON n.lang = kept.lang
+WHERE rank <= 2000
 """,
 }
