@@ -11,20 +11,22 @@ import datetime as dt
 import uuid
 import weakref
 from collections.abc import Callable
+from contextlib import suppress
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from levyline.functions import ts_lit
-from levyline.operators import profile, quality, runlog
+from levyline.operators import profile, quality, status
 from levyline.operators import watermark as wm
 from levyline.operators.merge import merge
 from levyline.operators.schema_ops import migrate_integral_to_string
 from levyline.plans import reports
-from levyline.plans.ingest import load_table
+from levyline.plans.ingest import RejectedRows, load_all, load_table
 from levyline.plans.models import RevenueModels
-from levyline.plans.pipeline import MART_ORDER, model_counts, render_load_log, render_model_log, write_logs
+from levyline.plans.pipeline import recorded
 from levyline.plans.staging import STAGING
 from levyline.schemas import (
     AGENT_TRANSACTIONS,
@@ -36,8 +38,11 @@ from levyline.schemas import (
     SPECS,
 )
 from levyline.session import shared_dir
-from levyline.sources import fixtures
+from levyline.sources import fixtures, ranges
+from levyline.sources.files import Files
+from levyline.sources.snapshots import ALL
 from levyline.sources.warehouse import Warehouse
+from levyline.streaming.merge_stream import start_merge_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -168,6 +173,17 @@ def report_csv_roundtrip(spark, sf_dir):
     )
 
 
+@_register("report_csv_cells")
+def report_csv_cells(spark, sf_dir):
+    """Every line of the four published CSV files, as text: header and cells."""
+    out = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
+    paths = reports.write_reports(reports.weekly_reports(models(spark, sf_dir), AS_OF, ordered=False), AS_OF, out)
+    if not paths:
+        return spark.createDataFrame([], "file_name string, line string")
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return spark.read.text(list(paths.values())).select(name.alias("file_name"), F.col("value").alias("line"))
+
+
 # --- extract slices ------------------------------------------------------------------------------------------
 @_register("extract_slice_transactions")
 def extract_slice_transactions(spark, sf_dir):
@@ -189,6 +205,16 @@ def bulk_extract(spark, sf_dir):
     return present(merge(spark.createDataFrame([], s.schema), slice_, s))
 
 
+@_register("extract_by_ranges")
+def extract_by_ranges(spark, sf_dir):
+    """A pull in ranges of the key, each stored and recorded on its own; the rows with the final progress."""
+    spec = SPECS["bus_ticketing_transaction"]
+    wh = _warehouse(spark, "ranges")
+    rows = ranges.pull(wh, spec, _raw(spark, sf_dir, spec.name), "run-1", ranges=6)
+    last = ranges.progress(wh, spec, "run-1").agg(F.sum("rows").alias("rows_read"), F.max("percent").alias("percent"))
+    return present(rows.crossJoin(F.broadcast(last)))  # one row
+
+
 # --- merges --------------------------------------------------------------------------------------------------
 # Stale values an earlier load left in the target (FIXTURES.md §3); the oracle uses the same.
 STALE_VALUES = {
@@ -216,11 +242,21 @@ def _merge_query(name: str) -> Query:
     return run
 
 
+def _warehouse(spark: SparkSession, name: str, part_keys: int = 1 << 12) -> Warehouse:
+    """A warehouse of this query's own in the shared folder; small parts, so that tables of every size have several."""
+    return Warehouse(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", part_keys)
+
+
 def _full_refresh_query(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        src = _raw(spark, sf_dir, name)
-        stale = src.withColumn(STALE_COLUMN[name], F.lit("stale"))  # the copy an earlier reload left
-        return present(merge(stale, src, SPECS[name]))
+        """The reload replaces a stored copy: stale values and rows that the source has no more are gone."""
+        src, spec = _raw(spark, sf_dir, name), SPECS[name]
+        stale = src.withColumn(STALE_COLUMN[name], F.lit("stale"))
+        gone = stale.withColumn(spec.key, (F.col(spec.key) + 1_000_000).cast(spec.type_of(spec.key)))
+        wh = _warehouse(spark, "full-refresh")
+        load_table(wh, spec, stale.unionByName(gone), "run-1", dt.datetime(2024, 2, 2, 6), wh.control())
+        load_table(wh, spec, src, "run-2", dt.datetime(2024, 2, 3, 6), wh.control())
+        return present(wh.read_table(spec))
 
     return run
 
@@ -253,7 +289,7 @@ def load_two_runs(spark, sf_dir):
     the control row (marks keep microseconds; rows before the lookback keep their old amounts)."""
     spec = SPECS["bus_ticketing_transaction"]
     source = _raw(spark, sf_dir, spec.name)
-    wh = Warehouse(spark, f"{shared_dir(spark)}/load-two-runs-{uuid.uuid4().hex}")
+    wh = _warehouse(spark, "load-two-runs")
     old = source.filter(F.col("trans_date") <= ts_lit("2024-01-20 12:00:00")).withColumn("amount", F.lit(0).cast(spec.type_of("amount")))
     load_table(wh, spec, old, "run-1", dt.datetime(2024, 1, 21, 6), wh.control(), fallback="2024-01-01 00:00:00")
     load_table(wh, spec, source, "run-2", dt.datetime(2024, 2, 1, 6), wh.control())
@@ -262,6 +298,36 @@ def load_two_runs(spark, sf_dir):
     return present(rows.join(F.broadcast(control), "table_name"))
 
 
+@_register("stream_merge_on_read")
+def stream_merge_on_read(spark, sf_dir):
+    """Two runs of the merge stream: the rows read over base and delta segments, and again after compaction."""
+    spec = SPECS["bus_ticketing_transaction"]
+    wh = _warehouse(spark, "stream-merge")
+    source = _raw(spark, sf_dir, spec.name)
+    batches = prior_target(spark, sf_dir, spec.name), wm.extract_slice(source, spec, wm.lookback(STORED_MARKS[spec.name]))
+    for i, batch in enumerate(batches):
+        batch.write.parquet(f"{wh.root}/landing/batch-{i}")
+        stream = start_merge_stream(spark, wh, spec, f"{wh.root}/landing/*", f"{wh.root}/checkpoint", fallback="2024-01-01 00:00:00", compact_ratio=None)
+        stream.awaitTermination()
+    read = wh.read_table(spec).withColumn("state", F.lit("merged on read"))
+    wh.compact(spec, "all", ratio=0.0)
+    return present(read.unionByName(wh.read_table(spec).withColumn("state", F.lit("compacted"))))
+
+
+@_register("load_mixed_layouts")
+def load_mixed_layouts(spark, sf_dir):
+    """Parts stored in an older layout (an integer rev_head under its former name, no enter_by) and in the present one, read as one table."""
+    spec = replace(SPECS["rev_sub_newcode"], former_names={"rev_head": "rev_head_no"})
+    wh = _warehouse(spark, "mixed-layouts", part_keys=10)
+    codes = _raw(spark, sf_dir, spec.name)
+    old = codes.withColumn("rev_head_no", (F.col("id") * 10).cast("int")).drop("rev_head", "enter_by")
+    run, log = dt.datetime(2024, 2, 1, 6), wh.log(spec.name)
+    wh.commit(spec, log.at(), "run-1", run, run, 0, wh.write_parts(old, spec, "run-1", log.at()), ALL, "run-1")
+    later = codes.filter("id >= 20").withColumns({"rev_head": F.concat(F.lit("H"), F.col("id").cast("string")), "enter_by": F.lit("later")})
+    wh.commit(spec, log.at(), "run-2", run, run, 0, wh.write_parts(later, spec, "run-2", log.at()), wh.parts_of(spec, log.at(), later), "run-2")
+    return wh.read_table(spec)
+
+
 # --- watermarks ----------------------------------------------------------------------------------------------
 def load_accounting(spark: SparkSession, sf_dir: str, marks: dict[str, str]) -> DataFrame:
     """Control rows after one run of all six loaders, given the stored marks (others fall back)."""
@@ -309,6 +375,17 @@ def dq_suite(spark, sf_dir):
     return quality.run_suite(models(spark, sf_dir).raw, DATA_TESTS)
 
 
+@_register("dq_unique_new_keys")
+def dq_unique_new_keys(spark, sf_dir):
+    """Uniqueness over two loads: keys of a new slice (every fifth row twice) that repeat in it or are stored already."""
+    spec = SPECS["bus_ticketing_transaction"]
+    source = _raw(spark, sf_dir, spec.name)
+    wh = _warehouse(spark, "dq-new-keys")
+    load_table(wh, spec, source.filter(F.col("trans_date") <= ts_lit("2024-01-20 12:00:00")), "run-1", dt.datetime(2024, 1, 21, 6), wh.control(), fallback="2024-01-01 00:00:00")
+    late = source.filter(F.col("trans_date") > ts_lit("2024-01-20 00:00:00"))
+    return quality.unique_new_keys(wh, spec, late.unionByName(late.filter("id % 5 = 0")))
+
+
 def _at(spark, sf_dir):
     return _raw(spark, sf_dir, "agent_transactions")
 
@@ -349,6 +426,16 @@ def schema_check(spark, sf_dir):
     return profile.schema_check(_at(spark, sf_dir), "agent_transactions", PROFILE_EXPECTED_COLUMNS, exists)
 
 
+@_register("schema_check_source")
+def schema_check_source(spark, sf_dir):
+    """The columns of the sources as they are: one that lacks what the profile expects, and one that does not exist."""
+    orders = f"{sf_dir.rstrip('/')}/orders.parquet"
+    source = spark.read.parquet(orders).withColumnsRenamed({"o_orderkey": "idagent_transactions", "o_totalprice": "amount", "o_orderstatus": "status"})
+    here = profile.schema_check(source, "orders", PROFILE_EXPECTED_COLUMNS, profile.path_exists(spark, orders))
+    gone = Files(spark).exists(f"{sf_dir.rstrip('/')}/no_such_table.parquet")
+    return here.unionByName(profile.schema_check(spark.createDataFrame([], "none int"), "no_such_table", PROFILE_EXPECTED_COLUMNS, gone))
+
+
 def old_rev_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The revenue codes in the old layout, with rev_head still an integer (its value: the code number × 10)."""
     return _raw(spark, sf_dir, "rev_sub_newcode").withColumn("rev_head", (F.col("id") * 10).cast("int"))
@@ -359,51 +446,17 @@ def schema_migrate_rev_head(spark, sf_dir):
     return migrate_integral_to_string(old_rev_codes(spark, sf_dir), "rev_head")
 
 
-# --- run logs ------------------------------------------------------------------------------------------------
-# The four runs of the run-log scenario: (load marks, elapsed text, load error lines, model failures or None
-# when the model stage did not run, model elapsed seconds, load exit code, model exit code).
-LOG_RUNS = {
-    "run1-all-good": ("normal", "0:00:12.345678", [], {}, 3.21, 0, 0),
-    "run2-no-bus-data": ("quiet_bus", "0:00:10.000001", [], {}, 2.5, 0, 0),
-    "run3-model-fails": ("normal", "0:00:12.5", [], {"agg_concession_by_plancode": "division by zero"}, 4.0, 0, 1),
-    "run4-load-fails": ("normal", None, ["ETL failed: connection to the source was reset"], None, 0.0, 1, None),
-}
-
-
-def scenario_logs(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Four runs' load and model logs, written to the shared folder; returns (logs root, exit codes).
-
-    The runs have the shapes the parser must handle: all good; one table without new data; one failing
-    model; a failed load (model stage skipped). Their figures come from the whole tables: the load accounting
-    of each run and the row count of every mart.
-    """
-    root = f"{shared_dir(spark)}/logs-{uuid.uuid4().hex}"
-    accounting = {
-        "normal": load_accounting(spark, sf_dir, STORED_MARKS),
-        "quiet_bus": load_accounting(spark, sf_dir, dict(STORED_MARKS, bus_ticketing_transaction=FUTURE_MARK)),
-    }
-    m = models(spark, sf_dir)
-    counts = model_counts(spark, {name: m.model(name) for name in MART_ORDER})
-    load_lines, model_lines, exits = [], [], []
-    for run_id, (marks, elapsed, errors, failed, model_s, load_exit, models_exit) in LOG_RUNS.items():
-        load_lines.append(render_load_log(accounting[marks], elapsed, errors).withColumn("run_id", F.lit(run_id)))
-        if failed is not None:
-            model_lines.append(render_model_log(counts, failed, model_s).withColumn("run_id", F.lit(run_id)))
-        exits.append((run_id, load_exit, models_exit))
-    write_logs(_union(load_lines), f"{root}/load")
-    write_logs(_union(model_lines), f"{root}/models")
-    return root, spark.createDataFrame(exits, "run_id string, load_exit int, models_exit int")
-
-
-@_register("runlog_load_summary")
-def runlog_load_summary(spark, sf_dir):
-    root, _ = scenario_logs(spark, sf_dir)
-    return runlog.parse_load_logs(runlog.read_logs(spark, f"{root}/load"))
-
-
-@_register("runlog_status")
-def runlog_status(spark, sf_dir):
-    root, exits = scenario_logs(spark, sf_dir)
-    load = runlog.parse_load_logs(runlog.read_logs(spark, f"{root}/load"))
-    model = runlog.parse_model_logs(runlog.read_logs(spark, f"{root}/models"))
-    return runlog.run_status(load, model, exits)
+# --- run history ---------------------------------------------------------------------------------------------
+@_register("run_history")
+def run_history(spark, sf_dir):
+    """What three runs of the loaders recorded: a first load, one with quiet buses, one that stops at rows without a key."""
+    raw = models(spark, sf_dir).raw
+    wh = _warehouse(spark, "run-history")
+    early = dict(raw, agent_transactions=raw["agent_transactions"].filter(F.col("trans_date") <= ts_lit("2024-01-28 12:00:00")))
+    quiet = dict(raw, bus_ticketing_transaction=raw["bus_ticketing_transaction"].limit(0))
+    broken = dict(raw, enumeration=raw["enumeration"].withColumn("id", F.when(F.col("id") % 10 > 0, F.col("id"))))
+    for day, sources in ((28, early), (29, quiet), (30, broken)):
+        start = dt.datetime(2024, 1, day, 6)
+        with suppress(RejectedRows), recorded(wh, f"run-{day}", start) as run:
+            run.loads(load_all(wh, sources, start, run_id=f"run-{day}", fallback="2024-01-01 00:00:00", done=run.load))
+    return status.history(wh)

@@ -72,21 +72,18 @@ def upsert(
 
     ``small_slice=False``: one full outer join; both sides shuffle once on the key. Right for any size.
     ``small_slice=True`` (the caller has checked the slice's size): the slice is broadcast and the target is never
-    shuffled: untouched rows = target ⋉̸ slice, updated rows = target ⋈ slice, new rows = slice rows whose key
+    shuffled: one pass gives its rows, updated where the slice has the key; new rows = slice rows whose key
     is not among the target keys that the broadcast slice found (at most as many as the slice has).
     """
     cols = target.columns
     update = set(update_columns)
     if small_slice:
-        s = F.broadcast(slice_)
-        untouched = target.join(s.select(key), key, "left_anti")
-        matched = target.alias("t").join(s.alias("s"), key, "inner").select(
-            *[
-                F.col(key) if c == key else (F.col(f"s.{c}") if c in update else F.col(f"t.{c}")).alias(c)
-                for c in cols
-            ]
+        s = F.broadcast(slice_.select(F.col(key).alias("__key"), *(F.col(c).alias(f"__new_{c}") for c in cols if c in update and c != key)))
+        hit = F.col("__key").isNotNull()
+        held = target.join(s, F.col(key) == F.col("__key"), "left").select(
+            *[F.when(hit, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) if c in update and c != key else F.col(c) for c in cols]
         )
-        return untouched.unionByName(matched).unionByName(_new_rows(target, slice_, key, True))
+        return held.unionByName(_new_rows(target, slice_, key, True))
     t, s = target.alias("t"), slice_.alias("s")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
     in_slice = F.col(f"s.{key}").isNotNull()

@@ -11,6 +11,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from levyline.schemas import TableSpec
+from levyline.sources.warehouse import Warehouse
+
 SUITE_SCHEMA = "table_name string, column_name string, test_name string, failures bigint, passed boolean"
 
 
@@ -24,6 +27,19 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def unique_new_keys(wh: Warehouse, spec: TableSpec, slice_: DataFrame) -> DataFrame:
+    """Keys of a new slice that repeat in it or are stored already: (table_name, column_name, value, in_slice, stored).
+
+    The stored table is not read: its key bitmaps answer, and only those of the parts that the slice touches."""
+    state = wh.log(spec.name).at()
+    counts = slice_.filter(F.col(spec.key).isNotNull()).groupBy(spec.key).agg(F.count(F.lit(1)).alias("in_slice"))
+    held = wh.stored_keys(spec, state, counts).withColumn("stored", F.lit(True))
+    rows = counts.join(held, spec.key, "left").withColumn("stored", F.coalesce("stored", F.lit(False)))
+    return rows.filter("in_slice > 1 OR stored").select(
+        F.lit(spec.name).alias("table_name"), F.lit(spec.key).alias("column_name"), F.col(spec.key).cast("string").alias("value"), "in_slice", "stored"
+    )
+
+
 def not_null_failures(df: DataFrame, column: str) -> DataFrame:
     """Failing rows of ``not_null``: the rows whose value is NULL."""
     return df.filter(F.col(column).isNull())

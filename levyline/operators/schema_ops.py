@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,3 +30,18 @@ def migrate_integral_to_string(df: DataFrame, column: str) -> DataFrame:
     if isinstance(df.schema[column].dataType, _INTEGRAL):
         return df.withColumn(column, F.col(column).cast("string"))
     return df
+
+
+def conform(df: DataFrame, spec: TableSpec, extra: Iterable[str] = ()) -> DataFrame:
+    """Rows stored in an older layout as rows of the table's present one, without rewriting them.
+
+    Columns go by name, else by a former name; other types are cast (a cast that would lose values fails, as elsewhere);
+    columns that the old layout lacks are their NOT NULL default, else NULL. ``extra`` columns are kept."""
+    kinds, out = dict(df.dtypes), []
+    for name, kind in spec.columns:
+        held = name if name in kinds else spec.former_names.get(name)
+        if held in kinds:
+            out.append(F.col(held) if held == name and kinds[held] == kind else F.col(held).cast(kind).alias(name))
+        else:
+            out.append(F.expr(spec.not_null.get(name) or "NULL").cast(kind).alias(name))
+    return df.select(*out, *extra)

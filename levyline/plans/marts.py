@@ -1,9 +1,9 @@
 """Marts: enriched facts and daily aggregates, as DataFrame functions of the staging views.
 
-Join strategy: no broadcast hints. The reference tables (revenue codes, permits, agents) are left to
-AQE, which broadcasts a side only once its materialised size is known to be under
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keeps the shuffled join (with skew
-splitting). A hint would broadcast whatever the size.
+Join strategy: the caller says whether it has measured a reference table (revenue codes, permits) as small
+(``operators.lookup``): small ones are broadcast, large ones copied to salted parts of the fact. Without a measurement, and for agents, the
+side is left to AQE, which broadcasts it only once its materialised size is known to be under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``. A hint without a measurement would broadcast whatever the size.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from levyline.functions import case_map, clean_payment_method, exact_avg, flag, year, year_month
+from levyline.operators.lookup import lookup
 
 # fct_transactions output columns, in order (computed ones are built below).
 FCT_TRANSACTION_COLUMNS = (
@@ -64,11 +65,11 @@ AGENT_COLUMNS = (
 )
 
 
-def fct_transactions(stg_tx: DataFrame, stg_codes: DataFrame) -> DataFrame:
+def fct_transactions(stg_tx: DataFrame, stg_codes: DataFrame, small_codes: bool | None = None) -> DataFrame:
     """Transactions with an amount, enriched with MDA and item name from the revenue codes (left join)."""
-    t = stg_tx.filter(F.col("amount").isNotNull()).alias("t")
-    r = stg_codes.select("rev_code", "mda", "revenue_item_full").alias("r")
-    joined = t.join(r, F.col("t.revenue_code") == F.col("r.rev_code"), "left")
+    t = stg_tx.filter(F.col("amount").isNotNull())
+    r = stg_codes.select("rev_code", "mda", "revenue_item_full")
+    joined = lookup(t, r, "revenue_code", "rev_code", "transaction_id", "left", small_codes)
     computed = {
         "mda": F.coalesce(F.col("r.mda"), F.lit(UNKNOWN_MDA)),
         "revenue_item_name": F.coalesce(F.col("r.revenue_item_full"), F.col("t.revenue_item")),
@@ -99,16 +100,15 @@ def _permit_select(t: str, p: str) -> list:
     return out
 
 
-def fct_concession_permits(fct_tx: DataFrame, stg_permits: DataFrame) -> DataFrame:
+def fct_concession_permits(fct_tx: DataFrame, stg_permits: DataFrame, small_permits: bool | None = None) -> DataFrame:
     """Transactions whose raw revenue item is an active permit's product code; one row per matching permit.
 
     fct_transactions carries the raw revenue_item unchanged and transaction_id is its key, so joining it to the
     permits directly equals the two-step form (raw transactions ⋈ permits, then ⋈ fct_transactions on the id)
     without the second join; the oracle SQL uses the two-step form.
     """
-    t = fct_tx.alias("t")
-    p = stg_permits.select(*PERMIT_COLUMNS).alias("p")
-    return t.join(p, F.col("t.revenue_item") == F.col("p.product_code"), "inner").select(*_permit_select("t", "p"))
+    joined = lookup(fct_tx, stg_permits.select(*PERMIT_COLUMNS), "revenue_item", "product_code", "transaction_id", "inner", small_permits)
+    return joined.select(*_permit_select("t", "r"))
 
 
 def fct_agent_enumeration(stg_enum: DataFrame, stg_agents: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from levyline.operators.lookup import measured_bytes
 from levyline.plans import marts, staging
 
 
@@ -43,14 +44,23 @@ class RevenueModels:
     def stg_rev_sub_newcode(self) -> DataFrame:
         return staging.stg_rev_sub_newcode(self.raw["rev_sub_newcode"])
 
+    # whether the reference tables are small, measured once a graph by a bounded read of the columns that are joined
+    @cached_property
+    def small_codes(self) -> bool:
+        return measured_bytes(self.stg_rev_sub_newcode.select("rev_code", "mda", "revenue_item_full")) is not None
+
+    @cached_property
+    def small_permits(self) -> bool:
+        return measured_bytes(self.stg_concession_permit.select(*marts.PERMIT_COLUMNS)) is not None
+
     # marts
     @cached_property
     def fct_transactions(self) -> DataFrame:
-        return marts.fct_transactions(self.stg_agent_transactions, self.stg_rev_sub_newcode)
+        return marts.fct_transactions(self.stg_agent_transactions, self.stg_rev_sub_newcode, self.small_codes)
 
     @cached_property
     def fct_concession_permits(self) -> DataFrame:
-        return marts.fct_concession_permits(self.fct_transactions, self.stg_concession_permit)
+        return marts.fct_concession_permits(self.fct_transactions, self.stg_concession_permit, self.small_permits)
 
     @cached_property
     def fct_agent_enumeration(self) -> DataFrame:

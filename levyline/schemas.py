@@ -24,6 +24,7 @@ class TableSpec:
     update_columns: tuple[str, ...] = ()  # columns replaced on a key match (upsert only)
     not_null: dict[str, str] = field(default_factory=dict)  # NOT NULL column -> SQL literal default
     source_names: dict[str, str] = field(default_factory=dict)  # target -> source column where they differ
+    former_names: dict[str, str] = field(default_factory=dict)  # target -> its name in older stored layouts
 
     @property
     def column_names(self) -> list[str]:

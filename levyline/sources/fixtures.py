@@ -19,17 +19,29 @@ def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def filler(name: str, typ: str, position: int, key: str) -> str:
+    """The value of a column that no rule derives, from its name or position and the key: no two columns of a table hold
+    the same, so that a column read under another's name shows; NULL in one of 19 rows."""
+    if typ == "string":
+        value = f"concat('{name}-', CAST(`{key}` AS STRING))"
+    elif typ == "timestamp_ntz":
+        value = f"timestamp_ntz'2024-03-01 00:00:00' + make_dt_interval({position}, CAST(`{key}` % 24 AS INT))"
+    else:
+        value = f"`{key}` % 1000 + {1000 * position}"
+    return f"CASE WHEN `{key}` % 19 = {position % 19} THEN NULL ELSE {value} END"
+
+
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Select the spec's columns in order and type; absent columns are typed NULL (or their NOT NULL default)."""
+    """Select the spec's columns in order and type; absent columns are filled (or their NOT NULL default)."""
     present = set(df.columns)
     out = []
-    for name, typ in spec.columns:
+    for position, (name, typ) in enumerate(spec.columns, 1):
         if name in present:
             out.append(f"CAST(`{name}` AS {typ}) AS `{name}`")
         elif name in spec.not_null:
             out.append(f"CAST({spec.not_null[name]} AS {typ}) AS `{name}`")
         else:
-            out.append(f"CAST(NULL AS {typ}) AS `{name}`")
+            out.append(f"CAST({filler(name, typ, position, spec.key)} AS {typ}) AS `{name}`")
     return df.selectExpr(*out)  # one call for the whole projection
 
 

@@ -1,31 +1,43 @@
-"""Versioned Parquet storage for loaded tables, marts and the control table.
+"""Stored tables and marts: parts and a snapshot log for loaded tables, day versions for marts.
 
 Layout under one root (a shared folder the cluster sees):
 
-    tables/<table>/v=<run_id>/      one full version of a loaded table per run that changed it
-    marts/<model>/v=<run_id>/       a mart version; day-partitioned marts hold only the days that run wrote
-    marts/<model>/_manifest/<run>/  for day-partitioned marts: the version of each day that run wrote
-    builds/<run_id>/                the table versions that a finished build of all marts has used
-    control/<run_id>.<table>/       the table's control row written by that run (written after its data)
-    slices/<table>/v=<run_id>/      the extracted slice, written once so the source is read once
-
-A version directory is never overwritten while it can be read; a table's current version is the one named
-by its newest committed control row, so a run that dies between the data write and the control write leaves the old
-version current, and replaying the run is safe (the merge is idempotent). Old versions can be deleted once
-no control row names them.
+    tables/<table>/v=<version>/part=<p>/  the segments that a run wrote of a loaded table
+    tables/<table>/_keys/v=<version>/     which keys those segments hold, as bitmaps
+    tables/<table>/_log/                  the table's commits (``snapshots.SnapshotLog``): segments and control row
+    marts/<model>/v=<run_id>/             the days of a mart that a run wrote
+    marts/<model>/_manifest/<run>/        the version of each of these days
+    builds/<run_id>/                      the table versions that a finished build of all marts has used
+    slices/<table>/v=<run_id>/            the extracted slice, written once so the source is read once
+
+A loaded table is cut into parts of ``part_keys`` consecutive keys. A merge reads and writes the parts that its slice
+touches and commits them in the place of the old ones; other parts stay as they are. An insert-only load adds segments
+and reads no rows at all: the key bitmaps tell which keys are new. A stream may add *delta* segments, merged with their
+part on reading (``read_state``) until ``compact`` rewrites the parts in which they have grown.
+
+Nothing that can be read is overwritten: a run that dies before its commit leaves the table as it was, a replay
+converges (the merge is idempotent), and ``collect_garbage`` removes folders that no kept commit names.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from levyline.operators.merge import dedupe, fold
+from levyline.operators.schema_ops import conform
 from levyline.schemas import TableSpec
+from levyline.sources.files import Files
+from levyline.sources.snapshots import Segment, SnapshotLog, State
 
+TIME_FORMAT = "%Y-%m-%d %H:%M:%S.%f"
+#: Keys of a part of a new table.
+PART_KEYS = 1 << 20
 BUILD_SCHEMA = "table_name string, version string, run_id string, committed_at timestamp_ntz"
 MANIFEST_SCHEMA = "day date, version string, run_id string, committed_at timestamp_ntz"
 
@@ -36,88 +48,202 @@ CONTROL_SCHEMA = (
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, part_keys: int = PART_KEYS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.part_keys = part_keys
+        self.files = Files(spark)
+        self._logs: dict[str, SnapshotLog] = {}
 
     # paths
     def table_path(self, table: str, version: str) -> str:
         return f"{self.root}/tables/{table}/v={version}"
 
+    def keys_path(self, table: str, version: str) -> str:
+        return f"{self.root}/tables/{table}/_keys/v={version}"
+
     def mart_path(self, model: str, version: str) -> str:
         return f"{self.root}/marts/{model}/v={version}"
 
     def slice_path(self, table: str, run_id: str) -> str:
         return f"{self.root}/slices/{table}/v={run_id}"
 
-    def control_path(self, run_id: str, table: str) -> str:
-        return f"{self.root}/control/{run_id}.{table}"
-
-    # control table
     def exists(self, path: str) -> bool:
-        """Whether ``path`` exists on the cluster file system (the Hadoop FileSystem of the session)."""
-        try:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            return bool(p.getFileSystem(conf).exists(p))
-        except Exception:  # no JVM access (e.g. a remote session): try reading instead
-            try:
-                self.spark.read.format("binaryFile").load(path).limit(1).count()
-                return True
-            except AnalysisException:
-                return False
+        return self.files.exists(path)
 
     def _read_entries(self, folder: str, schema: str) -> DataFrame:
-        """All entries (one sub-folder per commit) under a control or manifest folder."""
+        """All entries (one sub-folder per commit) under a manifest folder."""
         return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
 
-    def control_history(self) -> DataFrame:
-        if not self.exists(f"{self.root}/control"):
-            return self.spark.createDataFrame([], CONTROL_SCHEMA)
-        return self._read_entries(f"{self.root}/control", CONTROL_SCHEMA)
+    # control rows and versions of the loaded tables: kept in each table's log
+    def log(self, table: str) -> SnapshotLog:
+        if table not in self._logs:
+            self._logs[table] = SnapshotLog(self.files, f"{self.root}/tables/{table}/_log")
+        return self._logs[table]
+
+    def _control_frame(self, entries: Iterable[dict]) -> DataFrame:
+        at = lambda text: dt.datetime.strptime(text, TIME_FORMAT)
+        rows = [
+            (e["table_name"], at(e["last_loaded_at"]), at(e["last_run_at"]), e["rows_loaded"], e["run_id"], e["version"], at(e["committed_at"]))
+            for e in entries
+        ]
+        return self.spark.createDataFrame(rows, CONTROL_SCHEMA)
 
     def control(self) -> DataFrame:
         """The newest control row per table (a handful of rows)."""
-        hist = self.control_history()
-        newest = hist.groupBy("table_name").agg(
-            F.max_by(F.struct(*hist.columns), F.struct("committed_at", "run_id")).alias("r")
-        )
-        return newest.select("r.*")
+        states = [self.log(t).at() for t in self.files.names(f"{self.root}/tables")]
+        return self._control_frame(s.control for s in states if s.control)
 
-    def current_version(self, table: str) -> str | None:
-        row = self.control().filter(F.col("table_name") == table).select("version").collect()
-        return row[0][0] if row else None
+    def control_history(self) -> DataFrame:
+        """The control rows of the commits that are kept."""
+        return self._control_frame(e["control"] for t in self.files.names(f"{self.root}/tables") for _, e in self.log(t).history())
 
-    def _next_commit(self, history: DataFrame) -> str:
-        last = history.agg(F.max("committed_at")).collect()[0][0]
-        now = dt.datetime.now()
-        now = max(now, last + dt.timedelta(microseconds=1)) if last is not None else now
-        return now.strftime("%Y-%m-%d %H:%M:%S.%f")
-
-    def write_control(self, row: DataFrame, run_id: str, table: str) -> None:
-        """Commit a table's control row; the newest commit names the current version. A commit is always
-        newer than those it sees, also where this driver's clock is behind another's."""
-        committed = self._next_commit(self.control_history())
-        row = row.withColumn("committed_at", F.lit(committed).cast("timestamp_ntz"))
-        row.select(*[c.split()[0] for c in CONTROL_SCHEMA.split(",")]).coalesce(1).write.mode("overwrite").parquet(
-            self.control_path(run_id, table)
+    def current_version(self, table: str) -> str | None:
+        return self.log(table).at().version
+
+    def commit(self, spec: TableSpec, base: State, run_id: str, mark: dt.datetime, run_start: dt.datetime, rows: int,
+               add: Iterable[Segment] = (), replace: Iterable[int] | str = (), version: str | None = None) -> int:
+        """Commit segments and the control row of a load that has read ``base``. ``rows`` counts the slice;
+        a commit that changes nothing keeps the version."""
+        control = {
+            "table_name": spec.name, "last_loaded_at": mark.strftime(TIME_FORMAT), "last_run_at": run_start.strftime(TIME_FORMAT),
+            "rows_loaded": rows, "run_id": run_id, "version": version, "committed_at": dt.datetime.now().strftime(TIME_FORMAT),
+        }
+        return self.log(spec.name).commit(base, control, add, replace, self._width(base))
+
+    # parts
+    def _width(self, state: State) -> int:
+        return state.width or self.part_keys
+
+    def part_of(self, spec: TableSpec, state: State) -> Column:
+        """The part of a row: its key divided by the width, rounded down."""
+        key, width = key_sql(spec), f"{self._width(state)}L"
+        return F.expr(f"({key} - pmod({key}, {width})) DIV {width}")
+
+    def _place(self, spec: TableSpec, state: State) -> Column:
+        """The place of a key in its part, from 1."""
+        return F.expr(f"pmod({key_sql(spec)}, {self._width(state)}L) + 1")
+
+    def parts_of(self, spec: TableSpec, state: State, rows: DataFrame) -> list[int]:
+        """The parts that the keys of ``rows`` lie in (at most one entry a part of the table)."""
+        return sorted(r[0] for r in rows.select(self.part_of(spec, state).alias("part")).distinct().collect())
+
+    def write_parts(self, df: DataFrame, spec: TableSpec, version: str, state: State, kind: str = "base") -> list[Segment]:
+        """Write rows as segments of this version and list their keys; nothing is visible before the commit."""
+        path = self.table_path(spec.name, version)
+        rows = df.withColumn("part", self.part_of(spec, state))
+        rows.hint("rebalance", F.col("part")).write.mode("overwrite").partitionBy("part").parquet(path)
+        stored = self.spark.read.schema(f"`{spec.key}` {df.schema[spec.key].dataType.simpleString()}, part long").parquet(path)
+        place = self._place(spec, state)
+        keys = stored.groupBy("part", F.bitmap_bucket_number(place).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"), F.count(F.lit(1)).alias("rows")
         )
+        keys_path = self.keys_path(spec.name, version)
+        keys.write.mode("overwrite").parquet(keys_path)
+        counts = self.spark.read.parquet(keys_path).groupBy("part").agg(F.sum("rows").alias("rows")).collect()  # one row a part
+        layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        return [Segment(r["part"], version, r["rows"], kind, layout) for r in sorted(counts, key=lambda r: (r["part"] is not None, r["part"] or 0))]
+
+    def _segments(self, spec: TableSpec, segments: list[Segment]) -> DataFrame:
+        """Rows of segments in the table's layout, with the folder ``v`` and the ``part`` they come from. Segments of an older layout
+        are read in it and conformed."""
+        base = f"{self.root}/tables/{spec.name}"
+        out = None
+        for layout in dict.fromkeys(s.layout for s in segments):
+            paths = [f"{base}/v={s.version}/part={s.part}" for s in segments if s.layout == layout]
+            df = self.spark.read.schema(f"{layout}, v string, part long").option("basePath", base).parquet(*paths)
+            df = conform(df, spec, extra=("v", "part"))
+            out = df if out is None else out.unionByName(df)
+        return out if out is not None else self.spark.createDataFrame([], spec.schema).withColumns({"v": F.lit(""), "part": F.lit(0).cast("long")})
+
+    def read_state(self, spec: TableSpec, state: State, parts: Iterable[int] | None = None) -> DataFrame:
+        """The table's rows in a state, only of ``parts`` when given.
+
+        Parts with deltas are merged as they are read: a key's first segment gives the row, its last the update columns."""
+        wanted = None if parts is None else set(parts)
+        segments = [s for s in state.segments if wanted is None or s.part in wanted]
+        mixed = {s.part for s in segments if s.kind == "delta"}
+        plain = self._segments(spec, [s for s in segments if s.part not in mixed]).select(*spec.column_names)
+        if not mixed:
+            return plain
+        changed = [s for s in segments if s.part in mixed]
+        seq = F.create_map(*[x for v, n in {s.version: s.seq for s in changed}.items() for x in (F.lit(v), F.lit(n))])
+        rows = self._segments(spec, changed).withColumn("__seq", seq[F.col("v")]).drop("v", "part")
+        if spec.refresh == "insert_only":
+            folded = dedupe(rows, spec.key, ["__seq"], keep="earliest")
+        else:
+            folded = fold(rows, spec.key, F.col("__seq"), spec.update_columns)
+        return plain.unionByName(folded.select(*spec.column_names))
 
-    # tables
     def read_table(self, spec: TableSpec) -> DataFrame:
-        """Current version of a loaded table (empty in its layout before the first load)."""
-        return self.read_version(spec, self.current_version(spec.name))
+        """Current rows of a loaded table (none, in its layout, before the first load)."""
+        return self.read_state(spec, self.log(spec.name).at())
 
-    def read_version(self, spec: TableSpec, version: str | None) -> DataFrame:
-        if version is None:
-            return self.spark.createDataFrame([], spec.schema)
-        return self.spark.read.schema(spec.schema).parquet(self.table_path(spec.name, version))
+    def read_version(self, spec: TableSpec, version: str | None, parts: Iterable[int] | None = None) -> DataFrame:
+        """The table as of the commit that made ``version`` (None: before the first load)."""
+        return self.read_state(spec, self.state_of(spec, version), parts)
 
-    def write_table(self, df: DataFrame, table: str, version: str) -> str:
-        path = self.table_path(table, version)
-        df.write.mode("overwrite").parquet(path)
-        return path
+    def state_of(self, spec: TableSpec, version: str | None) -> State:
+        if version is None:
+            return State()
+        n = self.log(spec.name).find(version)
+        if n is None:
+            raise LookupError(f"{spec.name}: version {version} is no longer kept")
+        return self.log(spec.name).at(n)
+
+    def stored_keys(self, spec: TableSpec, state: State, rows: DataFrame) -> DataFrame:
+        """The distinct keys of ``rows`` that the table holds, from the key bitmaps alone: no stored row is read.
+
+        Exact, as a bitmap has one bit for each key of its part."""
+        key = spec.key
+        asked = rows.select(F.col(key), self.part_of(spec, state).alias("part"), self._place(spec, state).alias("place")).distinct()
+        asked = asked.select(key, "part", F.bitmap_bucket_number("place").alias("bucket"), F.bitmap_bit_position("place").alias("at"))
+        if not state.segments:
+            return asked.select(key).limit(0)
+        base = f"{self.root}/tables/{spec.name}/_keys"
+        versions = sorted({s.version for s in state.segments})
+        held = self.spark.read.schema("part long, bucket long, bits binary, v string").option("basePath", base).parquet(
+            *(self.keys_path(spec.name, v) for v in versions)
+        )
+        named = self.spark.createDataFrame([(s.version, s.part) for s in state.segments], "v string, part long")
+        touched = asked.select("part", "bucket").distinct()
+        held = held.join(named, ["v", "part"], "left_semi").join(touched, ["part", "bucket"], "left_semi")
+        held = held.groupBy("part", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright("at", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return asked.join(held, ["part", "bucket"]).where(F.getbit(byte, F.pmod("at", F.lit(8)).cast("int")) == 1).select(key)
+
+    def compact(self, spec: TableSpec, run_id: str, ratio: float = 0.25) -> list[int]:
+        """Rewrite the parts whose deltas hold over ``ratio`` of the rows of their base; returns them."""
+        state = self.log(spec.name).at()
+        rows: dict[int, list[int]] = {}
+        for s in state.segments:
+            rows.setdefault(s.part, [0, 0])[s.kind == "delta"] += s.rows
+        grown = sorted(p for p, (base, delta) in rows.items() if delta and delta > ratio * base)
+        if grown:
+            version = f"c{run_id}"
+            added = self.write_parts(self.read_state(spec, state, grown), spec, version, state)
+            held = state.control
+            at = lambda c: dt.datetime.strptime(held[c], TIME_FORMAT)
+            self.commit(spec, state, held["run_id"], at("last_loaded_at"), at("last_run_at"), held["rows_loaded"], added, grown, version)
+        return grown
+
+    def collect_garbage(self, spec: TableSpec, older_than: float = 86400.0) -> list[str]:
+        """Remove folders of a table that no kept commit can reach; returns their paths.
+
+        ``older_than`` (seconds) spares what a running load has written and not yet committed."""
+        log, kept = self.log(spec.name), set()
+        for n, _ in log.history():
+            kept |= {s.version for s in log.at(n).segments}
+        kept |= {s.version for s in log.at().segments}
+        runs = {e["control"]["run_id"] for _, e in log.history()}
+        base, gone, now = f"{self.root}/tables/{spec.name}", [], time.time()
+        for folder, needed in ((base, kept), (f"{base}/_keys", kept), (f"{self.root}/slices/{spec.name}", runs)):
+            for name in self.files.names(folder):
+                version = name.removeprefix("v=")
+                if name.startswith("v=") and version not in needed and self.files.age(f"{folder}/{name}", now) >= older_than:
+                    self.files.remove(f"{folder}/{name}")
+                    gone.append(f"{folder}/{name}")
+        return gone
 
     def write_slice(self, df: DataFrame, table: str, run_id: str) -> DataFrame:
         """Materialise a slice (cutting its lineage to the source) and return the stored copy."""
@@ -125,7 +251,13 @@ class Warehouse:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    # marts
+    # marts and builds
+    def _next_commit(self, history: DataFrame) -> str:
+        last = history.agg(F.max("committed_at")).collect()[0][0]
+        now = dt.datetime.now()
+        now = max(now, last + dt.timedelta(microseconds=1)) if last is not None else now
+        return now.strftime(TIME_FORMAT)
+
     # day-partitioned marts: each run writes the days it recomputed; a manifest names each day's version
     def manifest_path(self, model: str) -> str:
         return f"{self.root}/marts/{model}/_manifest"
@@ -214,3 +346,7 @@ class Warehouse:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         df = reader.parquet(self.mart_path(model, version))
         return df if schema is None else df.select(*schema.fieldNames())
+
+
+def key_sql(spec: TableSpec) -> str:
+    return f"CAST(`{spec.key}` AS BIGINT)"

@@ -20,7 +20,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("runlog", "report_csv"))])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("report_csv")])
 def test_no_python_in_plans(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):

