@@ -6,10 +6,11 @@ sums them into the counts of all shorter prefixes, so the counts of words, pairs
 one table and no n-gram is exploded on its own.
 
 Words are 64-bit hashes while they are counted. The table of all words with their hashes is checked first: if two
-words share a hash, counting starts again with another seed, so counts are exact. A phrase of ``least`` occurrences
-holds only pairs of that many, so a window is also padded from its first rarer pair on; the set of frequent pairs is
-a bitmap of a fixed size (``FILTER_BITS``), whose false positives only lengthen windows. Rare phrases may thus be
-counted too low, never one of ``least`` occurrences or more.
+words share a hash, counting starts again with another seed, so counts are exact. Before the windows are counted, the phrases of
+two to four words are counted by hash in ``FILTER_BITS`` places; a phrase whose place stays under ``least`` is rarer
+than that, and a window is padded from its first such prefix on. Places that phrases share only make windows longer than
+needed. Rare phrases may thus be counted too low, never one of ``least`` occurrences or more. The filter bounds what is broadcast, not
+what is counted: with far more phrases than places it lets all pass, and windows are counted whole.
 
 Defined results: null texts are empty; a null language is ``und`` (and shares the counts of rows that say so); rows that
 repeat are counted as often as they occur; ids are not read. Phrases of words that never reach ``least`` do not appear.
@@ -30,10 +31,12 @@ from .shingles import LOWER, U, buffer_of, mix, span_hashes
 
 #: Words of the longest window.
 ORDER = 4
-#: Bits of the filter of frequent pairs (8 MB); a bound of what is broadcast, not of what is counted.
-FILTER_BITS = 1 << 26
+#: Places of the filter of rare phrases: a bitmap of 16 MB.
+FILTER_BITS = 1 << 27
+#: Places of a range, the unit in which they are shuffled and summed.
+RANGE = 1 << 16
 #: Words counted at a time in a task, and bytes hashed at a time.
-FLUSH_WORDS = 1 << 20
+FLUSH_WORDS = 1 << 19
 CHUNK = 1 << 19
 #: Words a task remembers as already listed.
 KNOWN_WORDS = 1 << 20
@@ -134,28 +137,46 @@ def _lang_hashes(langs: dict) -> np.ndarray:
     return out
 
 
-def _pair_keys(h: np.ndarray, code: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Key of each word's pair with the next word (any value where there is none)."""
-    after = np.concatenate([h[1:], h[:1]]) if len(h) else h
-    return mix(mix(of[code] * _MUL + h) * _MUL + after)
+def _places(h: np.ndarray, code: np.ndarray, new: np.ndarray, of: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For phrases of two words, three words and so on from each word: their place in the filter, and whether a piece holds them."""
+    key, held = mix(of[code] * _MUL + h), np.ones(len(h), bool)
+    for d in range(1, ORDER):
+        key[: len(h) - d] = mix(key[: len(h) - d] * _MUL + h[d:])
+        held[max(len(h) - d, 0) :] = False
+        held[: len(h) - d] &= ~new[d:]
+        yield (key % U(FILTER_BITS)).astype(np.uint32), held
 
 
-def _listed(seed: int):
-    """(lang, text) -> (key, word, n): each word with its hash, and the counts of hashed pairs (word null)."""
+def _cut(places: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Sorted places and their counts as one row a range."""
+    ranges = places >> np.uint32(16)
+    first = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]])) if len(places) else np.zeros(0, np.int64)
+    bounds = np.append(first, len(places)).astype(np.int32)
+    binary = lambda x: pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((bounds * x.itemsize).tobytes()), pa.py_buffer(x.tobytes())])
+    none = pa.nulls(len(first), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(ranges[first].astype(np.int64)), none, binary((places & np.uint32(RANGE - 1)).astype(np.uint16)), binary(counts)], ["key", "word", "places", "counts"])
+
+
+def _counter(least: int) -> type:
+    """Counts above ``least`` need not be told apart."""
+    return np.uint8 if least < 256 else np.uint32
+
+
+def _listed(seed: int, least: int):
+    """(lang, text) -> (key, word, places, counts): each word with its hash; or, without a word, a range of the filter and counts in it."""
     def run(batches):
         known, recent = np.zeros(0, U), np.zeros(0, U)  # sorted
         stream = _Stream(seed)
 
-        def pairs(h, code, new, n):
-            linked = np.zeros(len(h), bool)
-            linked[:-1] = ~new[1:]
-            keys, counts = np.unique(_pair_keys(h, code, _lang_hashes(stream.langs))[:n][linked[:n]], return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.nulls(len(keys), pa.string()), pa.array(counts.astype(np.int64))], ["key", "word", "n"])
+        def phrases(h, code, new, n):
+            found = [place[:n][held[:n]] for place, held in _places(h, code, new, _lang_hashes(stream.langs))]
+            places, counts = np.unique(np.concatenate(found), return_counts=True)
+            return _cut(places, np.minimum(counts, least).astype(_counter(least)))
 
         for b in batches:
             for what, x in stream.add(b.column(0), b.column(1)):
                 if what == "run":
-                    yield pairs(*x)
+                    yield phrases(*x)
                     continue
                 low, s, e, h = x
                 keys, at = np.unique(h, return_index=True)
@@ -165,8 +186,41 @@ def _listed(seed: int):
                     recent = np.sort(np.concatenate([recent, keys]))
                     if len(recent) > 1 << 16:
                         known, recent = np.sort(np.concatenate([known if len(known) < KNOWN_WORDS else known[:0], recent])), recent[:0]
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), _strings(low, s[at], e[at]).cast(pa.large_string()).cast(pa.string()), pa.nulls(len(keys), pa.int64())], ["key", "word", "n"])
-        yield pairs(*stream.run(True))
+                    none = pa.nulls(len(keys), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), _strings(low, s[at], e[at]).cast(pa.large_string()).cast(pa.string()), none, none], ["key", "word", "places", "counts"])
+        yield phrases(*stream.run(True))
+
+    return run
+
+
+def _frequent(least: int):
+    """Sorted (key, places, counts) -> (key, bits): the places of a range that are counted ``least`` times, streamed range by range."""
+    def run(batches):
+        range_, total, held, size = None, None, [], 0
+
+        def add():
+            nonlocal held, size
+            if held:
+                places, counts = (np.concatenate([np.frombuffer(x[i], t) for x in held]) for i, t in ((0, np.uint16), (1, _counter(least))))
+                total[:] += np.bincount(places, counts, RANGE).astype(np.int64)
+            held, size = [], 0
+
+        def bits():
+            add()
+            return pa.RecordBatch.from_arrays([pa.array([range_], pa.int64()), pa.array([np.packbits(total >= least, bitorder="little").tobytes()], pa.binary())], ["key", "bits"])
+
+        for b in batches:
+            for key, places, counts in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if key != range_:
+                    if range_ is not None:
+                        yield bits()
+                    range_, total = key, np.zeros(RANGE, np.int64)
+                held.append((places, counts))
+                size += len(places)
+                if size >= 1 << 22:
+                    add()
+        if range_ is not None:
+            yield bits()
 
     return run
 
@@ -178,16 +232,15 @@ def _windows(seed: int, bits):
         stream = _Stream(seed)
 
         def counted(h, code, new, n):
-            key = _pair_keys(h, code, _lang_hashes(stream.langs)) % U(FILTER_BITS)
-            linked = (mask[key >> U(3)] >> (key & U(7)).astype(np.uint8)) & 1 == 1
-            linked[:-1] &= ~new[1:]
-            linked[-1:] = False
             distinct, ids = np.unique(np.concatenate([[U(0)], h]), return_inverse=True)
             ids, size = ids[1:], len(distinct)
             lead, alive = [ids[:n]], np.ones(n, bool)
-            for d in range(1, ORDER):
-                alive = alive & np.concatenate([linked, np.zeros(ORDER, bool)])[d - 1 : d - 1 + n]
-                lead.append(np.where(alive, np.concatenate([ids, np.zeros(ORDER, np.int64)])[d : d + n], 0))
+            for d, (place, held) in enumerate(_places(h, code, new, _lang_hashes(stream.langs)), 1):
+                place = place[:n]
+                alive = alive & held[:n] & ((mask[place >> np.uint32(3)] >> (place & np.uint32(7)).astype(np.uint8)) & 1 == 1)
+                column = np.zeros(n, np.int64)
+                column[alive] = ids[np.flatnonzero(alive) + d]
+                lead.append(column)
             head, i = np.unique((code[:n] * size + lead[0]) * size + lead[1], return_inverse=True)
             tail, j = np.unique(lead[2] * size + lead[3], return_inverse=True)
             both, counts = np.unique(i * len(tail) + j, return_counts=True)
@@ -206,15 +259,12 @@ def _windows(seed: int, bits):
     return run
 
 
-def _frequent_pairs(pairs: DataFrame, least: int) -> bytes:
-    """The bitmap of the keys that occur ``least`` times: at most FILTER_BITS / 8 bytes."""
-    spot = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1  # buckets are numbered from 1 for the numbers from 1
-    rows = pairs.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select(spot.alias("spot"))
-    rows = rows.groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+def _filter(listed: DataFrame, least: int) -> bytes:
+    """The bitmap of the places counted ``least`` times: FILTER_BITS / 8 bytes."""
+    ranges = listed.where("places is not null").select("key", "places", "counts").repartition("key").sortWithinPartitions("key")
     out = bytearray(FILTER_BITS // 8)
-    for r in rows.collect():  # at most FILTER_BITS / 32768 rows of 4096 bytes
-        start = (r["bucket"] - 1) * 4096
-        out[start : start + 4096] = bytes(r["bits"])
+    for r in ranges.mapInArrow(_frequent(least), "key long, bits binary").collect():  # at most FILTER_BITS / RANGE rows of RANGE / 8 bytes
+        out[r["key"] * (RANGE // 8) : (r["key"] + 1) * (RANGE // 8)] = r["bits"]
     return bytes(out)
 
 
@@ -228,13 +278,13 @@ def counts(docs: DataFrame, least: int = 30, lang_col: str = "lang", text_col: s
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     seed = 0
     while True:
-        listed = stored(rows.mapInArrow(_listed(seed), "key long, word string, n long"), "phrases-listed")
+        listed = stored(rows.mapInArrow(_listed(seed, least), "key long, word string, places binary, counts binary"), "phrases-listed")
         words = listed.where("word is not null").groupBy("key").agg(F.min("word").alias("word"), F.max("word").alias("other"))
         words = stored(words, "phrases-words")
         if words.where("word <> other").isEmpty():
             break
         seed += 1
-    bits = spark.sparkContext.broadcast(_frequent_pairs(listed.where("word is null"), least))
+    bits = spark.sparkContext.broadcast(_filter(listed, least))
     found = stored(rows.mapInArrow(_windows(seed, bits), "lang string, h1 long, h2 long, h3 long, h4 long, n long"), "phrases-windows")
     columns = [f"h{i}" for i in range(1, ORDER + 1)]
     whole = found.groupBy("lang", *columns).agg(F.sum("n").alias("n"))
