@@ -427,6 +427,16 @@ def schema_check(spark, sf_dir):
     return profile.schema_check(_at(spark, sf_dir), "agent_transactions", PROFILE_EXPECTED_COLUMNS, exists)
 
 
+@_register("profile_stored")
+def profile_stored(spark, sf_dir):
+    """Row count and key range of a stored table, from its files' footers."""
+    spec = SPECS["agent_transactions"]
+    wh = _warehouse(spark, "profile")
+    store(wh, {spec.name: _raw(spark, sf_dir, spec.name)}, "v1")
+    paths = [f"{wh.table_path(spec.name, s.version)}/part={s.part}" for s in wh.log(spec.name).at().segments]
+    return profile.footer_profile(spark, paths, spec.name, spec.key)
+
+
 @_register("schema_check_source")
 def schema_check_source(spark, sf_dir):
     """The columns of the sources as they are: one that lacks what the profile expects, and one that does not exist."""

@@ -33,6 +33,24 @@ def schema_check(df: DataFrame, table: str, expected: Sequence[str], exists: boo
     )
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose Parquet reads answer counts and ranges from the files' footers."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.useV1SourceList", "")
+    other.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return other
+
+
+def footer_profile(spark: SparkSession, paths: Sequence[str], table: str, column: str) -> DataFrame:
+    """One row (table_name, row_count, column_count, min_<column>, max_<column>) of a stored table; no row of it is read.
+
+    ``column`` is a number or a date: for those Parquet footers hold exact ranges."""
+    rows = footer_session(spark).read.parquet(*paths)
+    return rows.agg(F.count(F.lit(1)).alias("row_count"), F.min(column).alias(f"min_{column}"), F.max(column).alias(f"max_{column}")).select(
+        F.lit(table).alias("table_name"), "row_count", F.lit(len(rows.columns)).alias("column_count"), f"min_{column}", f"max_{column}"
+    )
+
+
 def time_ranges(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Earliest and latest value of each time column, in one row."""
     aggs = []

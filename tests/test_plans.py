@@ -59,3 +59,16 @@ def test_register_views(spark):
     names = register_views(spark, m, ["stg_rev_sub_newcode", "agg_revenue_daily"])
     assert spark.sql("SELECT count(*) FROM stg_rev_sub_newcode").collect()[0][0] == 25
     assert set(names) <= {t.name for t in spark.catalog.listTables()}
+
+
+def test_footers_answer_counts_and_ranges(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from levyline.operators import profile
+
+    spark.range(1000).select("id", F.repeat(F.lit("x"), 50).alias("s")).repartition(3).write.parquet(f"{scratch}/t")
+    df = profile.footer_profile(spark, [f"{scratch}/t"], "t", "id")
+    assert [tuple(r) for r in df.collect()] == [("t", 1000, 2, 0, 999)]
+    plan = _plan(df)
+    assert "PushedAggregation: [COUNT(*), MIN(id), MAX(id)]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"  # the caller's session is left as it is
