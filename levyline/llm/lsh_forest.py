@@ -7,8 +7,10 @@ its order is that of the label so read. A region is a run of an order whose rows
 depth), so dense parts of the space go deep and sparse parts stay shallow. Candidates are the next
 ``NEIGHBOURS`` rows in a region's order, which share the longest prefixes. Rows that agree beyond the deepest
 prefix are split into blocks and each is also linked to the region's first row. In regions too large for
-that to compare all pairs, rows that are then still outside the region's largest component are open: each is
-compared, on the full sets, with all rows of the regions (of the shortest prefix) that are connected with its own.
+that to compare all pairs, rows that are then still outside the region's largest component are open. They are joined with
+all rows of such regions on their rarest shingles: two sets of Jaccard 0.8 share a shingle among the first ninth of the
+smaller and the first fifth of the larger, in any order common to all sets, so no link is lost, and in order of rarity few
+other pairs share one, also in a family of texts whose members are all but 0.8 alike.
 
 Equal shingle sets are one class from the start (partial aggregation, however many copies), so only different
 sets meet in the forest. Candidates pass a bound on set sizes and on signature agreement, and every link is
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, stored
+from .common import components, ship, stored
 from .shingles import U, mix, shingle_sets
 
 TREES = 24
@@ -42,9 +44,11 @@ DEPTHS = (4, 5, 6, 8, 10, 12, 16)
 REGION_ROWS = 10_000
 #: Neighbours on one side of a row in a region's order.
 NEIGHBOURS = 2
-#: Shingles of a block of rows that are compared with those of another, and what a row counts besides its own.
-BLOCK_SHINGLES = 1 << 19
-ROW_WEIGHT = 256
+#: Counters of each of the two rows of the sketch that orders shingles by rarity (8 MB in all; it only saves work).
+COUNTERS = 1 << 20
+COUNTER_RANGE = 1 << 15
+#: Words of 64 bits of the parity bitmap of a set: sets differ in at least as many shingles as their bitmaps in bits.
+PARITY = 8
 _R = np.random.RandomState(20240229)
 _XOR = _R.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 _MUL = _R.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -178,21 +182,18 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 
 def open_groups(rows: DataFrame, components_: DataFrame) -> DataFrame:
-    """Rows (id, part, component, open) of the regions in which not all pairs were compared and several components remain.
+    """Rows (id, component, open) of the regions in which not all pairs were compared and several components remain.
 
     Regions are those of the shortest prefix, so pairs that adaptive depth or blocks took apart count as well. Open
-    rows are outside the largest component of such a region; regions that share rows are one part.
+    rows are outside the largest component of such a region.
     """
     rows = rows.select("id", _prefix(BASE_DEPTH).alias("region"))
     rows = rows.join(components_.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    held = rows.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
-    main = held.groupBy("region").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.min("low").alias("low"))
+    held = rows.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = held.groupBy("region").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"))
     main = main.where((F.col("parts") > 1) & (F.col("all") > NEIGHBOURS + 1))
-    rows = rows.join(main.select("region", "low", F.col("main.component").alias("main")), "region")
-    rows = stored(rows.groupBy("id", "low").agg(F.first("component").alias("component"), F.max(F.col("component") != F.col("main")).alias("open")), "open")
-    part = components(rows.select(F.col("id").alias("a"), F.col("low").alias("b")), "parts").select(F.col("node").alias("id"), F.col("component").alias("part"))
-    rows = rows.groupBy("id").agg(F.first("component").alias("component"), F.max("open").alias("open"))
-    return stored(rows.join(part, "id").select("id", "part", "component", "open"), "open")
+    rows = rows.join(main.select("region", F.col("main.component").alias("main")), "region")
+    return stored(rows.groupBy("id").agg(F.first("component").alias("component"), F.max(F.col("component") != F.col("main")).alias("open")), "open")
 
 
 def _sets(k: int):
@@ -206,82 +207,124 @@ def _sets(k: int):
     return run
 
 
-def shared_counts(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of every set of xs with every set of ys."""
-    out = np.zeros((len(xs), len(ys)), np.float32)
-    flat = lambda sets: (np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
-    (hx, ix), (hy, iy) = flat(xs), flat(ys)
-    both = np.intersect1d(hx, hy)
-    if not len(both):
-        return out
-
-    def placed(h, i):
-        c = np.minimum(np.searchsorted(both, h), len(both) - 1)
-        hit = both[c] == h
-        c, i = c[hit], i[hit]
-        by = np.argsort(c, kind="stable")
-        return c[by], i[by], np.bincount(c, minlength=len(both))
-
-    (cx, ix, fx), (cy, iy, fy) = placed(hx, ix), placed(hy, iy)
-    dense = fx * fy > out.size / 256
-    common = np.flatnonzero(dense)  # common shingles: products of matrices
-    for at in range(0, len(common), 1024):
-        column = np.full(len(both), -1)
-        column[common[at : at + 1024]] = np.arange(len(common[at : at + 1024]))
-        sides = []
-        for c, i, size in ((cx, ix, len(xs)), (cy, iy, len(ys))):
-            m, c = np.zeros((size, 1024), np.float32), column[c]
-            m[i[c >= 0], c[c >= 0]] = 1
-            sides.append(m)
-        out += sides[0] @ sides[1].T
-    rare = ~dense[cx]  # the others: pair by pair
-    cx, ix, first = cx[rare], ix[rare], np.cumsum(fy) - fy
-    ends = np.cumsum(fy[cx])
-    at = 0
-    while at < len(cx):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 20), "right")))
-        f = fy[cx[at:to]]
-        nth = np.arange(f.sum()) - np.repeat(np.cumsum(f) - f, f)
-        np.add.at(out, (np.repeat(ix[at:to], f), iy[np.repeat(first[cx[at:to]], f) + nth]), 1)
-        at = to
-    return out
+def _counters(shingles: np.ndarray) -> np.ndarray:
+    """The counter of each shingle in the two rows of the sketch, one row after the other."""
+    return np.stack([(shingles >> U(8)) & U(COUNTERS - 1), ((shingles >> U(36)) & U(COUNTERS - 1)) + U(COUNTERS)]).astype(np.int64)
+
+
+def _counted(batches):
+    """(shingles) -> (key, counts): how often the shingles of a task fall on each counter, a row a range of counters."""
+    total = np.zeros(2 * COUNTERS, np.uint32)
+    for b in batches:
+        for x in b.column(0).to_pylist():
+            np.add.at(total, _counters(np.frombuffer(x, U)).ravel(), 1)
+    if total.any():
+        parts = total.reshape(-1, min(COUNTER_RANGE, COUNTERS))
+        held = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int64)), pa.array([parts[i].tobytes() for i in held], pa.binary())], ["key", "counts"])
+
+
+def _summed(batches):
+    """Sorted (key, counts) -> (key, counts): the sum of each range, streamed."""
+    key, total = None, None
+    row = lambda: pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["key", "counts"])
+    for b in batches:
+        for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if k != key:
+                if key is not None:
+                    yield row()
+                key, total = k, np.zeros(len(x) // 4, np.int64)
+            total += np.frombuffer(x, np.uint32)
+    if key is not None:
+        yield row()
+
+
+def rarity(sets: DataFrame) -> np.ndarray:
+    """A sketch of how often shingles occur in ``sets``: two rows of COUNTERS numbers; neither counts a shingle too low."""
+    counts = sets.select("shingles").mapInArrow(_counted, "key long, counts binary")
+    counts = counts.repartition("key").sortWithinPartitions("key").mapInArrow(_summed, "key long, counts binary")
+    out = np.zeros((2 * COUNTERS // min(COUNTER_RANGE, COUNTERS), min(COUNTER_RANGE, COUNTERS)), np.uint32)
+    for r in counts.collect():  # 2 * COUNTERS numbers in all
+        out[r["key"]] = np.minimum(np.frombuffer(r["counts"], np.int64), 0xFFFFFFFF)
+    return out.ravel()
+
+
+WORDS = [f"w{i}" for i in range(PARITY)]
+
+
+def _prefixes(percent: int, sketch):
+    """(id, n, shingles, component, open) -> (token, id, n, alone, place, indexed, component, open, w0..): the rarest shingles of each set.
+
+    ``w0`` and on are the set's parity bitmap. ``alone`` counts the set's shingles that no other set holds (as far as the sketch tells); they come first. Of two sets with 100 * both >= percent * union the larger shares one of its first n - ceil(percent n / 100) + 1 shingles with the
+    first n - ceil(2 percent n / (100 + percent)) + 1 of the smaller (``indexed``), in any order common to both.
+    """
+    def run(batches):
+        counts = sketch.value
+        for b in batches:
+            out, parity = [], []
+            for i, x in enumerate(b.column(2).to_pylist()):
+                x = np.frombuffer(x, U)
+                n = len(x)
+                probe, index = n + (-percent * n // 100) + 1, n + (-2 * percent * n // (100 + percent)) + 1
+                often = counts[_counters(x)].min(axis=0)
+                alone = int((often == 1).sum())
+                order = np.lexsort((x, often))[alone:probe]
+                place = np.arange(alone, alone + len(order))
+                out.append((np.full(len(order), i), x[order], place, place < index, np.full(len(order), alone)))
+                odd = np.bincount(((x >> U(20)) & U(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+                parity.append(np.packbits(odd.astype(bool), bitorder="little").view(np.int64))
+            if not out:
+                continue
+            at, token, place, indexed, alone = (np.concatenate(c) for c in zip(*out))
+            of = pa.array(at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token.view(np.int64)), b.column(0).take(of), b.column(1).take(of), pa.array(alone.astype(np.int64)), pa.array(place.astype(np.int64)), pa.array(indexed), b.column(3).take(of), b.column(4).take(of)]
+                + [pa.array(w) for w in np.array(parity)[at].T],
+                ["token", "id", "n", "alone", "place", "indexed", "component", "open", *WORDS],
+            )
+
+    return run
+
+
+def rare_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, c_a, c_b) of sets, one of them open, of two components, that may be linked: they share a rare shingle
+    at places that leave enough others in common."""
+    sketch = sets.sparkSession.sparkContext.broadcast(rarity(sets))
+    kind = "token long, id long, n long, alone long, place long, indexed boolean, component long, open boolean" + "".join(f", {w} long" for w in WORDS)
+    rows = stored(sets.select("id", "n", "shingles", "component", "open").mapInArrow(_prefixes(percent, sketch), kind), "prefixes")
+    side = lambda of, s: of.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "alone", "place", "component", "open", *WORDS)))
+    met = side(rows.where("indexed"), "x").join(side(rows, "y"), "token")
+    met = met.where("(n_x < n_y OR (n_x = n_y AND id_x < id_y)) AND (open_x OR open_y) AND component_x <> component_y")
+    need = F.ceil(F.expr(f"{percent} * (n_x + n_y)") / (100 + percent))
+    # before a common shingle both hold at most the others that are not alone, after it at most all the rest
+    room = F.least(F.expr("place_x - alone_x"), F.expr("place_y - alone_y")) + 1 + F.least(F.expr("n_x - place_x - 1"), F.expr("n_y - place_y - 1"))
+    differ = sum((F.bit_count(F.col(f"{w}_x").bitwiseXOR(F.col(f"{w}_y"))) for w in WORDS[1:]), F.bit_count(F.col("w0_x").bitwiseXOR(F.col("w0_y"))))
+    met = met.where(F.expr(f"100 * n_x >= {percent} * n_y") & (room >= need) & (differ <= F.expr("n_x + n_y") - 2 * need))
+    return met.select(F.col("id_x").alias("a"), F.col("id_y").alias("b"), F.col("component_x").alias("c_a"), F.col("component_y").alias("c_b")).distinct()
 
 
 def _linked(percent: int):
-    """A block of open rows and a block of rows -> pairs (a, b) of components that a link joins."""
-    def run(t: pa.Table) -> pa.Table:
-        side, n, c = (t.column(x).to_numpy() for x in ("side", "n", "component"))
-        sets = [np.frombuffer(x, U) for x in t.column("shingles").to_pylist()]
-        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        pairs = np.zeros((0, 2), np.int64)
-        if len(x) and len(y):
-            both = shared_counts([sets[i] for i in x], [sets[i] for i in y])
-            hit = (both > 0) & ((100 + percent) * both.astype(np.int64) >= percent * (n[x][:, None] + n[y])) & (c[x][:, None] != c[y])
-            i, j = np.nonzero(hit)
-            pairs = np.unique(np.stack([c[x][i], c[y][j]], 1), axis=0).astype(np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+    """(a, b, c_a, c_b, shingles of a, of b) -> (a, b): the components of pairs that are linked."""
+    def run(batches):
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist()):
+                both, n = len(np.intersect1d(np.frombuffer(x, U), np.frombuffer(y, U), assume_unique=True)), (len(x) + len(y)) // 8
+                keep.append(both > 0 and 100 * both >= percent * (n - both))
+            yield pa.RecordBatch.from_arrays([b.column(2), b.column(3)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def exact_links(docs: DataFrame, open_: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of components joined by a link of an open row with any row of its part, on the full sets.
-
-    Parts are dealt by hash into blocks of about ``BLOCK_SHINGLES``; every block of open rows meets every block of its part.
-    """
-    rows = docs.join(open_.select("id").distinct(), "id", "left_semi").select("id", "text").mapInArrow(_sets(k), "id long, n long, shingles binary")
-    rows = stored(rows.where("n > 0").join(open_, "id"), "sets")
-    weight = F.col("n") + ROW_WEIGHT
-    blocks = lambda w: F.greatest(F.ceil(F.sum(w) / BLOCK_SHINGLES), F.lit(1))
-    sizes = rows.groupBy("part").agg(blocks(F.when(F.col("open"), weight).otherwise(0)).alias("n_x"), blocks(weight).alias("n_y"))
-    rows = rows.join(sizes, "part")
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("long")
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
-    columns = ["part", "n", "component", "shingles"]
-    x = rows.where("open").select(F.lit(0).alias("side"), *columns, own("n_x").alias("x"), every("n_y").alias("y"))
-    y = rows.select(F.lit(1).alias("side"), *columns, own("n_y").alias("y"), every("n_x").alias("x"))
-    met = x.unionByName(y).groupBy("part", "x", "y").applyInArrow(_linked(percent), "a long, b long")
-    return stored(met.distinct(), "links")
+    """Pairs (a, b) of components joined by a link of an open row with any row of ``open_``, on the full sets."""
+    rows = docs.join(open_.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_sets(k), "id long, n long, shingles binary")
+    rows = rows.where("n > 0").dropDuplicates(["id", "shingles"]).join(open_, "id")
+    rows = stored(rows, "sets")
+    pairs = stored(rare_pairs(rows, percent), "rare-pairs")
+    of = lambda s: rows.select(F.col("id").alias(s), F.col("shingles").alias(f"shingles_{s}"))
+    pairs = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "c_a", "c_b", "shingles_a", "shingles_b")
+    return stored(pairs.mapInArrow(_linked(percent), "a long, b long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,6 +332,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     Documents are linked when 100 * intersection >= percent * union of their shingle sets.
     """
+    ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = stored(docs.mapInArrow(_sign(k), "id long, n long, set_key binary, sig binary"), "signed")
     classes = stored(

@@ -1,10 +1,18 @@
 import random
+import subprocess
+import sys
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
 
 from levyline.llm import lsh_forest
 from levyline.llm.common import components
 from levyline.llm.lsh_forest import near_duplicates
 from levyline.llm.shingles import PIECE, shingle_sets, word_hashes
 
+from tests.conftest import ROOT
+
 from . import helpers as H
 
 
@@ -121,3 +129,72 @@ def test_pairs_in_a_family_that_is_itself_below_the_threshold(spark, monkeypatch
     assert 20 < sum(root[i] != i for i in root) < 150
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, k=4).collect()} == root
+
+
+def background(n: int, share: int, seed: int = 3):
+    """One template of 300 words of which every member changes ``share``; every 25th takes most changes of the one before."""
+    rng = random.Random(seed)
+    rows, last = [], []
+    for i in range(n):
+        own = [(p, f"z{i}x{p}") for p in rng.sample(range(4, 296, 4), share)]
+        if i % 25 == 24:
+            taken = {p for p, _ in last[: share - 2]}
+            own = last[: share - 2] + [x for x in own if x[0] not in taken][:2]
+        last, words = own, [f"w{j}" for j in range(300)]
+        for p, w in own:
+            words[p] = w
+        rows.append((i * 7919 % 1000003, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("share", [13, 11, 9])  # background likeness about 0.70, 0.75, 0.79
+def test_families_just_below_the_threshold(spark, monkeypatch, share):
+    monkeypatch.setattr(lsh_forest, "REGION_ROWS", 50)
+    rows = background(600, share)
+    sets = {i: H.shingles(t, 4) for i, t in rows}
+    root = H.classes(sets)
+    assert 10 < sum(root[i] != i for i in root) < 400
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, k=4).collect()} == root
+
+
+def test_compared_pairs_grow_with_a_family_not_its_square(spark):
+    """All members open: the pairs to be compared are about the planted ones, whatever the size."""
+    share = {}
+    for n in (1000, 4000):
+        docs = spark.createDataFrame(background(n, 11), "id long, text string")
+        sets = docs.mapInArrow(lsh_forest._sets(4), "id long, n long, shingles binary")
+        sets = sets.withColumns({"component": F.col("id"), "open": F.lit(True)})
+        share[n] = lsh_forest.rare_pairs(sets, 80).count() / n
+    assert share[4000] < 1.5 * max(share[1000], 0.04) and share[4000] < 3
+
+
+def test_rare_pairs_hold_every_link(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(150):
+        base = [f"b{rng.randrange(60)}" for _ in range(rng.choice([3, 5, 20, 30]))] if i % 3 == 0 or not rows else rows[rng.randrange(len(rows))][1].split()
+        words = [w if rng.random() > 0.02 else f"n{i}" for w in base] + ([f"t{i}"] if rng.random() < 0.3 else [])
+        rows.append((i, " ".join(words)))
+    for k, percent in ((1, 80), (2, 60), (4, 80)):
+        sets = {i: H.shingles(t, k) for i, t in rows}
+        want = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]) > 0}
+        df = spark.createDataFrame(rows, "id long, text string").mapInArrow(lsh_forest._sets(k), "id long, n long, shingles binary")
+        pairs = lsh_forest.rare_pairs(df.withColumns({"component": F.col("id"), "open": F.lit(True)}), percent)
+        assert want <= {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in pairs.collect()} and len(want) > 20
+
+
+def test_in_a_session_that_has_shipped_nothing():
+    """The operator called on its own: executors get the package from it, not from a query that ran before."""
+    code = """
+import sys, tempfile
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.python.worker.reuse", "false").getOrCreate()
+spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="levyline-test-"))
+from levyline.llm.lsh_forest import near_duplicates
+docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words in this one text")], "doc_id long, text string")
+print(sorted(r["component_id"] for r in near_duplicates(docs).collect()))
+"""
+    out = subprocess.run([sys.executable, "-c", code.format(root=ROOT)], capture_output=True, text=True, cwd=tempfile.mkdtemp(prefix="levyline-test-"), timeout=300)
+    assert out.stdout.strip().endswith("[1, 1, 3]"), out.stderr[-2000:]
