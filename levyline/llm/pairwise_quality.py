@@ -142,7 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # about `rows` ids, a documented bound: broadcast, so that no text is shuffled
     found = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "key")
     kind = docs.schema[id_col].dataType.simpleString()
-    shown = found.select("key", "text").mapInArrow(_features, f"key {kind}, x array<double>").join(F.broadcast(known), "key").select("key", "x", "label").collect()
+    found = found.select("key", "text").mapInArrow(_features, f"key {kind}, x array<double>")
+    shown = found.groupBy("key").agg(F.min("x").alias("x")).join(F.broadcast(known), "key").collect()  # one row an id, however often it repeats
     shown.sort(key=lambda r: (r["key"], r["x"]))
     good = np.array([r["label"] == 1 for r in shown], bool)
     if not good.any() or good.all():
