@@ -3,7 +3,7 @@
 Base spans are the leftmost non-overlapping matches of four patterns, kept when they pass their check. They are
 the seeds of the bootstrapping. Every other token with a digit or ``@`` is a candidate identifier; the one and two
 words before a token, together with the token's shape, are its lexical patterns. Spark scores the graph of
-patterns and instances in rounds: a pattern is as reliable as the share of its distinct instances that are
+patterns and instances in rounds until no score changes: a pattern is as reliable as the share of its distinct instances that are
 believed, an instance is believed as its patterns are reliable (seeds always). Candidates in a pattern with
 at least ``MIN_INSTANCES`` instances, ``MIN_SEEDS`` of them seeds or believed by ``MIN_SCORE`` in the round before, and a reliability of ``MIN_SCORE`` are spans of kind ``context``.
 Long hexadecimal strings are seeds too, but not base spans.
@@ -42,7 +42,8 @@ SECRET = "^[0-9a-f]{32,}$"
 
 MAX_TOKEN = 256
 CONTEXT_CHARS = 48
-ROUNDS = 3
+#: Decimals to which scores must have settled.
+SETTLED = 4
 MIN_INSTANCES = 3
 MIN_SEEDS = 2
 MIN_SCORE = 0.8
@@ -170,21 +171,24 @@ def reliable_patterns(candidates: DataFrame) -> DataFrame:
     """Patterns that are believed, from ``candidates(instance, patterns, seed)``: rows (pattern, score).
 
     Edges are pre-aggregated to one row for each pattern and instance; each round is two joins of edges with
-    one row per node and two aggregations, and its result is written to the shared folder.
+    one row per node and two aggregations, and its result is written to the shared folder. Scores only grow from round to
+    round (belief grows with them), so they settle.
     """
     edges = candidates.select("instance", "seed", F.explode("patterns").alias("pattern"))
     edges = stored(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
     belief = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("belief"))
-    scores = None
-    for r in range(ROUNDS):
+    before = None
+    while True:
         scored = edges.join(belief, "instance").groupBy("pattern")
         scores = scored.agg((F.sum("belief") / F.count(F.lit(1))).alias("score"), F.count(F.lit(1)).alias("n"), F.sum((F.col("belief") >= MIN_SCORE).cast("int")).alias("seeds"))
         scores = stored(scores.where((F.col("n") >= MIN_INSTANCES) & (F.col("seeds") >= MIN_SEEDS) & (F.col("score") >= 0.5)), "patterns")
-        if r + 1 < ROUNDS:
-            doubt = edges.join(scores.select("pattern", "score"), "pattern").groupBy("instance").agg(F.sum(F.log(1 - 0.95 * F.col("score"))).alias("doubt"))
-            belief = edges.groupBy("instance").agg(F.max("seed").alias("seed")).join(doubt, "instance", "left")
-            belief = stored(belief.select("instance", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp(F.coalesce("doubt", F.lit(0.0)))).alias("belief")), "belief")
-    return scores.where(F.col("score") >= MIN_SCORE).select("pattern", "score")
+        now = tuple(scores.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("pattern", F.round("score", SETTLED)))).first())
+        if now == before:
+            return scores.where(F.col("score") >= MIN_SCORE).select("pattern", "score")
+        before = now
+        doubt = edges.join(scores.select("pattern", "score"), "pattern").groupBy("instance").agg(F.sum(F.log(1 - 0.95 * F.col("score"))).alias("doubt"))
+        belief = edges.groupBy("instance").agg(F.max("seed").alias("seed")).join(doubt, "instance", "left")
+        belief = stored(belief.select("instance", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp(F.coalesce("doubt", F.lit(0.0)))).alias("belief")), "belief")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
