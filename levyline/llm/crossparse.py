@@ -8,7 +8,8 @@ cross entropy in bits per character; the language needing fewest wins (ties: the
 Text is lower-cased; everything but letters becomes single spaces. The training sample is bounded by
 ``SAMPLE_CHARS`` letters and spaces a language, taken from labelled rows in the order of a hash of the id
 (about ``SAMPLE_ROWS`` rows of any length, the first ``SAMPLE_TEXT_CHARS`` characters of each), so it is the same on every run. Whole texts are parsed: long ones in runs of ``LANE`` characters, side by
-side, whose phrases are added up (a run's end closes its last phrase).
+side, whose phrases are added up (a run's end closes its last phrase). Of more than ``MAX_LANGUAGES`` labels those with the most rows are
+learned (equal: the smaller name).
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; a model without any
 labelled row predicts ``und`` for all. ``score`` is 1 - best / second best bits per character (1 with only one
@@ -34,6 +35,9 @@ SAMPLE_CHARS = 30_000
 SAMPLE_TEXT_CHARS = 4_000
 #: Labelled texts of a language looked at for the sample (expected number; the bound on what the driver gets).
 SAMPLE_ROWS = 120
+#: Languages learned: those with the most labelled rows, so that a table with a dirty column of labels needs no more
+#: memory than this many samples and automata.
+MAX_LANGUAGES = 128
 #: Symbols of a language with a column in the transition table: 0 is a space, 1 any letter that its sample lacks, then
 #: its letters by frequency. The transitions by its other letters are kept sparse.
 SYMBOLS = 64
@@ -243,14 +247,16 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     """(language, text) of at most SAMPLE_CHARS characters each, from rows that are not held out."""
     rows = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(LETTER))
     rank = F.xxhash64(F.col(id_col).cast("string"), F.lit("sample"))
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).cast("string")).count().collect()}
+    rows = rows.withColumn("__lang", F.col(lang_col).cast("string"))
+    counts = rows.groupBy("__lang").count().orderBy(F.desc("count"), "__lang").limit(MAX_LANGUAGES).collect()
+    if not counts:
+        return ()
     span = 1 << 62
-    take = F.lit(False)
-    for name, n in counts.items():
-        below = int(min(1.0, SAMPLE_ROWS / n) * 2 * span) - span
-        take |= (F.col(lang_col) == name) & (F.shiftright(rank, 1) < F.lit(below))
+    bounds = [(name, int(min(1.0, SAMPLE_ROWS / n) * 2 * span) - span) for name, n in counts]
+    bounds = docs.sparkSession.createDataFrame(bounds, "__lang string, __below long")
     piece = F.substring(F.regexp_replace(F.col(text_col).cast("string"), r"^\P{L}++", ""), 1, SAMPLE_TEXT_CHARS)
-    got = rows.where(take).select(F.col(lang_col).cast("string").alias("lang"), rank.alias("rank"), piece.alias("text")).collect()
+    taken = rows.join(F.broadcast(bounds), "__lang").where(F.shiftright(rank, 1) < F.col("__below"))
+    got = taken.select(F.col("__lang").alias("lang"), rank.alias("rank"), piece.alias("text")).collect()
     samples: dict[str, str] = {}
     for r in sorted(got, key=lambda r: (r.lang, r.rank, r.text)):
         if len(samples.get(r.lang, "")) < SAMPLE_CHARS:

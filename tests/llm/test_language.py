@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from levyline.llm import crossparse
 from levyline.llm.crossparse import LANE, SYMBOLS, Parser, automaton, identify, in_known_language, plain, training_sample
@@ -107,3 +108,13 @@ def test_languages_of_many_letters_are_told_apart():
     found, _, _ = parser.phrases(texts)
     assert found[:2].tolist() == [[naive(x, t) for t in texts] for x in (a, b)]
     assert [r[0] for r in parser.predict(texts)] == ["a", "b", "a", "en"]
+
+
+def test_a_dirty_label_column_learns_the_commonest_only(spark, monkeypatch):
+    monkeypatch.setattr(crossparse, "MAX_LANGUAGES", 2)
+    rows = [(i, H.PROSE, "en") for i in range(40)] + [(100 + i, H.odd_rows()[10][1], "de") for i in range(30)] + [(1000 + i, f"junk text {i} here", f"x{i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = crossparse.training_sample(docs, "doc_id", "text", "lang")
+    assert [name for name, _ in samples] == ["de", "en"]
+    clash = docs.select("*", *(F.lit(0).alias(c) for c in ("count", "rank", "key", "piece")))
+    assert crossparse.training_sample(clash, "doc_id", "text", "lang") == samples
