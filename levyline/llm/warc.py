@@ -127,9 +127,10 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
         rows = rows.withColumn("nth", F.lit(0))
     else:
         rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("page").orderBy("digest", "url")) - 1)
-    shared = rows.where(F.col("size") >= MIN_REVISIT_BYTES).groupBy("digest").agg(F.min(F.struct("page", "nth")).alias("first"), F.count(F.lit(1)).alias("n"))
+    named = rows.where(F.col("page").isNotNull())  # a row without an id refers to nothing and nothing to it
+    shared = named.where(F.col("size") >= MIN_REVISIT_BYTES).groupBy("digest").agg(F.min(F.struct("page", "nth")).alias("first"), F.count(F.lit(1)).alias("n"))
     rows = rows.join(shared.where("n > 1").select("digest", "first"), "digest", "left")
-    other = F.col("first").isNotNull() & ~F.struct("page", "nth").eqNullSafe(F.col("first"))
+    other = F.col("page").isNotNull() & F.col("first").isNotNull() & ~F.struct("page", "nth").eqNullSafe(F.col("first"))
     rows = rows.select("page", "nth", "url", "html", "digest", F.when(other, F.col("first.page")).alias("to"), F.when(other, F.col("first.nth")).alias("to_nth"))
     return stored(rows.mapInArrow(_write(scratch(spark, "warc")), "path string, records long, bytes long"), "manifest")
 

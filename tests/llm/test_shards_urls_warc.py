@@ -5,6 +5,7 @@ import io
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from levyline.llm import url_filter, warc
 from levyline.llm.hyper_shard import _hypergeometric, draw, shares, shuffle
@@ -135,6 +136,11 @@ def test_repeated_and_null_ids(spark):
     rows = [(1, "u", "y" * 200, ""), (1, "u", "y" * 200, ""), (1, "v", "z" * 200, ""), (None, "w", "y" * 200, "")]
     got = collections.Counter((r["value"], r["record_type"]) for r in resolve(assemble(read_archives(spark, write_archives(spark.createDataFrame(rows, PAGE))))).collect())
     assert sum(got.values()) == 4 and got["1", "response"] + got["1", "revisit"] == 3
+    # a row without an id is a response of its own: others do not refer to it, nor it to them
+    shared = [(None, "w", "y" * 200, ""), (None, "v", "y" * 200, ""), (5, "a", "y" * 200, ""), (3, "b", "y" * 200, "")]
+    df = spark.createDataFrame(shared, PAGE)
+    found = {(r["value"], r["record_type"], r["refers_to"]) for r in resolve(assemble(read_archives(spark, write_archives(df)))).collect()}
+    assert found == {(None, "response", None), ("3", "response", None), ("5", "revisit", "3")}
     assert resolve(assemble(read_archives(spark, write_archives(spark.createDataFrame([], PAGE))))).collect() == []
 
 
@@ -166,5 +172,15 @@ def test_broken_archives_are_reported():
         list(parse(io.BytesIO(b"hello\r\n"), True))
 
 
+def test_clashing_columns_and_a_very_long_payload(spark):
+    rows = [(1, "u", "long é " * 700_000, ""), (2, "u", "long é " * 700_000, ""), (3, None, None, "")]
+    df = spark.createDataFrame(rows, PAGE)
+    df = df.select("*", *(F.lit(i).alias(c) for i, c in enumerate(("page", "html_", "digest", "size", "nth", "first", "to", "n", "path", "record_id", "payload"))))
+    got = {r["value"]: r for r in resolve(assemble(read_archives(spark, write_archives(df), with_payload=False))).collect()}
+    size = len(rows[0][2].encode())
+    assert {i: (r["payload_bytes"], r["record_type"], r["refers_to"]) for i, r in got.items()} == {"1": (size, "response", None), "2": (size, "revisit", "1"), "3": (0, "response", None)}
+    assert got["2"]["payload_digest"] == hashlib.sha256(rows[0][2].encode()).hexdigest()
+
+
 def test_registered_warc_query(spark):
     assert op10_warc(spark, H.SF).count() == spark.read.parquet(f"{H.SF}/pages.parquet").count()
