@@ -1,9 +1,11 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-A text is read as tokens: runs of at most ``TOKEN_CHARS`` characters that are not white space (a longer run
-makes several tokens, so texts without spaces have positions too). Every ``K`` tokens in a row make a k-gram
+A text is read as tokens: runs of at most ``TOKEN_CHARS`` characters that are not white space. A longer run, as of a text
+without spaces, is cut where the hash of the last three characters says so (about every eighth character, ``LONGEST`` at most), so its
+tokens depend on what it says and not on where it begins: a shift changes the tokens at its edge only. Every ``K`` tokens in a row make a k-gram
 hash. Of every ``WINDOW`` k-grams in a row the smallest hash is kept, the rightmost of equal ones, with its
-position. Two texts that share ``K + WINDOW - 1`` tokens in a row share a fingerprint entry.
+position. Two texts that share ``K + WINDOW - 1`` tokens in a row share a fingerprint entry; within a long run these are the tokens after
+the first place where both are cut.
 
 An entry packs 40 bits of hash over 24 bits of reversed position, so that the minimum of a window is found
 with plain ``least`` (and equal hashes give the rightmost); minima of windows of 2, 4 and 8 entries come from
@@ -23,6 +25,10 @@ from pyspark.sql.window import WindowSpec
 from .common import split_count
 
 TOKEN_CHARS = 16
+#: Longer runs: a cut where the hash of three characters is 0 modulo this, the longest token, and the characters cut at a time.
+CUT = 8
+LONGEST = 64
+BLOCK = 1 << 16
 K = 4
 WINDOW = 8
 POSITION_BITS = 24
@@ -36,11 +42,28 @@ def _entry(h: Column, position: Column) -> Column:
     return h.bitwiseAND(F.lit(-1 - POSITIONS)).bitwiseOR(F.lit(POSITIONS) - F.pmod(position, F.lit(POSITIONS + 1)))
 
 
+def _cut(run: Column) -> Column:
+    """The tokens of a long run."""
+    def marked(chars: Column) -> Column:
+        ends = lambda c, i: F.pmod(F.xxhash64(F.get(chars, i - 2), F.get(chars, i - 1), c), F.lit(CUT)) == 0
+        return F.array_join(F.transform(chars, lambda c, i: F.when(ends(c, i), F.concat(c, F.lit(" "))).otherwise(c)), "")
+
+    chars = F.regexp_extract_all(run, F.lit("(?s)."), F.lit(0))
+    # an array of the one array of characters, so that they are made once and not for each of them
+    return F.regexp_extract_all(F.get(F.transform(F.array(chars), marked), 0), F.lit(rf"\S{{1,{LONGEST}}}"), F.lit(0))
+
+
+def tokens(text: Column) -> Column:
+    runs = F.regexp_extract_all(text, F.lit(rf"\S{{1,{BLOCK}}}"), F.lit(0))
+    split = F.flatten(F.transform(runs, lambda w: F.when(F.length(w) <= TOKEN_CHARS, F.array(w)).otherwise(_cut(w))))
+    return F.when(text.rlike(rf"\S{{{TOKEN_CHARS + 1}}}"), split).otherwise(runs)
+
+
 def with_fingerprint(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """Adds ``out``: the entries of the text's fingerprint, in order of position."""
     tok, n, h = f"{out}_tok", f"{out}_n", f"{out}_h"
     g, m2, m4 = f"{out}_g", f"{out}_m2", f"{out}_m4"
-    df = df.withColumn(tok, F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(rf"\S{{1,{TOKEN_CHARS}}}"), F.lit(0)))
+    df = df.withColumn(tok, tokens(F.coalesce(F.col(text_col), F.lit(""))))
     df = df.withColumn(h, F.transform(tok, lambda t: F.xxhash64(t))).withColumn(n, F.size(tok)).drop(tok)
     grams = F.transform(
         F.slice(h, F.lit(1), F.col(n) - (K - 1)),
