@@ -218,5 +218,70 @@ WITH RECURSIVE p AS (
 SELECT kept.lang, rank, phrase, a, l, r, n, score
 FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept) kept JOIN n ON n.lang = kept.lang
 WHERE rank <= 2000
+""",
+    "op12_role_repair": r"""
+WITH RECURSIVE src AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+    FROM conversations
+), kinds AS (
+    SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+        lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+            lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295::BIGINT) % 20 AS kind
+    FROM src
+), damaged AS (
+    SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM kinds
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role)::VARCHAR || ':' || role || text), copy) AS i FROM damaged
+), faults AS (
+    SELECT conv_id, turn, role, text, i, substr(role, 1, 1) AS initial, CASE
+        WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+        WHEN right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) NOT IN ('.', '!', '?') THEN 'truncated'
+        ELSE '' END AS fault,
+        lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM placed
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+    FROM faults GROUP BY conv_id
+), path AS (
+    SELECT conv_id, 0::BIGINT AS i, {c: 0::BIGINT, a: '', t: []::VARCHAR[]} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS s1,
+           NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS s2, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]) AS s3
+    FROM counts
+    UNION ALL
+    SELECT conv_id, i,
+        {c: z0.c + 3, a: z0.a || 'D', t: z0.t},
+        list_min([CASE WHEN z1 IS NOT NULL THEN {c: z1.c + 3, a: z1.a || 'D', t: z1.t} END,
+                  CASE WHEN free AND initial = 's' THEN {c: z0.c + more, a: z0.a || 'K', t: list_append(z0.t, kept)} END]),
+        list_min(list_concat([CASE WHEN z2 IS NOT NULL THEN {c: z2.c + 3, a: z2.a || 'D', t: z2.t} END],
+            list_concat(list_transform(list_filter([z0, z1, z3], lambda z: z IS NOT NULL AND free AND initial = 'u'), lambda z: {c: z.c + more, a: z.a || 'K', t: list_append(z.t, kept)}),
+                        list_transform(list_filter([z0, z1, z3], lambda z: z IS NOT NULL AND free), lambda z: {c: z.c + more + 2, a: z.a || 'R', t: list_append(z.t, 'user:' || text)})))),
+        list_min(list_concat([CASE WHEN z3 IS NOT NULL THEN {c: z3.c + 3, a: z3.a || 'D', t: z3.t} END],
+            list_concat(list_transform(list_filter([z2], lambda z: z IS NOT NULL AND free AND initial = 'a'), lambda z: {c: z.c + more, a: z.a || 'K', t: list_append(z.t, kept)}),
+                        list_transform(list_filter([z2], lambda z: z IS NOT NULL AND free), lambda z: {c: z.c + more + 2, a: z.a || 'R', t: list_append(z.t, 'assistant:' || text)}))))
+    FROM (
+        SELECT *, list_min([s3, {c: z2.c + 2, a: z2.a || 'I', t: list_append(z2.t, 'assistant:')}]) AS z3
+        FROM (
+            SELECT p.conv_id, f.i, f.initial, f.text, f.role || ':' || f.text AS kept, f.fault IN ('', 'truncated') AS free, CASE f.fault WHEN 'truncated' THEN 1 ELSE 0 END AS more,
+                   s0 AS z0, s1 AS z1, s3,
+                   list_min(list_prepend(s2, list_transform(list_filter([s0, s1, s3], lambda z: z IS NOT NULL), lambda z: {c: z.c + 2, a: z.a || 'I', t: list_append(z.t, 'user:')}))) AS z2
+            FROM path p JOIN faults f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+        )
+    )
+), ended AS (
+    SELECT p.conv_id, list_min([s0, s3, CASE WHEN z2 IS NOT NULL THEN {c: z2.c + 2, a: z2.a || 'I', t: list_append(z2.t, 'assistant:')} END]) AS best
+    FROM (
+        SELECT *, list_min(list_prepend(s2, list_transform(list_filter([s0, s1, s3], lambda z: z IS NOT NULL), lambda z: {c: z.c + 2, a: z.a || 'I', t: list_append(z.t, 'user:')}))) AS z2 FROM path
+    ) p JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.i
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(array_to_string(coalesce(best.t, []), chr(10))) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
 """,
 }
