@@ -40,11 +40,6 @@ def unique_new_keys(wh: Warehouse, spec: TableSpec, slice_: DataFrame) -> DataFr
     )
 
 
-def not_null_failures(df: DataFrame, column: str) -> DataFrame:
-    """Failing rows of ``not_null``: the rows whose value is NULL."""
-    return df.filter(F.col(column).isNull())
-
-
 def null_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """NULL count of each column in one pass, as (column_name, null_rows) rows."""
     cols = list(columns)

@@ -56,8 +56,3 @@ def extract(source: DataFrame, spec: TableSpec, since: str | dt.datetime | None
     """The explicit column list, renamed to target names; with ``since``, only the slice newer than it."""
     df = to_target_layout(source.select(*[F.col(f"`{c}`") for c in source_columns(spec)]), spec)
     return df if since is None else df.filter(slice_condition(spec, since))
-
-
-def extract_from(source: DataFrame, spec: TableSpec, start: str) -> DataFrame:
-    """Bulk back-fill extract: rows paid on or after ``start`` (inclusive)."""
-    return extract(source, spec).filter(F.col("payment_date") >= F.lit(start).cast("timestamp_ntz"))
