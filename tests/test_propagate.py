@@ -87,6 +87,26 @@ def test_lookups_agree_and_spread_a_hot_code(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_only_hot_codes_of_a_large_table_are_copied(spark, monkeypatch):
+    """A large code table is neither broadcast on Spark's estimate of it nor copied whole; codes hot in the fact stay spread."""
+    fact = spark.range(4000).selectExpr("id AS transaction_id", "CASE WHEN id % 4 = 0 THEN 'hot' WHEN id % 4 = 1 THEN NULL ELSE concat('c', id) END AS code")
+    codes = spark.range(3000).selectExpr("CASE WHEN id % 1000 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE concat('c', id % 2500) END AS code_", "id AS x")
+    assert L.hot_codes(fact, "code") == ["hot"] and L.hot_codes(fact.limit(0), "code") == []
+    for broadcast in (True, False):  # the hot codes' rows are small, or not
+        if not broadcast:
+            monkeypatch.setattr(L, "measured_bytes", lambda df: None)
+        for how in ("left", "inner"):
+            df = L.lookup(fact, codes, "code", "code_", "transaction_id", how, False).select("t.*", "r.*")
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan) == broadcast and "SortMergeJoin" in plan
+            wanted = L.lookup(fact, codes, "code", "code_", "transaction_id", how, None).select("t.*", "r.*")
+            got = df.select("transaction_id", "code", "code_", "x")
+            assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+    copies = L._dealt(fact, codes, "code", "code_", "transaction_id", "inner", F.col("code") == "hot", F.coalesce(F.col("code_") == "hot", F.lit(False)))
+    salted = copies.where("code = 'hot'").groupBy("__slot").count().collect()
+    assert len(salted) == L.SALTS and sum(r["count"] for r in salted) == 3 * 1000
+
+
 def test_size_is_measured_not_declared(spark):
     df = spark.range(1000).selectExpr("id", "repeat('x', 1000) AS s")
     assert L.measured_bytes(df) == 1000 * (16 + 8 + 1000)
