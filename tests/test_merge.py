@@ -3,7 +3,10 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from levyline import schemas
+from levyline.operators import merge as M
 from levyline.operators import watermark as wm
 from levyline.operators.merge import dedupe, merge
 from tests.helpers import make, rows_by, ts
@@ -128,3 +131,20 @@ def test_fallback_when_no_control_row(spark):
     assert mark == dt.datetime(2025, 1, 1) and wm.lookback(mark) == dt.datetime(2024, 12, 29)
     control = wm.control_rows(spark, {"agent_transactions": ("2024-01-30 00:00:00", "2024-01-30 06:00:00", 5)})
     assert wm.read_watermark(control, "agent_transactions") == dt.datetime(2024, 1, 30)
+
+
+def test_only_repeated_keys_are_grouped(spark):
+    """Rows whose key does not repeat never enter the grouping, which sorts whole rows in the task that reads them."""
+    rows = [(i, i % 7, f"r{i}") for i in range(2000)] + [(i, -1 - i, f"s{i}") for i in range(0, 2000, 400)] + [(None, 1, "n"), (None, 0, "m")]
+    df = spark.createDataFrame(rows, "k int, t int, v string")
+    grouped = []
+    got = M._repeated_only(df, "k", lambda d: grouped.append(d) or d.groupBy("k").agg(F.min(F.struct("t", "v")).alias("m")).select("k", "m.t", "m.v"))
+    assert grouped[0].count() == 2 * 5 + 2  # both rows of the five keys and of the NULL key
+    assert got.count() == 2001 and dedupe(df, "k", ["t"], "earliest").exceptAll(got).isEmpty()
+    assert {r["k"]: r["v"] for r in got.where("k IS NULL OR k % 400 = 0").collect()} == {None: "m", **{k: f"s{k}" for k in range(0, 2000, 400)}}
+    folded = {r["k"]: (r["t"], r["v"]) for r in M.fold(df, "k", F.col("t"), ["v"]).collect()}
+    assert len(folded) == 2001 and folded[400] == (-401, "r400") and folded[1] == (1, "r1") and folded[None] == (0, "n")
+    enum = schemas.ENUMERATION
+    rows = make(spark, enum, [{"id": i, "create_time": "2024-01-10 00:00:00"} for i in range(9)])
+    plan = M.merge(rows, rows, enum, dedupe_slice=False)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan  # whatever Spark takes the table's keys for
