@@ -9,7 +9,7 @@ from .test_quality_decontam import leaked_by_words
 
 def test_stages_in_order():
     assert [n for n, _ in P.STAGES] == ["language_id", "near_dedup", "decontamination", "pii", "packing"]
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} and set(ORACLE) <= set(QUERIES)
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} and set(ORACLE) <= set(QUERIES)
 
 
 def test_every_stage_against_brute_force(spark):
