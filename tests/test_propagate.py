@@ -14,6 +14,7 @@ from levyline.plans.propagate import affected_days, changed_rows
 from levyline.sources import fixtures, ranges
 from levyline.sources.warehouse import Warehouse
 from tests.conftest import SF_SMALL
+from tests.helpers import make, ts
 
 BUS = schemas.BUS_TICKETING_TRANSACTION
 
@@ -63,6 +64,34 @@ def test_a_change_reaches_its_marts_and_no_others(spark, scratch, raw, table, co
     assert affected_days(wh, {**built, table: "unknown"}) is None
 
 
+def _listed(seq):
+    return [seq.apply(i) for i in range(seq.length())]
+
+
+def test_changed_rows_are_found_by_digest_and_only_followed_columns_are_dealt(spark, scratch):
+    """Text that moves to the next column, NULL against an empty text, and a microsecond are changes; equal rows are none."""
+    wh = Warehouse(spark, scratch, part_keys=10)
+    held = [
+        {"id": 1, "event": "ab", "event_name": "c"}, {"id": 2, "event": "", "event_name": "x"}, {"id": 3, "event": "x"}, {"id": 4, "trans_date": "2024-01-10 00:00:00.000001"},
+        {"id": 5, "event": "same", "trans_date": "2024-01-10 00:00:00"}, {"id": 6, "trans_date": "2024-01-11 00:00:00"}, {"id": 15, "event": "other part"},
+    ]
+    now = [
+        {"id": 1, "event": "a", "event_name": "bc"}, {"id": 2, "event_name": "x"}, {"id": 3, "event_name": "x"}, {"id": 4, "trans_date": "2024-01-10 00:00:00.000002"},
+        held[4], {"id": 7, "trans_date": "2024-01-12 00:00:00"}, held[6],
+    ]
+    store(wh, {BUS.name: make(spark, BUS, held)}, "v1")
+    store(wh, {BUS.name: make(spark, BUS, now)}, "v2")
+    got = changed_rows(wh, BUS, "v1", ["trans_date"])
+    assert sorted(r["key"] for r in got.collect()) == [1, 2, 3, 4, 6, 7]
+    assert {r["key"]: (r["old"], r["new"]) for r in got.where("key > 5").collect()} == {6: ((ts("2024-01-11"),), None), 7: (None, (ts("2024-01-12"),))}
+    assert changed_rows(wh, BUS, "v1").where("key = 1").first()["new"]["event_name"] == "bc"
+    join = got._jdf.queryExecution().optimizedPlan()
+    while join.nodeName() != "Join":
+        join = join.children().head()
+    sides = [{a.name() for a in _listed(join.children().apply(i).output())} for i in (0, 1)]
+    assert sides == [{"key", "old_digest", "old"}, {"key", "new_digest", "new"}]
+
+
 # --- lookups --------------------------------------------------------------------------------------------------
 def test_lookups_agree_and_spread_a_hot_code(spark):
     fact = spark.range(2000).selectExpr("id AS transaction_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 30) END AS code")
